@@ -13,8 +13,6 @@ from pyspark.sql import types as T
 SECONDS_PER_DAY = 86400
 SECONDS_PER_HOUR = 3600
 
-_EPOCH_NTZ = "1970-01-01 00:00:00"
-
 
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -90,7 +88,14 @@ def epoch_seconds(df: DataFrame, column: str) -> Column:
     if isinstance(dtype, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
         return c.cast("bigint")
     if isinstance(dtype, T.TimestampNTZType):
-        return F.timestamp_diff("SECOND", F.lit(_EPOCH_NTZ).cast("timestamp_ntz"), c)
+        # Day number + clock parts: no cast through the session zone
+        # (``timestampdiff`` on NTZ casts both sides to TIMESTAMP first).
+        return (
+            F.unix_date(F.to_date(c)).cast("bigint") * F.lit(SECONDS_PER_DAY)
+            + F.hour(c) * F.lit(SECONDS_PER_HOUR)
+            + F.minute(c) * F.lit(60)
+            + F.second(c)
+        )
     if isinstance(dtype, T.TimestampType):
         return F.unix_seconds(c)
     raise TypeError(f"{column} is {dtype.simpleString()}, expected epoch seconds or a timestamp")

@@ -9,8 +9,9 @@ small (``max_rows``). Larger groups are narrowed first:
 2. a ``percentile_approx`` sketch per large group (mergeable, bounded
    memory, partial aggregation map-side) proposes a band ``[lo, hi]`` of
    values around the target share; exact counts of the rows below and inside
-   the band check that rank ``r`` falls inside it. Only then are the rows
-   outside the band dropped and ``r`` shifted by the count below. A group
+   the band check that rank ``r`` falls inside it. If ``r`` lands on a
+   band edge value the answer is that value; otherwise only the rows strictly
+   inside the band are kept and ``r`` is shifted by the count below. A group
    whose band misses keeps all its rows and the next round uses a wider band,
    so the result never depends on the sketch's error bound;
 3. repeat until every group is small, then rank with a window.
@@ -119,33 +120,43 @@ def exact_percentile(
     width = 2.0 / accuracy
     for _ in range(max_rounds):
         bounds = _band_bounds(cand, pending, keys, width, accuracy, broadcast_rows, n_pending)
+        lo, hi, v = F.col("_lo"), F.col("_hi"), F.col("_v")
         counted = (
             cand.join(_keyed(bounds, n_pending, broadcast_rows), keys)
             .groupBy(*keys, "_n", "_r", "_lo", "_hi")
             .agg(
-                F.count(F.when(F.col("_v") < F.col("_lo"), 1)).alias("_below"),
-                F.count(F.when(F.col("_v").between(F.col("_lo"), F.col("_hi")), 1)).alias("_inside"),
+                F.count(F.when(v < lo, 1)).alias("_below"),
+                F.count(F.when(v == lo, 1)).alias("_eq_lo"),
+                F.count(F.when(v.between(lo, hi), 1)).alias("_inside"),
+                F.count(F.when(v == hi, 1)).alias("_eq_hi"),
             )
         )
-        hit = (F.col("_below") < F.col("_r")) & (F.col("_r") <= F.col("_below") + F.col("_inside"))
-        # Next state per group: narrowed to the band, or unchanged (missed band).
+        r, below, inside = F.col("_r"), F.col("_below"), F.col("_inside")
+        hit = (below < r) & (r <= below + inside)
+        # Rank on an edge value: answered (this also ends runs of duplicates).
+        at_lo = hit & (r <= below + F.col("_eq_lo"))
+        at_hi = hit & ~at_lo & (r > below + inside - F.col("_eq_hi"))
+        # Otherwise keep the open band (lo, hi), or the whole group if the band missed.
         state = counted.select(
             *keys,
-            F.when(hit, F.col("_inside")).otherwise(F.col("_n")).alias("_n"),
-            F.when(hit, F.col("_r") - F.col("_below")).otherwise(F.col("_r")).alias("_r"),
-            F.when(hit, F.col("_lo")).alias("_lo"),
-            F.when(hit, F.col("_hi")).alias("_hi"),
+            F.when(at_lo, lo).when(at_hi, hi).alias("_ans"),
+            F.when(hit, inside - F.col("_eq_lo") - F.col("_eq_hi")).otherwise(F.col("_n")).alias("_n"),
+            F.when(hit, r - below - F.col("_eq_lo")).otherwise(r).alias("_r"),
+            F.when(hit, lo).alias("_lo"),
+            F.when(hit, hi).alias("_hi"),
             hit.alias("_hit"),
         ).checkpoint()
-        n_state = state.count()
-        missed = state.where(~F.col("_hit")).count()
+        parts.append(state.where(F.col("_ans").isNotNull()).select(*keys, F.col("_ans").alias(alias)))
+        open_ = state.where(F.col("_ans").isNull())
+        n_open = open_.count()
+        missed = open_.where(~F.col("_hit")).count()
 
-        kept = cand.join(_keyed(state, n_state, broadcast_rows), keys).where(
-            F.col("_lo").isNull() | F.col("_v").between(F.col("_lo"), F.col("_hi"))
+        kept = cand.join(_keyed(open_, n_open, broadcast_rows), keys).where(
+            lo.isNull() | ((v > lo) & (v < hi))
         )
         parts.append(_rank_groups(kept.where(F.col("_n") <= max_rows), keys, alias))
 
-        pending = state.where(F.col("_n") > max_rows).select(*keys, "_n", "_r").checkpoint()
+        pending = open_.where(F.col("_n") > max_rows).select(*keys, "_n", "_r").checkpoint()
         n_pending = pending.count()
         if n_pending == 0:
             break

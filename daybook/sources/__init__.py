@@ -1,0 +1,33 @@
+from daybook.sources.errors import classify_error
+from daybook.sources.files import (
+    COMMENT_SCHEMA,
+    TRIP_SCHEMA,
+    Loaded,
+    check_options,
+    conform,
+    month_paths,
+    read_leaf,
+    read_months,
+    read_parquet,
+    read_partitioned,
+    stage,
+)
+from daybook.sources.listing import input_size, list_files, probe_sources
+
+__all__ = [
+    "COMMENT_SCHEMA",
+    "TRIP_SCHEMA",
+    "Loaded",
+    "check_options",
+    "classify_error",
+    "conform",
+    "input_size",
+    "list_files",
+    "month_paths",
+    "probe_sources",
+    "read_leaf",
+    "read_months",
+    "read_parquet",
+    "read_partitioned",
+    "stage",
+]

@@ -1,0 +1,178 @@
+"""Daily summary semantics on hand-made rows (FIXTURES.md §4) and on lineitem."""
+
+from __future__ import annotations
+
+import datetime as dt
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from daybook.functions.time import year_equals, year_range
+from daybook.operators.daily import (
+    SUMMARY_COLUMNS,
+    TripColumns,
+    daily_overview,
+    daily_summary,
+    newest_days,
+)
+from daybook.plans.registry import LINEITEM_TRIPS
+
+TRIP_DDL = (
+    "tpep_pickup_datetime timestamp_ntz, trip_distance double, mta_tax double, "
+    "fare_amount double, tip_amount double, passenger_count double"
+)
+
+
+def trips(spark, rows):
+    return spark.createDataFrame(rows, TRIP_DDL)
+
+
+def day(d, h=12):
+    return dt.datetime(2021, 1, d, h, 0, 0)
+
+
+def test_schema_and_order(spark):
+    df = trips(spark, [(day(1), 1.0, 0.5, 10.0, 1.0, 1.0), (day(2), 2.0, 0.5, 20.0, 0.0, 2.0)])
+    out = daily_summary(df, year=2021)
+    assert tuple(out.columns) == SUMMARY_COLUMNS
+    types = dict(out.dtypes)
+    assert types["dt_year"] == "int" and types["num_trips"] == "bigint"
+    assert types["mean_passenger_count"] == "bigint" and types["q95_fare_amount"] == "double"
+    assert [r.dt_day for r in out.collect()] == [2, 1]  # newest first
+
+
+def test_nulls(spark):
+    rows = [
+        (day(1), None, None, None, None, None),
+        (day(1), 3.0, 3.0, 3.0, 3.0, 3.0),
+        (day(2), None, None, None, None, None),
+    ]
+    out = {r.dt_day: r for r in daily_summary(trips(spark, rows), year=2021).collect()}
+    assert out[1].num_trips == 2 and out[2].num_trips == 1
+    assert out[1].mean_passenger_count == 3 and out[2].mean_passenger_count is None
+    assert out[1].q95_fare_amount == 3.0 and out[2].q95_fare_amount is None
+    assert out[1].mean_trip_distance == 3.0 and out[2].mean_trip_distance is None
+
+
+def test_nan(spark):
+    rows = [(day(1), 1.0, float("nan"), 1.0, float("nan"), float("nan")), (day(1), 1.0, 1.0, 1.0, 1.0, 1.0)]
+    df = trips(spark, rows)
+    r = daily_summary(df, year=2021).first()
+    assert math.isnan(r.max_mta_tax)  # NaN sorts highest
+    assert r.min_tip_amount == 1.0
+    assert r.mean_passenger_count == 1  # NaN read as NULL
+    raw = daily_summary(df, year=2021, nan_as_null=False).first()
+    assert raw.mean_passenger_count == 0  # Spark's own ceil(NaN) -> 0
+
+
+def test_year_edges(spark):
+    rows = [
+        (dt.datetime(2020, 12, 31, 23, 59, 59, 999999), 1.0, 1.0, 1.0, 1.0, 1.0),
+        (dt.datetime(2021, 1, 1, 0, 0, 0), 1.0, 1.0, 1.0, 1.0, 1.0),
+        (dt.datetime(2021, 12, 31, 23, 59, 59, 999999), 1.0, 1.0, 1.0, 1.0, 1.0),
+        (dt.datetime(2022, 1, 1), 1.0, 1.0, 1.0, 1.0, 1.0),
+        (None, 1.0, 1.0, 1.0, 1.0, 1.0),
+    ]
+    df = trips(spark, rows)
+    out = daily_summary(df, year=2021)
+    assert out.agg(F.sum("num_trips")).first()[0] == 2
+    assert df.where(year_range(df, "tpep_pickup_datetime", 2021)).count() == 2
+    assert df.where(year_equals("tpep_pickup_datetime", 2021)).count() == 2
+
+
+def test_year_edges_ltz(spark):
+    df = spark.createDataFrame(
+        [(dt.datetime(2020, 12, 31, 23, 59, 59),), (dt.datetime(2021, 1, 1),), (dt.datetime(2022, 1, 1),)],
+        "t timestamp",
+    )
+    assert df.where(year_range(df, "t", 2021)).count() == df.where(year_equals("t", 2021)).count() == 1
+
+
+def test_leap_day(spark):
+    df = trips(spark, [(dt.datetime(2020, 2, 29, 8), 1.0, 1.0, 1.0, 1.0, 1.0)])
+    r = daily_summary(df, year=2020).collect()
+    assert [(x.dt_year, x.dt_month, x.dt_day) for x in r] == [(2020, 2, 29)]
+
+
+def test_range_quirk(spark):
+    rows = [
+        (dt.datetime(2021, 1, 20, 9), 1.0, 1.0, 1.0, 1.0, 1.0),
+        (dt.datetime(2021, 6, 5, 9), 1.0, 1.0, 1.0, 1.0, 1.0),
+    ]
+    ov = daily_overview(daily_summary(trips(spark, rows), year=2021)).first()
+    assert ov.first_day == dt.date(2021, 1, 20) and ov.last_day == dt.date(2021, 6, 5)
+    assert ov.component_range == "01/05/2021 to 06/20/2021"
+    assert ov.total_trips == 2 and ov.total_days == 2 and ov.avg_daily_trips == 1.0
+
+
+def test_ceil_steps(spark):
+    rows = [
+        (day(1), 1.0, 1.0, 1.0, 1.0, 1.0),
+        (day(2), 1.0, 1.0, 1.0, 1.0, 1.0),
+        (day(2), 1.0, 1.0, 1.0, 1.0, 1.0002),
+        (day(3), 1.0, 1.0, 1.0, 1.0, -0.5),
+    ]
+    out = {r.dt_day: r.mean_passenger_count for r in daily_summary(trips(spark, rows), year=2021).collect()}
+    assert out == {1: 1, 2: 2, 3: 0}
+
+
+def test_empty(spark):
+    df = trips(spark, [])
+    assert daily_summary(df, year=2021).count() == 0
+    ov = daily_overview(daily_summary(df, year=2021)).first()
+    assert ov.total_trips == 0 and ov.total_days == 0 and ov.component_range is None
+
+
+def test_big_group_percentile(spark):
+    n = 20_000
+    rows = [(day(1), 1.0, 1.0, float(i), 1.0, 1.0) for i in range(n)]
+    df = trips(spark, rows).repartition(4)
+    values = sorted(float(i) for i in range(n))
+    truth = values[max(1, math.ceil(0.95 * n)) - 1]
+    approx = daily_summary(df, year=2021).first().q95_fare_amount
+    assert abs(approx - truth) <= n / 10_000 + 1  # rank error within n / accuracy
+    exact = daily_summary(df, year=2021, exact=True).first().q95_fare_amount
+    assert exact == truth
+
+
+def test_independent_of_partitions(spark, sf001):
+    li = spark.read.parquet(f"{sf001}/lineitem.parquet")
+    a = daily_summary(li, LINEITEM_TRIPS, year=1995, mean_digits=6).collect()
+    b = daily_summary(li.repartition(13), LINEITEM_TRIPS, year=1995, mean_digits=6).collect()
+    assert len(a) == len(b) == 364
+    for x, y in zip(a, b):
+        # Double sums depend on the order rows are added; everything else is exact.
+        assert abs(x.mean_trip_distance - y.mean_trip_distance) <= 1.5e-6
+        assert {k: v for k, v in x.asDict().items() if k != "mean_trip_distance"} == {
+            k: v for k, v in y.asDict().items() if k != "mean_trip_distance"
+        }
+
+
+def test_sum_equals_filtered_count(spark, sf001):
+    li = spark.read.parquet(f"{sf001}/lineitem.parquet")
+    daily = daily_summary(li, LINEITEM_TRIPS, year=1995)
+    total = daily.agg(F.sum("num_trips")).first()[0]
+    assert total == li.where(year_equals("l_shipdate", 1995)).count() == 8840
+    assert daily.count() == 364
+
+
+def test_top20_is_prefix(spark, sf001):
+    li = spark.read.parquet(f"{sf001}/lineitem.parquet")
+    daily = daily_summary(li, LINEITEM_TRIPS, year=1995, mean_digits=6)
+    assert newest_days(daily, 20).collect() == daily.collect()[:20]
+
+
+def test_month_span(spark):
+    rows = [(dt.datetime(2021, m, 15), 1.0, 1.0, 1.0, 1.0, 1.0) for m in range(1, 13)]
+    out = daily_summary(trips(spark, rows), year=2021, months=(1, 6))
+    assert sorted(r.dt_month for r in out.collect()) == [1, 2, 3, 4, 5, 6]
+    with pytest.raises(ValueError):
+        daily_summary(trips(spark, rows), months=(1, 6))
+
+
+def test_custom_columns(spark):
+    df = spark.createDataFrame([(day(1), 2.0, 0.1, 0.2, 5.0)], "ts timestamp_ntz, p double, t double, d double, q double")
+    cols = TripColumns(ts="ts", distance="p", tax="t", fare="p", tip="d", passengers="q")
+    r = daily_summary(df, cols, year=2021).first()
+    assert (r.mean_trip_distance, r.max_mta_tax, r.min_tip_amount, r.mean_passenger_count) == (2.0, 0.1, 0.2, 5)
