@@ -22,6 +22,7 @@ def spark():
             "spark.sql.session.timeZone": "UTC",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "4g",
+            "spark.sql.maxMetadataStringLength": "1000",
         },
         master="local[4]",
     )

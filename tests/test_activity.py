@@ -1,0 +1,119 @@
+"""Distinct counts, busiest groups and hours (FIXTURES.md §4)."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from daybook.functions.time import hour_of_day
+from daybook.operators.activity import (
+    distinct_count,
+    distinct_stats,
+    distinct_values,
+    group_counts,
+    hourly_counts,
+    peak_hours,
+    top_groups,
+)
+from daybook.plans.registry import comments
+
+
+def test_null_distinct(spark):
+    df = spark.createDataFrame([(None,), (None,), (3.0,)], "x double")
+    r = distinct_count(df, "x").first()
+    assert (r.n_excl, r.n_incl) == (1, 2)
+    assert distinct_values(df, "x").count() == 2
+    assert distinct_stats(df, {"d": "x"}).first().d == 1
+
+
+def test_distinct_groups_with_nulls(spark):
+    df = spark.createDataFrame([(1, None), (1, 3.0), (2, None)], "g int, x double")
+    got = {r.g: r.n for r in df.groupBy("g").agg(F.count_distinct("x").alias("n")).collect()}
+    assert got == {1: 1, 2: 0}
+
+
+def test_distinct_count_no_nulls_and_empty(spark):
+    df = spark.createDataFrame([("a",), ("b",), ("a",)], "x string")
+    r = distinct_count(df, "x").first()
+    assert (r.n_excl, r.n_incl) == (2, 2)
+    e = spark.createDataFrame([], "x string")
+    r = distinct_count(e, "x").first()
+    assert (r.n_excl, r.n_incl) == (0, 0)
+    assert distinct_stats(e, {"d": "x"}).first().d == 0
+
+
+def test_ties(spark):
+    rows = [(k,) for k in ("d", "c", "b", "a") for _ in range(3)]
+    df = spark.createDataFrame(rows, "k string").repartition(3)
+    got = [(r.k, r.n) for r in top_groups(df, "k", 2).collect()]
+    assert got == [("a", 3), ("b", 3)]
+    assert got == [(r.k, r.n) for r in top_groups(df.repartition(5), "k", 2).collect()]
+
+
+def test_few_groups(spark):
+    df = spark.createDataFrame([("x",), ("y",), ("y",), ("z",)], "k string")
+    got = [(r.k, r.n) for r in top_groups(df, "k", 10).collect()]
+    assert got == [("y", 2), ("x", 1), ("z", 1)]
+
+
+def test_top_is_prefix_of_full_sort(spark, sf001):
+    ev = comments(spark, sf001)
+    full = group_counts(ev, "user_id").orderBy(F.desc("n"), "user_id").collect()
+    assert top_groups(ev, "user_id", 10).collect() == full[:10]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_hours_any_zone(spark, zone):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame([(v,) for v in (0, 3599, 3600, -1, 1704067200)], "created_utc bigint")
+        got = [r.h for r in df.select(hour_of_day(df, "created_utc").alias("h")).collect()]
+        assert got == [0, 0, 1, 23, 0]
+        hours = {r.hour: r.n for r in hourly_counts(df, "created_utc").collect()}
+        assert hours == {0: 3, 1: 1, 23: 1}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_hours_from_ntz_and_ltz(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.sql(
+            "SELECT timestamp_ntz'2024-03-10 02:30:00' AS a, timestamp'2024-01-01 00:00:00 UTC' AS b"
+        )
+        r = df.select(hour_of_day(df, "a").alias("ha"), hour_of_day(df, "b").alias("hb")).first()
+        assert (r.ha, r.hb) == (2, 0)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_hours_sum_to_rows(spark, sf001):
+    ev = comments(spark, sf001)
+    hours = hourly_counts(ev, "created_utc")
+    assert hours.agg(F.sum("n")).first()[0] == ev.count() == 10_000
+    assert hours.count() == 24
+
+
+def test_peak_hours(spark):
+    df = spark.createDataFrame([(v,) for v in (0, 3600, 3601, 7200, 7201)], "created_utc bigint")
+    got = [(r.hour, r.n) for r in peak_hours(df, "created_utc", 2).collect()]
+    assert got == [(1, 2), (2, 2)]
+
+
+def test_approx_distinct(spark, sf001):
+    ev = comments(spark, sf001)
+    exact = distinct_stats(ev, {"c": "event_id", "u": "user_id"}).first()
+    approx = distinct_stats(ev, {"c": "event_id", "u": "user_id"}, approx=True, rsd=0.01).first()
+    assert (exact.c, exact.u) == (10_000, 150)
+    assert abs(approx.c - exact.c) <= 0.05 * exact.c
+    assert abs(approx.u - exact.u) <= 0.05 * exact.u
+
+
+def test_bad_arguments(spark):
+    df = spark.createDataFrame([(1,)], "k int")
+    with pytest.raises(ValueError):
+        top_groups(df, "k", 0)
+    with pytest.raises(ValueError):
+        distinct_stats(df, {})

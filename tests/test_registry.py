@@ -1,0 +1,91 @@
+"""Every registered query against its DuckDB SQL at sf0.01; plan shape checks."""
+
+from __future__ import annotations
+
+import datetime as dt
+import math
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry
+from tests.conftest import TESTDATA
+
+TABLES = ("lineitem", "events", "orders")
+
+
+@pytest.fixture(scope="module")
+def duck(sf001):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf001}/{t}.parquet')")
+    return con
+
+
+def _norm(v):
+    if v is None:
+        return "NULL"
+    if isinstance(v, float):
+        return "NaN" if math.isnan(v) else repr(v)
+    if isinstance(v, (dt.datetime, dt.date)):
+        return v.isoformat()
+    return repr(v)
+
+
+def _bag(cols, rows):
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    return sorted(tuple(_norm(r[i]) for i in order) for r in rows)
+
+
+def test_every_query_has_sql():
+    assert set(entry.oracle_sql()) == set(entry.queries())
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_query_matches_oracle(spark, duck, sf001, name):
+    df = entry.queries()[name](spark, sf001)
+    rows = [tuple(r) for r in df.collect()]
+    rel = duck.execute(entry.oracle_sql()[name])
+    d_cols = [c[0] for c in rel.description]
+    d_rows = rel.fetchall()
+    assert sorted(df.columns) == sorted(d_cols)
+    assert len(rows) == len(d_rows)
+    assert _bag(df.columns, rows) == _bag(d_cols, d_rows)
+
+
+def test_entry_smoke(spark):
+    df = entry.entry(spark)
+    assert df.columns[:3] == ["dt_year", "dt_month", "dt_day"]
+    assert df.count() > 0
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_no_python_in_plans(spark, sf001, name):
+    plan = _plan(entry.queries()[name](spark, sf001))
+    for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
+        assert node not in plan
+
+
+def test_daily_plan_pushdown_and_pruning(spark, sf001):
+    plan = _plan(entry.queries()["daily_summary"](spark, sf001))
+    assert "GreaterThanOrEqual(l_shipdate,1995-01-01T00:00)" in plan
+    assert "LessThan(l_shipdate,1996-01-01T00:00)" in plan
+    read = plan.split("ReadSchema: ")[1].split("\n")[0]
+    assert "l_orderkey" not in read and "l_returnflag" not in read
+
+
+def test_top_groups_is_top_k(spark, sf001):
+    assert "TakeOrderedAndProject" in _plan(entry.queries()["top_groups"](spark, sf001))
+
+
+def test_row_count_reads_no_columns(spark, sf001):
+    plan = _plan(entry.queries()["row_count"](spark, sf001))
+    assert "ReadSchema: struct<>" in plan
+
+
+def test_sf0001_present():
+    assert (TESTDATA / "sf0.001" / "lineitem.parquet").exists()
