@@ -77,7 +77,7 @@ def run_daily(
     daily = daily_summary(df, cols, year=year, months=months, **summary_options).checkpoint(eager=True)
 
     total_rows = row_count(df).first()[0]
-    overview = daily_overview(daily).checkpoint(eager=True)
+    overview = daily_overview(daily)
     ov = overview.first()
     outputs = {}
     if out_csv:
