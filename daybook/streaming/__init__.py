@@ -1,0 +1,3 @@
+from daybook.streaming.incremental import incremental_daily, incremental_hourly, run_incremental, stream_source
+
+__all__ = ["incremental_daily", "incremental_hourly", "run_incremental", "stream_source"]
