@@ -93,10 +93,9 @@ def daily_summary(
 
     Rows are newest day first when ``ordered``.
     """
-    src = select_period(df, cols.ts, year, months)
-    passengers = nan_to_null(src, cols.passengers) if nan_as_null else F.col(cols.passengers)
+    passengers = nan_to_null(df, cols.passengers) if nan_as_null else F.col(cols.passengers)
     parts = date_parts(cols.ts)
-    src = src.select(
+    src = select_period(df, cols.ts, year, months).select(
         *[expr.alias(name) for name, expr in parts.items()],
         F.col(cols.distance).alias("_distance"),
         F.col(cols.tax).alias("_tax"),
@@ -122,8 +121,7 @@ def daily_summary(
     out = src.groupBy(*DAY_KEYS).agg(*metrics)
     if exact:
         q = exact_percentile(src, list(DAY_KEYS), "_fare", quantile, "q95_fare_amount")
-        out = out.join(q, list(DAY_KEYS), "left")
-    out = out.select(*SUMMARY_COLUMNS)
+        out = out.join(q, list(DAY_KEYS), "left").select(*SUMMARY_COLUMNS)
     if ordered:
         out = out.orderBy(*[F.col(k).desc() for k in DAY_KEYS])
     return out

@@ -54,8 +54,22 @@ LINEITEM_TRIPS = TripColumns(
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+_VIEWS: dict[tuple[int, str], str] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The test table ``name`` of ``sf_dir``, registered once per session as a temp view.
+
+    Later calls reuse the view: no new file listing or footer read for each
+    query. The view is re-registered when another ``sf_dir`` is asked for.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    view = f"daybook_{name}"
+    key = (id(spark), view)
+    if _VIEWS.get(key) != path or not spark.catalog.tableExists(view):
+        spark.read.parquet(path).createOrReplaceTempView(view)
+        _VIEWS[key] = path
+    return spark.table(view)
 
 
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
