@@ -48,6 +48,13 @@ def run_activity(
     outputs: dict[str, str] = {}
     if out_dir:
         names = output_names(mode)
+        orders = {
+            "dataset_stats": [],
+            "top_subreddits": [F.col("n").desc(), F.col(group_col).asc_nulls_last()],
+            "peak_hours": [F.col("hour")],
+        }
         for stem, frame in (("dataset_stats", stats), ("top_subreddits", top), ("peak_hours", hours)):
-            outputs[stem] = write_small_csv(frame, os.path.join(out_dir, names[stem]))
+            # Sizes are bounded by construction: 1 row, top_n rows, <= 24 hours.
+            path = os.path.join(out_dir, names[stem])
+            outputs[stem] = write_small_csv(frame, path, orders[stem], max_rows=None)
     return ActivityRun(stats, top, hours, outputs)

@@ -17,9 +17,10 @@ from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from daybook.operators.basic import row_count
-from daybook.operators.daily import TripColumns, daily_overview, daily_summary, newest_days
+from daybook.operators.daily import DAY_KEYS, TripColumns, daily_overview, daily_summary, newest_days
 from daybook.session import ensure_checkpoint_dir
 from daybook.sinks.csv import write_small_csv
 from daybook.sinks.report import daily_report
@@ -81,7 +82,8 @@ def run_daily(
     ov = overview.first()
     outputs = {}
     if out_csv:
-        outputs["daily"] = write_small_csv(daily, out_csv)
+        newest_first = [F.col(k).desc() for k in DAY_KEYS]
+        outputs["daily"] = write_small_csv(daily, out_csv, newest_first)
     return DailyRun(
         daily=daily,
         total_rows=int(total_rows),

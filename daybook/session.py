@@ -18,10 +18,6 @@ DEFAULTS: dict[str, str] = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Coalesce small shuffle partitions by size (advisory 64 MB) instead of
-    # keeping one per core: aggregated results here are tiny (days, hours,
-    # top-k), and on a busy cluster many near-empty tasks only add overhead.
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # A year has up to 366 day groups; above 128 keys per task the object
     # aggregate (percentile sketch) falls back to sort-based aggregation.

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 
 # Output file names per run mode.
 OUTPUT_STEMS = ("dataset_stats", "top_subreddits", "peak_hours")
@@ -22,15 +24,27 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
-def write_small_csv(df: DataFrame, path: str, max_rows: int = 1_000_000, mode: str = "overwrite") -> str:
+def write_small_csv(
+    df: DataFrame,
+    path: str,
+    order_by: Sequence[Column | str] = (),
+    max_rows: int | None = 1_000_000,
+    mode: str = "overwrite",
+) -> str:
     """One CSV part file with a header, for a small result (a report table).
 
-    ``coalesce(1)`` puts the result in one task, so the size is checked
-    first: a result over ``max_rows`` rows is refused rather than funnelled
-    through one task. The count runs over the (already small) result.
+    The result is moved into one partition with ``repartition(1)`` (a shuffle
+    of the small result only; ``coalesce(1)`` would pull the stage that
+    computes it into one task) and sorted there by ``order_by``.
+    The size is checked first: a result over ``max_rows`` rows is refused
+    rather than funnelled through one task. The check is one more job over the
+    result, so pass a checkpointed result, or ``max_rows=None`` when the size
+    is bounded by construction (one row, a top-k, 24 hours).
     """
-    n = df.limit(max_rows + 1).count()
-    if n > max_rows:
+    if max_rows is not None and df.limit(max_rows + 1).count() > max_rows:
         raise ValueError(f"result has more than {max_rows} rows; use write_csv")
-    df.coalesce(1).write.mode(mode).option("header", True).csv(path)
+    one = df.repartition(1)
+    if order_by:
+        one = one.sortWithinPartitions(*order_by)
+    one.write.mode(mode).option("header", True).csv(path)
     return path

@@ -7,6 +7,7 @@ import datetime as dt
 import glob
 
 import pytest
+from pyspark.sql import functions as F
 
 from daybook.operators.daily import daily_summary
 from daybook.sinks import (
@@ -47,7 +48,8 @@ def read_csv(path):
 
 
 def test_small_csv_one_file_header(daily, tmp_path):
-    out = write_small_csv(daily, str(tmp_path / "daily_averages.csv"))
+    desc = ["dt_year", "dt_month", "dt_day"]
+    out = write_small_csv(daily, str(tmp_path / "daily_averages.csv"), [F.col(c).desc() for c in desc])
     parts, rows = read_csv(out)
     assert len(parts) == 1
     assert rows[0][:4] == ["dt_year", "dt_month", "dt_day", "num_trips"]
@@ -61,6 +63,13 @@ def test_small_csv_refuses_big(spark, tmp_path):
         write_small_csv(spark.range(50), str(tmp_path / "x"), max_rows=10)
 
 
+def test_small_csv_keeps_upstream_parallel(spark, tmp_path):
+    counts = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    out = write_small_csv(counts, str(tmp_path / "k"), ["k"], max_rows=None)
+    parts, rows = read_csv(out)
+    assert len(parts) == 1 and [r[0] for r in rows[1:]] == [str(i) for i in range(7)]
+
+
 def test_distributed_csv(spark, tmp_path):
     out = write_csv(spark.range(100).repartition(4), str(tmp_path / "d"))
     parts, rows = read_csv(out)
