@@ -20,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.functions.time import epoch_seconds, with_date_parts, year_range
+from daybook.functions.time import epoch_seconds, with_date_parts, year_equals, year_range
 from daybook.operators.activity import (
     distinct_count,
     distinct_stats,
@@ -96,6 +96,22 @@ def q_daily_summary_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _daily(spark, sf_dir, exact=True)
 
 
+def q_daily_first_half(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The month-subset load (months 1-6) feeding the daily summary.
+    return daily_summary(
+        table(spark, sf_dir, "lineitem"),
+        LINEITEM_TRIPS,
+        year=KEPT_YEAR,
+        months=FIRST_MONTHS,
+        mean_digits=MEAN_DIGITS,
+    )
+
+
+def q_daily_all_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # No year kept: one row per day over the whole table.
+    return daily_summary(table(spark, sf_dir, "lineitem"), LINEITEM_TRIPS, mean_digits=MEAN_DIGITS)
+
+
 def q_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row_count(table(spark, sf_dir, "lineitem"), "total_rows")
 
@@ -105,6 +121,12 @@ def q_year_filter_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row_count(li.where(year_range(li, "l_shipdate", KEPT_YEAR)), "filtered_rows")
 
 
+def q_year_function_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The reference's own filter form, year(ts) = y (same rows as the range form).
+    li = table(spark, sf_dir, "lineitem")
+    return row_count(li.where(year_equals("l_shipdate", KEPT_YEAR)), "filtered_rows")
+
+
 def q_date_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
     return with_date_parts(li, "l_shipdate")
@@ -164,8 +186,11 @@ def q_even_double(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "daily_summary": q_daily_summary,
     "daily_summary_exact": q_daily_summary_exact,
+    "daily_first_half": q_daily_first_half,
+    "daily_all_years": q_daily_all_years,
     "row_count": q_row_count,
     "year_filter_count": q_year_filter_count,
+    "year_function_count": q_year_function_count,
     "date_parts": q_date_parts,
     "month_subset": q_month_subset,
     "daily_top20": q_daily_top20,
@@ -182,7 +207,7 @@ QUERIES: dict[str, Query] = {
 }
 
 
-_DAILY_SQL = """SELECT CAST(year(l_shipdate) AS INT) AS dt_year,
+_DAILY_SELECT = """SELECT CAST(year(l_shipdate) AS INT) AS dt_year,
        CAST(month(l_shipdate) AS INT) AS dt_month,
        CAST(day(l_shipdate) AS INT) AS dt_day,
        count(*) AS num_trips,
@@ -191,14 +216,22 @@ _DAILY_SQL = """SELECT CAST(year(l_shipdate) AS INT) AS dt_year,
        quantile_disc(l_extendedprice, 0.95) AS q95_fare_amount,
        min(l_discount) AS min_tip_amount,
        CAST(ceil(avg(l_quantity)) AS BIGINT) AS mean_passenger_count
-FROM lineitem
+FROM lineitem"""
+
+_DAILY_SQL = f"""{_DAILY_SELECT}
 WHERE year(l_shipdate) = 1995
 GROUP BY 1, 2, 3"""
 
 ORACLE_SQL: dict[str, str] = {
     "daily_summary": _DAILY_SQL,
     "daily_summary_exact": _DAILY_SQL,
+    "daily_first_half": f"""{_DAILY_SELECT}
+WHERE year(l_shipdate) = 1995 AND month(l_shipdate) BETWEEN 1 AND 6
+GROUP BY 1, 2, 3""",
+    "daily_all_years": f"""{_DAILY_SELECT}
+GROUP BY 1, 2, 3""",
     "row_count": "SELECT count(*) AS total_rows FROM lineitem",
+    "year_function_count": "SELECT count(*) AS filtered_rows FROM lineitem WHERE year(l_shipdate) = 1995",
     "year_filter_count": (
         "SELECT count(*) AS filtered_rows FROM lineitem "
         "WHERE l_shipdate >= TIMESTAMP '1995-01-01' AND l_shipdate < TIMESTAMP '1996-01-01'"
