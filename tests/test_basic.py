@@ -33,3 +33,12 @@ def test_bad_view_name(spark):
 
 def test_first_value_empty(spark):
     assert first_value(sequence(spark, 0), "id") is None
+
+
+def test_conf_passed_through(spark):
+    from daybook import session
+
+    s = session.build("again", {"spark.hadoop.fs.s3a.endpoint": "http://example.invalid"})
+    assert s is spark or s.sparkContext is spark.sparkContext
+    assert s.conf.get("spark.hadoop.fs.s3a.endpoint") == "http://example.invalid"
+    assert s.conf.get("spark.sql.execution.arrow.pyspark.enabled") == "true"
