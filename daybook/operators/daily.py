@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from daybook.functions.numeric import ceil_mean, nan_to_null
 from daybook.functions.time import date_parts, months_between_range, year_range
 from daybook.operators.percentile import exact_percentile
+from daybook.session import ensure_checkpoint_dir
 
 DAY_KEYS = ("dt_year", "dt_month", "dt_day")
 
@@ -91,7 +92,7 @@ def daily_summary(
     * ``mean_passenger_count``: mean rounded up (BIGINT). NaN is read as
       NULL first unless ``nan_as_null=False`` (raw Spark gives 0 for NaN).
 
-    Rows are newest day first when ``ordered``.
+    Rows are newest day first when ``ordered`` (see ``newest_first``).
     """
     passengers = nan_to_null(df, cols.passengers) if nan_as_null else F.col(cols.passengers)
     parts = date_parts(cols.ts)
@@ -118,13 +119,30 @@ def daily_summary(
         F.min("_tip").alias("min_tip_amount"),
         ceil_mean(F.col("_passengers")).alias("mean_passenger_count"),
     ]
-    out = src.groupBy(*DAY_KEYS).agg(*metrics)
-    if exact:
-        q = exact_percentile(src, list(DAY_KEYS), "_fare", quantile, "q95_fare_amount")
-        out = out.join(q, list(DAY_KEYS), "left").select(*SUMMARY_COLUMNS)
-    if ordered:
-        out = out.orderBy(*[F.col(k).desc() for k in DAY_KEYS])
-    return out
+    if not exact:
+        out = src.groupBy(*DAY_KEYS).agg(*metrics)
+    else:
+        # The aggregate also counts non-NULL fares per day: its small result
+        # (one row per day, checkpointed) gives the exact percentile its group
+        # sizes, so the input is read twice, not three times.
+        ensure_checkpoint_dir(df.sparkSession)
+        counted = src.groupBy(*DAY_KEYS).agg(*metrics, F.count("_fare").alias("_n")).checkpoint()
+        sizes = counted.select(*DAY_KEYS, "_n")
+        q = exact_percentile(src, list(DAY_KEYS), "_fare", quantile, "q95_fare_amount", sizes=sizes)
+        out = counted.join(q, list(DAY_KEYS), "left").select(*SUMMARY_COLUMNS)
+    return newest_first(out) if ordered else out
+
+
+def newest_first(daily: DataFrame) -> DataFrame:
+    """Sort a daily result newest day first, in one partition.
+
+    The result holds at most one row per calendar day (366 per year), so one
+    partition holds it. A global ``orderBy`` would first sample its input
+    for range bounds, and that sample job runs the final aggregation (the
+    merge of every task's percentile sketches) a second time; moving the
+    finished rows into one partition and sorting there runs it once.
+    """
+    return daily.repartition(1).sortWithinPartitions(*[F.col(k).desc() for k in DAY_KEYS])
 
 
 def newest_days(daily: DataFrame, n: int = 20) -> DataFrame:

@@ -30,6 +30,8 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from daybook.session import ensure_checkpoint_dir
+
 BROADCAST_ROWS = 200_000
 
 
@@ -98,19 +100,26 @@ def exact_percentile(
     accuracy: int = 10_000,
     max_rounds: int = 12,
     broadcast_rows: int = BROADCAST_ROWS,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """One row per group holding a non-NULL value: ``keys`` + ``alias``.
 
     Equals SQL ``percentile_disc(p) WITHIN GROUP (ORDER BY value)``: the
     smallest value whose cumulative share reaches ``p``. NULLs are ignored.
+
+    ``sizes`` (``keys`` + ``_n``, the number of non-NULL values per group)
+    can be passed when a caller's own aggregation already counted them; it
+    saves the pass over the input that counts them here.
     """
+    ensure_checkpoint_dir(df.sparkSession)
     base = df.select(*keys, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
-    sizes = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    big = sizes.where(F.col("_n") > max_rows).withColumn("_r", rank_target(p, F.col("_n")))
-    if big.isEmpty():
-        return _rank_whole_groups(base, keys, p, alias)
+    if sizes is None:
+        sizes = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    big = sizes.where(F.col("_n") > max_rows).select(*keys, "_n", rank_target(p, F.col("_n")).alias("_r"))
     big = big.checkpoint()
     n_big = big.count()
+    if n_big == 0:
+        return _rank_whole_groups(base, keys, p, alias)
 
     big_keys = _keyed(big.select(*keys), n_big, broadcast_rows)
     parts = [_rank_whole_groups(base.join(big_keys, keys, "left_anti"), keys, p, alias)]
