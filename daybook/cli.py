@@ -17,6 +17,7 @@ import sys
 
 from daybook import session
 from daybook.operators.daily import TripColumns
+from daybook.sinks.csv import DAILY_CSV
 
 
 def _months(text: str) -> list[int]:
@@ -140,7 +141,7 @@ def main(argv: list[str] | None = None) -> int:
     defaults = TripColumns()
     for name in ("ts", "distance", "tax", "fare", "tip", "passengers"):
         d.add_argument(f"--{name}", default=getattr(defaults, name))
-    d.add_argument("--out", default="daily_averages.csv")
+    d.add_argument("--out", default=DAILY_CSV)
     d.add_argument("--accuracy", type=int, default=10000)
     d.add_argument("--exact", action="store_true")
     d.add_argument("--declared-schema", action="store_true")

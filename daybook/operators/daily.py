@@ -22,7 +22,7 @@ from daybook.session import ensure_checkpoint_dir
 
 DAY_KEYS = ("dt_year", "dt_month", "dt_day")
 
-# Fixed output names of the daily summary (the reference's CSV header).
+# The daily summary's output column names, in output order.
 SUMMARY_COLUMNS = (
     "dt_year",
     "dt_month",

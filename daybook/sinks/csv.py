@@ -6,7 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 
-# Output file names per run mode.
+# Output file names. The daily run writes DAILY_CSV; the
+# activity run writes one CSV per stem, named "{stem}_{mode}.csv".
+DAILY_CSV = "daily_averages.csv"
 OUTPUT_STEMS = ("dataset_stats", "top_subreddits", "peak_hours")
 MODES = ("local", "cluster")
 

@@ -12,6 +12,25 @@ from pyspark.sql import types as T
 
 from daybook.operators.daily import newest_days
 
+# The per-day report's labels and number formats, in the order
+# the lines are printed (counts with thousands separators, amounts with two
+# decimals, the rounded-up passenger mean with none).
+DAY_LABEL = "Year: %d, Month: %02d, Day: %02d"
+TRIPS_LABEL = "Trips: %s"
+DISTANCE_LABEL = "Avg Distance: %.2f miles"
+TAX_LABEL = "Max MTA Tax: $%.2f"
+FARE_LABEL = "95th Percentile Fare: $%.2f"
+TIP_LABEL = "Min Tip: $%.2f"
+PASSENGERS_LABEL = "Avg Passengers: %.0f"
+
+# The run overview's lines, in printed order.
+ROWS_LABEL = "Rows in period: %s"
+DAYS_LABEL = "Days with data: %d"
+RANGE_LABEL = "Date range: %s to %s"
+COMPONENT_RANGE_LABEL = "Date range (month/day min-max): %s"
+TOTAL_TRIPS_LABEL = "Total trips: %s"
+MEAN_TRIPS_LABEL = "Average daily trips: %.0f"
+
 
 def daily_report(daily: DataFrame, n: int = 5) -> DataFrame:
     """The ``n`` newest days as labelled text fields plus one ``text`` block each.
@@ -21,15 +40,13 @@ def daily_report(daily: DataFrame, n: int = 5) -> DataFrame:
     """
     top = newest_days(daily, n)
     fields = {
-        "day_label": F.format_string("Year: %d, Month: %02d, Day: %02d", "dt_year", "dt_month", "dt_day"),
-        "trips": F.format_string("Trips: %s", F.format_number("num_trips", 0)),
-        "avg_distance": F.format_string("Avg Distance: %.2f miles", "mean_trip_distance"),
-        "max_tax": F.format_string("Max MTA Tax: $%.2f", "max_mta_tax"),
-        "q95_fare": F.format_string("95th Percentile Fare: $%.2f", "q95_fare_amount"),
-        "min_tip": F.format_string("Min Tip: $%.2f", "min_tip_amount"),
-        "avg_passengers": F.format_string(
-            "Avg Passengers: %.0f", F.col("mean_passenger_count").cast("double")
-        ),
+        "day_label": F.format_string(DAY_LABEL, "dt_year", "dt_month", "dt_day"),
+        "trips": F.format_string(TRIPS_LABEL, F.format_number("num_trips", 0)),
+        "avg_distance": F.format_string(DISTANCE_LABEL, "mean_trip_distance"),
+        "max_tax": F.format_string(TAX_LABEL, "max_mta_tax"),
+        "q95_fare": F.format_string(FARE_LABEL, "q95_fare_amount"),
+        "min_tip": F.format_string(TIP_LABEL, "min_tip_amount"),
+        "avg_passengers": F.format_string(PASSENGERS_LABEL, F.col("mean_passenger_count").cast("double")),
     }
     out = top.select("dt_year", "dt_month", "dt_day", *[c.alias(k) for k, c in fields.items()])
     lines = [F.col("day_label")] + [F.concat(F.lit("  "), F.col(k)) for k in list(fields)[1:]]
@@ -39,14 +56,14 @@ def daily_report(daily: DataFrame, n: int = 5) -> DataFrame:
 def overview_report(overview: DataFrame, total_rows: DataFrame | None = None) -> DataFrame:
     """Summary lines over ``daily_overview``: days, date ranges, totals, mean per day."""
     cols = [
-        F.format_string("Rows in period: %s", F.format_number("total_trips", 0)).alias("rows_line"),
-        F.format_string("Days with data: %d", "total_days").alias("days_line"),
-        F.format_string(
-            "Date range: %s to %s", F.col("first_day").cast("string"), F.col("last_day").cast("string")
-        ).alias("range_line"),
-        F.format_string("Date range (month/day min-max): %s", "component_range").alias("component_line"),
-        F.format_string("Total trips: %s", F.format_number("total_trips", 0)).alias("trips_line"),
-        F.format_string("Average daily trips: %.0f", "avg_daily_trips").alias("mean_line"),
+        F.format_string(ROWS_LABEL, F.format_number("total_trips", 0)).alias("rows_line"),
+        F.format_string(DAYS_LABEL, "total_days").alias("days_line"),
+        F.format_string(RANGE_LABEL, F.col("first_day").cast("string"), F.col("last_day").cast("string")).alias(
+            "range_line"
+        ),
+        F.format_string(COMPONENT_RANGE_LABEL, "component_range").alias("component_line"),
+        F.format_string(TOTAL_TRIPS_LABEL, F.format_number("total_trips", 0)).alias("trips_line"),
+        F.format_string(MEAN_TRIPS_LABEL, "avg_daily_trips").alias("mean_line"),
     ]
     return overview.select(*cols)
 
