@@ -153,7 +153,8 @@ def newest_days(daily: DataFrame, n: int = 20) -> DataFrame:
 def daily_overview(daily: DataFrame) -> DataFrame:
     """One row over a daily summary: totals and the covered dates.
 
-    ``first_day``/``last_day`` are the real first and last day.
+    ``avg_daily_trips`` is rounded half to even, as the reference's printed
+    mean is. ``first_day``/``last_day`` are the real first and last day.
     ``component_range`` repeats the reference's printed range, which takes
     min/max of month and of day separately (so it need not be a real day).
     """
@@ -171,7 +172,7 @@ def daily_overview(daily: DataFrame) -> DataFrame:
     return daily.agg(
         F.coalesce(F.sum("num_trips"), F.lit(0)).cast("bigint").alias("total_trips"),
         n.alias("total_days"),
-        F.round(F.avg("num_trips"), 0).alias("avg_daily_trips"),
+        F.bround(F.avg("num_trips"), 0).alias("avg_daily_trips"),
         F.min(day).alias("first_day"),
         F.max(day).alias("last_day"),
         F.when(n > 0, component).alias("component_range"),

@@ -30,6 +30,7 @@ from daybook.operators.activity import (
     top_groups,
 )
 from daybook.operators.basic import even_double, row_count, sql_count
+from daybook.sinks.report import daily_report, overview_report
 from daybook.operators.daily import (
     TripColumns,
     daily_overview,
@@ -146,6 +147,15 @@ def q_daily_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_overview(_daily(spark, sf_dir, ordered=False))
 
 
+def q_daily_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The per-day text report of the five newest days (a top-k: the feature).
+    return daily_report(_daily(spark, sf_dir, ordered=False), 5)
+
+
+def q_overview_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overview_report(daily_overview(_daily(spark, sf_dir, ordered=False)))
+
+
 def q_dataset_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distinct_stats(comments(spark, sf_dir), {"unique_comments": "event_id", "unique_users": "user_id"})
 
@@ -197,6 +207,8 @@ QUERIES: dict[str, Query] = {
     "month_subset": q_month_subset,
     "daily_top20": q_daily_top20,
     "daily_overview": q_daily_overview,
+    "daily_report": q_daily_report,
+    "overview_report": q_overview_report,
     "dataset_stats": q_dataset_stats,
     "distinct_values": q_distinct_values,
     "distinct_count_nulls": q_distinct_count_nulls,
@@ -249,12 +261,45 @@ GROUP BY 1, 2, 3""",
     "daily_top20": f"SELECT * FROM ({_DAILY_SQL}) d ORDER BY dt_year DESC, dt_month DESC, dt_day DESC LIMIT 20",
     "daily_overview": f"""SELECT CAST(sum(num_trips) AS BIGINT) AS total_trips,
        count(*) AS total_days,
-       round(avg(num_trips), 0) AS avg_daily_trips,
+       round_even(avg(num_trips), 0) AS avg_daily_trips,
        min(make_date(dt_year, dt_month, dt_day)) AS first_day,
        max(make_date(dt_year, dt_month, dt_day)) AS last_day,
        printf('%02d/%02d/%d to %02d/%02d/%d', min(dt_month), min(dt_day), max(dt_year),
               max(dt_month), max(dt_day), max(dt_year)) AS component_range
 FROM ({_DAILY_SQL}) d""",
+    "daily_report": f"""SELECT dt_year, dt_month, dt_day, day_label, trips, avg_distance, max_tax, q95_fare,
+       min_tip, avg_passengers,
+       concat_ws(chr(10), day_label, '  ' || trips, '  ' || avg_distance, '  ' || max_tax,
+                 '  ' || q95_fare, '  ' || min_tip, '  ' || avg_passengers) AS text
+FROM (
+  SELECT dt_year, dt_month, dt_day,
+         printf('Year: %d, Month: %02d, Day: %02d', dt_year, dt_month, dt_day) AS day_label,
+         'Trips: ' || format('{{:,}}', num_trips) AS trips,
+         printf('Avg Distance: %.2f miles', mean_trip_distance) AS avg_distance,
+         printf('Max MTA Tax: $%.2f', max_mta_tax) AS max_tax,
+         printf('95th Percentile Fare: $%.2f', q95_fare_amount) AS q95_fare,
+         printf('Min Tip: $%.2f', min_tip_amount) AS min_tip,
+         printf('Avg Passengers: %.0f', CAST(mean_passenger_count AS DOUBLE)) AS avg_passengers
+  FROM ({_DAILY_SQL}) d
+  ORDER BY dt_year DESC, dt_month DESC, dt_day DESC
+  LIMIT 5
+) r""",
+    "overview_report": f"""SELECT 'Rows in period: ' || format('{{:,}}', total_trips) AS rows_line,
+       printf('Days with data: %d', total_days) AS days_line,
+       printf('Date range: %s to %s', CAST(first_day AS VARCHAR), CAST(last_day AS VARCHAR)) AS range_line,
+       printf('Date range (month/day min-max): %s', component_range) AS component_line,
+       'Total trips: ' || format('{{:,}}', total_trips) AS trips_line,
+       printf('Average daily trips: %.0f', avg_daily_trips) AS mean_line
+FROM (
+  SELECT CAST(sum(num_trips) AS BIGINT) AS total_trips,
+         count(*) AS total_days,
+         round_even(avg(num_trips), 0) AS avg_daily_trips,
+         min(make_date(dt_year, dt_month, dt_day)) AS first_day,
+         max(make_date(dt_year, dt_month, dt_day)) AS last_day,
+         printf('%02d/%02d/%d to %02d/%02d/%d', min(dt_month), min(dt_day), max(dt_year),
+                max(dt_month), max(dt_day), max(dt_year)) AS component_range
+  FROM ({_DAILY_SQL}) d
+) o""",
     "dataset_stats": (
         "SELECT count(DISTINCT event_id) AS unique_comments, count(DISTINCT user_id) AS unique_users FROM events"
     ),

@@ -1,7 +1,9 @@
 """Readable reports, schema profiles and guarded driver conversion.
 
-Formatting is done with ``format_string`` / ``format_number`` on the
-executors; only the few finished rows of a report reach the driver.
+Formatting runs on the executors with built-in expressions; only the few
+finished rows of a report reach the driver. Numbers print as Python's
+format mini-language prints them (``daybook.functions.text``), so the lines
+equal the reference's printed report character for character.
 """
 
 from __future__ import annotations
@@ -10,18 +12,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daybook.functions.text import fixed, grouped
 from daybook.operators.daily import newest_days
 
-# The per-day report's labels and number formats, in the order
-# the lines are printed (counts with thousands separators, amounts with two
-# decimals, the rounded-up passenger mean with none).
+# The per-day report's lines, in printed order. Trips print with
+# thousands separators, amounts with two decimals, the passenger mean with none.
 DAY_LABEL = "Year: %d, Month: %02d, Day: %02d"
 TRIPS_LABEL = "Trips: %s"
-DISTANCE_LABEL = "Avg Distance: %.2f miles"
-TAX_LABEL = "Max MTA Tax: $%.2f"
-FARE_LABEL = "95th Percentile Fare: $%.2f"
-TIP_LABEL = "Min Tip: $%.2f"
-PASSENGERS_LABEL = "Avg Passengers: %.0f"
+DISTANCE_LABEL = "Avg Distance: %s miles"
+TAX_LABEL = "Max MTA Tax: $%s"
+FARE_LABEL = "95th Percentile Fare: $%s"
+TIP_LABEL = "Min Tip: $%s"
+PASSENGERS_LABEL = "Avg Passengers: %s"
 
 # The run overview's lines, in printed order.
 ROWS_LABEL = "Rows in period: %s"
@@ -29,41 +31,37 @@ DAYS_LABEL = "Days with data: %d"
 RANGE_LABEL = "Date range: %s to %s"
 COMPONENT_RANGE_LABEL = "Date range (month/day min-max): %s"
 TOTAL_TRIPS_LABEL = "Total trips: %s"
-MEAN_TRIPS_LABEL = "Average daily trips: %.0f"
+MEAN_TRIPS_LABEL = "Average daily trips: %s"
 
 
 def daily_report(daily: DataFrame, n: int = 5) -> DataFrame:
-    """The ``n`` newest days as labelled text fields plus one ``text`` block each.
-
-    Amounts use two decimals (``%.2f``), counts thousands separators, the
-    rounded-up passenger mean no decimals.
-    """
+    """The ``n`` newest days as labelled text fields plus one ``text`` block each."""
     top = newest_days(daily, n)
     fields = {
         "day_label": F.format_string(DAY_LABEL, "dt_year", "dt_month", "dt_day"),
-        "trips": F.format_string(TRIPS_LABEL, F.format_number("num_trips", 0)),
-        "avg_distance": F.format_string(DISTANCE_LABEL, "mean_trip_distance"),
-        "max_tax": F.format_string(TAX_LABEL, "max_mta_tax"),
-        "q95_fare": F.format_string(FARE_LABEL, "q95_fare_amount"),
-        "min_tip": F.format_string(TIP_LABEL, "min_tip_amount"),
-        "avg_passengers": F.format_string(PASSENGERS_LABEL, F.col("mean_passenger_count").cast("double")),
+        "trips": F.format_string(TRIPS_LABEL, grouped("num_trips")),
+        "avg_distance": F.format_string(DISTANCE_LABEL, fixed("mean_trip_distance", 2)),
+        "max_tax": F.format_string(TAX_LABEL, fixed("max_mta_tax", 2)),
+        "q95_fare": F.format_string(FARE_LABEL, fixed("q95_fare_amount", 2)),
+        "min_tip": F.format_string(TIP_LABEL, fixed("min_tip_amount", 2)),
+        "avg_passengers": F.format_string(PASSENGERS_LABEL, fixed("mean_passenger_count", 0)),
     }
     out = top.select("dt_year", "dt_month", "dt_day", *[c.alias(k) for k, c in fields.items()])
     lines = [F.col("day_label")] + [F.concat(F.lit("  "), F.col(k)) for k in list(fields)[1:]]
     return out.withColumn("text", F.concat_ws("\n", *lines))
 
 
-def overview_report(overview: DataFrame, total_rows: DataFrame | None = None) -> DataFrame:
+def overview_report(overview: DataFrame) -> DataFrame:
     """Summary lines over ``daily_overview``: days, date ranges, totals, mean per day."""
     cols = [
-        F.format_string(ROWS_LABEL, F.format_number("total_trips", 0)).alias("rows_line"),
+        F.format_string(ROWS_LABEL, grouped("total_trips")).alias("rows_line"),
         F.format_string(DAYS_LABEL, "total_days").alias("days_line"),
         F.format_string(RANGE_LABEL, F.col("first_day").cast("string"), F.col("last_day").cast("string")).alias(
             "range_line"
         ),
         F.format_string(COMPONENT_RANGE_LABEL, "component_range").alias("component_line"),
-        F.format_string(TOTAL_TRIPS_LABEL, F.format_number("total_trips", 0)).alias("trips_line"),
-        F.format_string(MEAN_TRIPS_LABEL, "avg_daily_trips").alias("mean_line"),
+        F.format_string(TOTAL_TRIPS_LABEL, grouped("total_trips")).alias("trips_line"),
+        F.format_string(MEAN_TRIPS_LABEL, fixed("avg_daily_trips", 0)).alias("mean_line"),
     ]
     return overview.select(*cols)
 
