@@ -7,7 +7,8 @@
 
 On a cluster leave ``--master`` out and pass it to ``spark-submit``. Extra
 settings (object-store credentials provider, endpoint, ...) go in
-``--conf key=value``. Exit code 0 on success, 1 on failure.
+``--conf key=value``. ``--input-gb N --total-cores C`` sizes scan splits and
+shuffle partitions for the input (``session.scale_settings``). Exit code 0 on success, 1 on failure.
 """
 
 from __future__ import annotations
@@ -131,6 +132,8 @@ def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="daybook")
     ap.add_argument("--master", default=None)
     ap.add_argument("--conf", action="append", default=[])
+    ap.add_argument("--input-gb", type=float, help="input size; with --total-cores sizes splits and shuffles")
+    ap.add_argument("--total-cores", type=int, help="executor cores of the cluster")
     sub = ap.add_subparsers(dest="cmd", required=True)
 
     d = sub.add_parser("daily")
@@ -166,7 +169,11 @@ def main(argv: list[str] | None = None) -> int:
     args = ap.parse_args(argv)
     if args.cmd == "daily" and not (args.root or args.paths):
         ap.error("daily needs --root or --paths")
-    spark = session.build(f"daybook-{args.cmd}", _conf(args.conf), master=args.master)
+    conf: dict[str, str] = {}
+    if args.input_gb is not None and args.total_cores:
+        conf.update(session.scale_settings(int(args.input_gb * session.GB), args.total_cores))
+    conf.update(_conf(args.conf))  # explicit settings win
+    spark = session.build(f"daybook-{args.cmd}", conf, master=args.master)
     try:
         return {"daily": cmd_daily, "activity": cmd_activity, "check": cmd_check, "probe": cmd_probe}[args.cmd](
             spark, args

@@ -113,13 +113,18 @@ def exact_percentile(
     """
     ensure_checkpoint_dir(df.sparkSession)
     base = df.select(*keys, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
+    given = sizes is not None
     if sizes is None:
         sizes = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     big = sizes.where(F.col("_n") > max_rows).select(*keys, "_n", rank_target(p, F.col("_n")).alias("_r"))
-    big = big.checkpoint()
+    if not given:
+        # Counting the sizes reads the input: keep them, then count.
+        big = big.checkpoint()
     n_big = big.count()
     if n_big == 0:
         return _rank_whole_groups(base, keys, p, alias)
+    if given:
+        big = big.checkpoint()
 
     big_keys = _keyed(big.select(*keys), n_big, broadcast_rows)
     parts = [_rank_whole_groups(base.join(big_keys, keys, "left_anti"), keys, p, alias)]

@@ -8,6 +8,7 @@ are passed in ``conf`` like any other setting.
 
 from __future__ import annotations
 
+import math
 import tempfile
 from collections.abc import Mapping
 
@@ -26,6 +27,44 @@ DEFAULTS: dict[str, str] = {
 }
 
 
+MB = 1024 * 1024
+GB = 1024 * MB
+
+
+def scale_settings(
+    input_bytes: int,
+    total_cores: int,
+    split_bytes: int = 512 * MB,
+    shuffle_partition_bytes: int = 1 * GB,
+    advisory_bytes: int = 256 * MB,
+) -> dict[str, str]:
+    """Scan and shuffle sizes for a run over ``input_bytes`` of Parquet on ``total_cores`` cores.
+
+    * Scan splits of ``split_bytes`` (never fewer than one split per core):
+      each scan task's partial aggregate emits one buffer per key, so fewer,
+      larger splits also mean fewer buffers shuffled (for the daily summary,
+      percentile sketches).
+    * Shuffle partitions sized for the largest shuffle: an exact distinct
+      count of a near-unique id moves about one row per input row, so the
+      count is the input size over ``shuffle_partition_bytes`` (at least two
+      per core), which keeps a reduce task's share within executor memory
+      and lets it spill in bounded pieces.
+    * AQE starts from that count and merges the partitions of the small
+      shuffles (daily and hourly buffers, top-k counts) up to
+      ``advisory_bytes``, so they do not run as many tiny tasks.
+    """
+    if input_bytes < 0 or total_cores <= 0:
+        raise ValueError("need input_bytes >= 0 and total_cores > 0")
+    split = min(split_bytes, max(4 * MB, math.ceil(input_bytes / total_cores)))
+    partitions = max(2 * total_cores, math.ceil(input_bytes / shuffle_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(advisory_bytes),
+    }
+
+
 def build(
     app: str = "daybook",
     conf: Mapping[str, str] | None = None,

@@ -42,3 +42,16 @@ def test_conf_passed_through(spark):
     assert s is spark or s.sparkContext is spark.sparkContext
     assert s.conf.get("spark.hadoop.fs.s3a.endpoint") == "http://example.invalid"
     assert s.conf.get("spark.sql.execution.arrow.pyspark.enabled") == "true"
+
+
+def test_scale_settings():
+    from daybook.session import GB, MB, scale_settings
+
+    big = scale_settings(100_000 * GB, 8000)
+    assert big["spark.sql.files.maxPartitionBytes"] == str(512 * MB)
+    assert big["spark.sql.shuffle.partitions"] == "100000"
+    assert big["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "100000"
+    small = scale_settings(80 * MB, 8)
+    # Small input: at least one split per core, two shuffle partitions per core.
+    assert small["spark.sql.files.maxPartitionBytes"] == str(10 * MB)
+    assert small["spark.sql.shuffle.partitions"] == "16"
