@@ -30,7 +30,7 @@ from daybook.operators.activity import (
     top_groups,
 )
 from daybook.operators.basic import even_double, row_count, sql_count
-from daybook.sinks.report import daily_report, overview_report
+from daybook.sinks.report import daily_report, overview_report, sample_rows
 from daybook.operators.daily import (
     TripColumns,
     daily_overview,
@@ -134,6 +134,13 @@ def q_date_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_date_parts(li, "l_shipdate")
 
 
+def q_raw_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The reference's first look at the raw rows (show 5, untruncated), made
+    # repeatable: every column is a sort key, so only identical rows tie.
+    li = table(spark, sf_dir, "lineitem")
+    return sample_rows(li, 5, li.columns)
+
+
 def q_month_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return month_counts(table(spark, sf_dir, "lineitem"), "l_shipdate", KEPT_YEAR, FIRST_MONTHS)
 
@@ -204,6 +211,7 @@ QUERIES: dict[str, Query] = {
     "year_filter_count": q_year_filter_count,
     "year_function_count": q_year_function_count,
     "date_parts": q_date_parts,
+    "raw_sample": q_raw_sample,
     "month_subset": q_month_subset,
     "daily_top20": q_daily_top20,
     "daily_overview": q_daily_overview,
@@ -254,6 +262,17 @@ GROUP BY 1, 2, 3""",
         "SELECT l_orderkey, l_linenumber, l_shipdate, CAST(year(l_shipdate) AS INT) AS dt_year, "
         "CAST(month(l_shipdate) AS INT) AS dt_month, CAST(day(l_shipdate) AS INT) AS dt_day FROM lineitem"
     ),
+    "raw_sample": (
+        "SELECT * FROM lineitem ORDER BY "
+        + ", ".join(
+            f"{c} ASC NULLS FIRST"
+            for c in (
+                "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice "
+                "l_discount l_tax l_returnflag l_linestatus l_shipdate"
+            ).split()
+        )
+        + " LIMIT 5"
+    ),
     "month_subset": (
         "SELECT CAST(month(l_shipdate) AS INT) AS dt_month, count(*) AS num_trips FROM lineitem "
         "WHERE year(l_shipdate) = 1995 AND month(l_shipdate) BETWEEN 1 AND 6 GROUP BY 1"

@@ -89,3 +89,11 @@ def test_row_count_reads_no_columns(spark, sf001):
 
 def test_sf0001_present():
     assert (TESTDATA / "sf0.001" / "lineitem.parquet").exists()
+
+
+def test_daily_sort_needs_no_range_sample(spark, sf001):
+    # Newest-first order comes from one partition of finished rows, not a
+    # range-partitioned global sort (whose sampling re-runs the final merge).
+    plan = _plan(entry.queries()["daily_summary"](spark, sf001))
+    assert "rangepartitioning" not in plan
+    assert "SinglePartition" in plan
