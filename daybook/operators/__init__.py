@@ -7,7 +7,7 @@ from daybook.operators.activity import (
     peak_hours,
     top_groups,
 )
-from daybook.operators.basic import even_double, first_value, row_count, sequence, sql_count
+from daybook.operators.basic import even_double, first_value, row_count, sequence, sort_small, sql_count
 from daybook.operators.daily import (
     DAY_KEYS,
     SUMMARY_COLUMNS,
@@ -40,6 +40,7 @@ __all__ = [
     "row_count",
     "select_period",
     "sequence",
+    "sort_small",
     "sql_count",
     "top_groups",
 ]

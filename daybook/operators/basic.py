@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -34,3 +34,14 @@ def first_value(df: DataFrame, column: str):
     """The first row's ``column``: the one place a scalar comes back to the driver."""
     row = df.first()
     return None if row is None else row[column]
+
+
+def sort_small(df: DataFrame, *order: str | Column) -> DataFrame:
+    """Sort a result that is small by construction (days, hours, a report) in one partition.
+
+    ``orderBy`` plans a range-partitioned exchange whose bounds come from a
+    sample job over its input, so the aggregation feeding it runs twice.
+    Moving the finished rows into one partition (a shuffle of the small
+    result only) and sorting there runs it once.
+    """
+    return df.repartition(1).sortWithinPartitions(*order)

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions.numeric import ceil_mean, nan_to_null
+from daybook.operators.basic import sort_small
 from daybook.functions.time import date_parts, months_between_range, year_range
 from daybook.operators.percentile import exact_percentile
 from daybook.session import ensure_checkpoint_dir
@@ -142,7 +143,7 @@ def newest_first(daily: DataFrame) -> DataFrame:
     merge of every task's percentile sketches) a second time; moving the
     finished rows into one partition and sorting there runs it once.
     """
-    return daily.repartition(1).sortWithinPartitions(*[F.col(k).desc() for k in DAY_KEYS])
+    return sort_small(daily, *[F.col(k).desc() for k in DAY_KEYS])
 
 
 def newest_days(daily: DataFrame, n: int = 20) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.operators.activity import distinct_stats, hourly_counts, top_groups
+from daybook.operators.basic import sort_small
 from daybook.sinks.csv import output_names, write_small_csv
 
 
@@ -44,7 +45,7 @@ def run_activity(
     """
     stats = distinct_stats(df, {"unique_comments": id_col, "unique_users": user_col}, approx=approx)
     top = top_groups(df, group_col, top_n)
-    hours = hourly_counts(df, time_col).orderBy(F.col("hour"))
+    hours = sort_small(hourly_counts(df, time_col), F.col("hour"))
     outputs: dict[str, str] = {}
     if out_dir:
         names = output_names(mode)

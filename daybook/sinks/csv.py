@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 
+from daybook.operators.basic import sort_small
+
 # Output file names. The daily run writes DAILY_CSV; the
 # activity run writes one CSV per stem, named "{stem}_{mode}.csv".
 DAILY_CSV = "daily_averages.csv"
@@ -45,8 +47,6 @@ def write_small_csv(
     """
     if max_rows is not None and df.limit(max_rows + 1).count() > max_rows:
         raise ValueError(f"result has more than {max_rows} rows; use write_csv")
-    one = df.repartition(1)
-    if order_by:
-        one = one.sortWithinPartitions(*order_by)
+    one = sort_small(df, *order_by) if order_by else df.repartition(1)
     one.write.mode(mode).option("header", True).csv(path)
     return path
