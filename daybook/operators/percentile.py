@@ -51,20 +51,35 @@ def _keyed(small: DataFrame, rows: int, limit: int) -> DataFrame:
     return F.broadcast(small) if rows <= limit else small
 
 
+def _by_value(keys: list[str]) -> Window:
+    return Window.partitionBy(*keys).orderBy(F.col("_v").asc())
+
+
 def _rank_groups(rows: DataFrame, keys: list[str], alias: str) -> DataFrame:
     """Value at rank ``_r`` within each group (groups are bounded in size)."""
-    w = Window.partitionBy(*keys).orderBy(F.col("_v").asc())
     return (
-        rows.withColumn("_i", F.row_number().over(w))
+        rows.withColumn("_i", F.row_number().over(_by_value(keys)))
         .where(F.col("_i") == F.col("_r"))
         .select(*keys, F.col("_v").alias(alias))
     )
 
 
 def _rank_whole_groups(rows: DataFrame, keys: list[str], p: float, alias: str) -> DataFrame:
-    """Rank groups whose size is known to be bounded: one shuffle, one sort."""
-    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    return _rank_groups(rows.withColumn("_r", rank_target(p, n)), keys, alias)
+    """Rank groups whose size is known to be bounded: one shuffle, one sort.
+
+    The group size is counted over the same ordered window as the row
+    number (whole-group frame), so both come from one ``Window`` operator
+    over one sort; an unordered count window would add a second sort.
+    """
+    w = _by_value(keys)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ranked = rows.select(
+        *keys,
+        "_v",
+        F.row_number().over(w).alias("_i"),
+        rank_target(p, F.count(F.lit(1)).over(whole)).alias("_r"),
+    )
+    return ranked.where(F.col("_i") == F.col("_r")).select(*keys, F.col("_v").alias(alias))
 
 
 def _band_bounds(
