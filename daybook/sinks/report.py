@@ -46,9 +46,15 @@ def daily_report(daily: DataFrame, n: int = 5) -> DataFrame:
         "min_tip": F.format_string(TIP_LABEL, fixed("min_tip_amount", 2)),
         "avg_passengers": F.format_string(PASSENGERS_LABEL, fixed("mean_passenger_count", 0)),
     }
-    out = top.select("dt_year", "dt_month", "dt_day", *[c.alias(k) for k, c in fields.items()])
-    lines = [F.col("day_label")] + [F.concat(F.lit("  "), F.col(k)) for k in list(fields)[1:]]
-    return out.withColumn("text", F.concat_ws("\n", *lines))
+    # ``text`` repeats the field expressions instead of referring to the
+    # aliases: one projection over the top-k keeps the plan a single
+    # TakeOrderedAndProject (a second projection on top would turn it into a
+    # limit over a global, range-sampled sort).
+    exprs = list(fields.values())
+    text = F.concat_ws("\n", exprs[0], *[F.concat(F.lit("  "), e) for e in exprs[1:]])
+    return top.select(
+        "dt_year", "dt_month", "dt_day", *[c.alias(k) for k, c in fields.items()], text.alias("text")
+    )
 
 
 def overview_report(overview: DataFrame) -> DataFrame:

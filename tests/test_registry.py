@@ -91,9 +91,18 @@ def test_sf0001_present():
     assert (TESTDATA / "sf0.001" / "lineitem.parquet").exists()
 
 
-def test_daily_sort_needs_no_range_sample(spark, sf001):
-    # Newest-first order comes from one partition of finished rows, not a
-    # range-partitioned global sort (whose sampling re-runs the final merge).
-    plan = _plan(entry.queries()["daily_summary"](spark, sf001))
-    assert "rangepartitioning" not in plan
-    assert "SinglePartition" in plan
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_no_sampled_global_sort(spark, sf001, name):
+    # Every ordered result is either a top-k (TakeOrderedAndProject) or a
+    # small result sorted in one partition: never a range-partitioned sort,
+    # whose sample job would run the aggregation below it a second time.
+    assert "rangepartitioning" not in _plan(entry.queries()[name](spark, sf001))
+
+
+def test_daily_sort_in_one_partition(spark, sf001):
+    assert "SinglePartition" in _plan(entry.queries()["daily_summary"](spark, sf001))
+
+
+@pytest.mark.parametrize("name", ["daily_report", "daily_top20", "raw_sample", "top_groups", "peak_hour"])
+def test_top_k_queries_plan_as_top_k(spark, sf001, name):
+    assert "TakeOrderedAndProject" in _plan(entry.queries()[name](spark, sf001))
