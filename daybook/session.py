@@ -22,6 +22,10 @@ DEFAULTS: dict[str, str] = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # A year has up to 366 day groups; above 128 keys per task the object
     # aggregate (percentile sketch) falls back to sort-based aggregation.
+    # Sketches live outside Spark's managed memory: one holds at most its
+    # key's rows in the task and compresses to ~100 KB at accuracy 10,000
+    # (250k values measured at 108 KB), so 4,096 keys bound a task's buffers
+    # near 400 MB. Past 4,096 keys the sort-based path (spillable) takes over.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
     "spark.ui.enabled": "false",
 }
