@@ -116,6 +116,8 @@ def cmd_check(spark, args) -> int:
     total = first_value(sql_count(df, "test_table"), "total")
     kept = first_value(row_count(even_double(df)), "total_rows")
     print(f"Spark {spark.version}: range {n} rows, SQL count {total}, even rows doubled {kept}")
+    for key in ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"):
+        print(f"{key}={spark.conf.get(key)}")
     return 0 if (n, total, kept) == (1000, 1000, 500) else 1
 
 

@@ -32,3 +32,16 @@ def test_cli_daily_and_check(tmp_path):
     assert len(glob.glob(f"{out}/part-*.csv")) == 1
     p = run("probe", str(tmp_path / "nope"))
     assert p.returncode == 1 and "not_found" in p.stdout
+
+
+def test_cli_sizes_for_input():
+    p = subprocess.run(
+        [sys.executable, "-m", "daybook.cli", "--master", "local[2]", "--input-gb", "2000", "--total-cores", "64", "check"],
+        cwd=ROOT,
+        capture_output=True,
+        text=True,
+        timeout=300,
+    )
+    assert p.returncode == 0, p.stderr[-2000:]
+    assert "spark.sql.shuffle.partitions=2000" in p.stdout
+    assert f"spark.sql.files.maxPartitionBytes={512 * 1024 * 1024}" in p.stdout
