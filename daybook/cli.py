@@ -54,6 +54,8 @@ def cmd_daily(spark, args) -> int:
     cols = TripColumns(
         ts=args.ts, distance=args.distance, tax=args.tax, fare=args.fare, tip=args.tip, passengers=args.passengers
     )
+    if args.explore:
+        _explore(spark, loaded, cols.ts)
     res = timed(
         lambda: run_daily(
             loaded.df, cols, year=args.year, out_csv=args.out, accuracy=args.accuracy, exact=args.exact
@@ -76,6 +78,23 @@ def cmd_daily(spark, args) -> int:
     return 0
 
 
+def _explore(spark, loaded, ts: str) -> None:
+    """The notebook's first look: input size, schema, raw rows, rows with date parts."""
+    from functools import reduce
+
+    from daybook.functions.time import with_date_parts
+    from daybook.sinks.report import sample_rows, schema_profile
+    from daybook.sources.listing import input_size, list_files
+
+    files = reduce(lambda a, b: a.unionByName(b), [list_files(spark, p) for p in loaded.read])
+    size = input_size(files).first()
+    print(f"Input: {size.n_files} files, {size.total_mb} MB")
+    for r in schema_profile(loaded.df).collect():
+        print(f"  {r.column}: {r.type}{'' if r.nullable else ' not null'}")
+    sample_rows(loaded.df, 5, [ts]).show(truncate=False)
+    sample_rows(with_date_parts(loaded.df, ts).select(ts, "dt_year", "dt_month", "dt_day"), 5, [ts]).show()
+
+
 def cmd_activity(spark, args) -> int:
     from daybook.plans.activity_job import run_activity
     from daybook.plans.daily_job import timed
@@ -151,6 +170,7 @@ def main(argv: list[str] | None = None) -> int:
     d.add_argument("--exact", action="store_true")
     d.add_argument("--declared-schema", action="store_true")
     d.add_argument("--show", type=int, default=20)
+    d.add_argument("--explore", action="store_true", help="print input size, schema and sample rows first")
 
     a = sub.add_parser("activity")
     a.add_argument("--input", required=True)

@@ -25,10 +25,12 @@ def test_cli_daily_and_check(tmp_path):
         "daily", "--paths", "/root/testdata/sf0.001/lineitem.parquet", str(tmp_path / "missing.parquet"),
         "--year", "1995", "--ts", "l_shipdate", "--distance", "l_extendedprice", "--tax", "l_tax",
         "--fare", "l_extendedprice", "--tip", "l_discount", "--passengers", "l_quantity", "--out", out,
+        "--explore",
     )
     assert p.returncode == 0, p.stderr[-2000:]
     assert "skipped" in p.stdout and "not_found" in p.stdout
     assert "Rows read: 6,0" in p.stdout and "Days with data:" in p.stdout
+    assert "Input: 1 files" in p.stdout and "  l_shipdate: timestamp_ntz" in p.stdout and "dt_year" in p.stdout
     assert len(glob.glob(f"{out}/part-*.csv")) == 1
     p = run("probe", str(tmp_path / "nope"))
     assert p.returncode == 1 and "not_found" in p.stdout
