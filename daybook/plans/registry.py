@@ -30,7 +30,6 @@ from daybook.operators.activity import (
     top_groups,
 )
 from daybook.operators.basic import even_double, row_count, sql_count
-from daybook.sinks.report import daily_report, overview_report, sample_rows
 from daybook.operators.daily import (
     TripColumns,
     daily_overview,
@@ -38,6 +37,7 @@ from daybook.operators.daily import (
     month_counts,
     newest_days,
 )
+from daybook.sinks.report import daily_report, overview_report, sample_rows
 
 KEPT_YEAR = 1995
 FIRST_MONTHS = (1, 6)
@@ -199,6 +199,8 @@ def q_sql_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_even_double(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The installation check's filter-and-double step itself (keep even ids,
+    # double them), over the whole table.
     return even_double(table(spark, sf_dir, "orders"), "o_orderkey", "id2")
 
 
