@@ -37,8 +37,10 @@ def test_incremental_daily(spark, sf001, tmp_path):
 def test_incremental_hourly(spark, sf001, tmp_path):
     ev = comments(spark, sf001)
     land, out = str(tmp_path / "landing"), str(tmp_path / "out")
-    ev.where("event_id % 3 = 0").write.parquet(f"{land}/a")
-    ev.where("event_id % 3 != 0").write.parquet(f"{land}/b")
+    # Two landings by time (first half of the month, then the rest); together they hold every row.
+    first_half = F.coalesce(F.dayofmonth("ts") <= 15, F.lit(True))
+    ev.where(first_half).write.parquet(f"{land}/a")
+    ev.where(~first_half).write.parquet(f"{land}/b")
     incremental_hourly(spark, land, ev.schema, out, "created_utc", name="hours", checkpoint=str(tmp_path / "ck"))
     got = {r.hour: r.n for r in spark.read.parquet(out).collect()}
     want = {r.hour: r.n for r in hourly_counts(ev, "created_utc").collect()}
