@@ -26,6 +26,7 @@ lost executor recomputes one round only.
 from __future__ import annotations
 
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -123,26 +124,27 @@ def exact_percentile(
     smallest value whose cumulative share reaches ``p``. NULLs are ignored.
 
     ``sizes`` (``keys`` + ``_n``, the number of non-NULL values per group)
-    can be passed when a caller's own aggregation already counted them; it
-    saves the pass over the input that counts them here.
+    can be passed when a caller's own aggregation already counted them (pass
+    a materialised, e.g. checkpointed, result: it is counted twice); it saves
+    the pass over the input that counts them here.
     """
     ensure_checkpoint_dir(df.sparkSession)
     base = df.select(*keys, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
-    given = sizes is not None
     if sizes is None:
-        sizes = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        # One row per group, kept: it is counted twice below.
+        sizes = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).checkpoint()
     big = sizes.where(F.col("_n") > max_rows).select(*keys, "_n", rank_target(p, F.col("_n")).alias("_r"))
-    if not given:
-        # Counting the sizes reads the input: keep them, then count.
-        big = big.checkpoint()
     n_big = big.count()
     if n_big == 0:
         return _rank_whole_groups(base, keys, p, alias)
-    if given:
-        big = big.checkpoint()
+    big = big.checkpoint()
 
     big_keys = _keyed(big.select(*keys), n_big, broadcast_rows)
-    parts = [_rank_whole_groups(base.join(big_keys, keys, "left_anti"), keys, p, alias)]
+    parts: list[DataFrame] = []
+    if n_big < sizes.count():
+        # The small groups, ranked whole. When every group is large (the
+        # daily summary at scale) this pass over the input is skipped.
+        parts.append(_rank_whole_groups(base.join(big_keys, keys, "left_anti"), keys, p, alias))
 
     cand = base.join(big_keys, keys, "left_semi")
     pending, n_pending = big, n_big
@@ -195,7 +197,4 @@ def exact_percentile(
     else:
         raise RuntimeError("exact percentile did not converge; raise max_rounds")
 
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return reduce(DataFrame.unionByName, parts)

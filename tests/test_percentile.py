@@ -63,3 +63,13 @@ def test_matches_percentile_disc(spark, sf001):
         "SELECT y, percentile_disc(0.95) WITHIN GROUP (ORDER BY l_extendedprice) AS q FROM li_pct GROUP BY y ORDER BY y"
     ).collect()
     assert [(r.y, r.q) for r in ours] == [(r.y, r.q) for r in sql]
+
+
+def test_every_group_large(spark):
+    # No group is small enough to rank whole: the small-group pass is skipped.
+    rnd = random.Random(5)
+    rows = [(k, float(rnd.randint(0, 3000))) for k in range(4) for _ in range(2000 + 500 * k)]
+    df = spark.createDataFrame(rows, "k int, v double").repartition(4)
+    for p in (0.5, 0.95):
+        got = {r.k: r.q for r in exact_percentile(df, ["k"], "v", p, "q", max_rows=300, accuracy=200).collect()}
+        assert got == {k: brute([v for kk, v in rows if kk == k], p) for k in range(4)}, p
