@@ -7,6 +7,7 @@ the executors when an action runs, with column pruning and pushed filters.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -33,6 +34,9 @@ PARQUET_OPTIONS = frozenset(
     }
 )
 
+# Footer (schema) reads run this many at a time on the driver.
+SCHEMA_READERS = 16
+
 # Declared input schemas (types follow from how each column is used).
 TRIP_SCHEMA = T.StructType(
     [
@@ -128,20 +132,31 @@ def read_months(
       one scan; groups are cast to ``schema`` (when given) and combined with
       ``unionByName(allowMissingColumns=True)``. So an INT/BIGINT drift or an
       extra column in one month does not fail the job at run time. Scans stay
-      one per distinct schema, not one per file.
+      one per distinct schema, not one per file. The per-path footer reads
+      run ``SCHEMA_READERS`` at a time, so many months on an object store do
+      not queue their round trips one after another.
     """
     opts = check_options(options)
-    groups: dict[str, list[str]] = {}
-    skipped: list[tuple[str, str]] = []
-    for p in paths:
+
+    def footer_schema(path: str) -> T.StructType | AnalysisException:
         try:
-            found = spark.read.options(**opts).parquet(p).schema
+            return spark.read.options(**opts).parquet(path).schema
         except AnalysisException as exc:
+            return exc
+
+    # Footer reads are round trips to storage: a few at a time, results in path order.
+    with ThreadPoolExecutor(max_workers=min(SCHEMA_READERS, max(1, len(paths)))) as pool:
+        found = list(pool.map(footer_schema, paths))
+
+    groups: dict[str, list[str]] = {}
+    skipped: list[tuple[str, str]] = []
+    for p, schema_or_error in zip(paths, found):
+        if isinstance(schema_or_error, AnalysisException):
             if not tolerant:
-                raise
-            skipped.append((p, classify_error(exc)))
+                raise schema_or_error
+            skipped.append((p, classify_error(schema_or_error)))
             continue
-        groups.setdefault(found.json(), []).append(p)
+        groups.setdefault(schema_or_error.json(), []).append(p)
     if not groups:
         raise FileNotFoundError(f"none of {len(paths)} paths could be read: {skipped}")
 
