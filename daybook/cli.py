@@ -8,7 +8,8 @@
 On a cluster leave ``--master`` out and pass it to ``spark-submit``. Extra
 settings (object-store credentials provider, endpoint, ...) go in
 ``--conf key=value``. ``--input-gb N --total-cores C`` sizes scan splits and
-shuffle partitions for the input (``session.scale_settings``). Exit code 0 on success, 1 on failure.
+shuffle partitions for the input (``session.scale_settings``); ``--auto-size``
+does the same from the listed size of the input itself. Exit code 0 on success, 1 on failure.
 """
 
 from __future__ import annotations
@@ -42,6 +43,29 @@ def _conf(pairs: list[str]) -> dict[str, str]:
     return conf
 
 
+def _auto_size(spark, args, paths: list[str]) -> None:
+    """Size splits and shuffles from the input's listed bytes (``--auto-size``).
+
+    Only file sizes are read (Spark lists the files; no contents). The
+    settings are runtime SQL settings, so they apply to the job that follows;
+    a setting given with ``--conf`` is left as given.
+    """
+    from functools import reduce
+
+    from daybook.sources.listing import input_size, list_files
+
+    files = reduce(lambda a, b: a.unionByName(b), [list_files(spark, p, recursive=True) for p in paths])
+    total = int(input_size(files).first().total_bytes)
+    cores = args.total_cores or spark.sparkContext.defaultParallelism
+    given = _conf(args.conf)
+    for key, value in session.scale_settings(total, cores).items():
+        if key not in given:
+            spark.conf.set(key, value)
+    print(f"auto-size: {total / session.GB:.2f} GB over {cores} cores -> "
+          f"{spark.conf.get('spark.sql.shuffle.partitions')} shuffle partitions, "
+          f"{spark.conf.get('spark.sql.files.maxPartitionBytes')} byte splits")
+
+
 def cmd_daily(spark, args) -> int:
     from daybook.plans.daily_job import run_daily, timed
     from daybook.sinks.report import overview_report
@@ -54,6 +78,8 @@ def cmd_daily(spark, args) -> int:
     cols = TripColumns(
         ts=args.ts, distance=args.distance, tax=args.tax, fare=args.fare, tip=args.tip, passengers=args.passengers
     )
+    if args.auto_size:
+        _auto_size(spark, args, loaded.read)
     if args.explore:
         _explore(spark, loaded, cols.ts)
     res = timed(
@@ -100,6 +126,8 @@ def cmd_activity(spark, args) -> int:
     from daybook.plans.daily_job import timed
     from daybook.sources.files import read_parquet
 
+    if args.auto_size:
+        _auto_size(spark, args, [args.input])
     df = read_parquet(spark, args.input)
     res = timed(
         lambda: run_activity(
@@ -155,6 +183,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--conf", action="append", default=[])
     ap.add_argument("--input-gb", type=float, help="input size; with --total-cores sizes splits and shuffles")
     ap.add_argument("--total-cores", type=int, help="executor cores of the cluster")
+    ap.add_argument("--auto-size", action="store_true", help="size splits and shuffles from the listed input bytes")
     sub = ap.add_subparsers(dest="cmd", required=True)
 
     d = sub.add_parser("daily")

@@ -47,3 +47,22 @@ def test_cli_sizes_for_input():
     assert p.returncode == 0, p.stderr[-2000:]
     assert "spark.sql.shuffle.partitions=2000" in p.stdout
     assert f"spark.sql.files.maxPartitionBytes={512 * 1024 * 1024}" in p.stdout
+
+
+def test_cli_auto_size(tmp_path):
+    p = subprocess.run(
+        [
+            sys.executable, "-m", "daybook.cli", "--master", "local[2]", "--auto-size", "--total-cores", "4",
+            "--conf", "spark.ui.showConsoleProgress=false",
+            "activity", "--input", "/root/testdata/sf0.001/events.parquet", "--id-col", "event_id",
+            "--user-col", "user_id", "--group-col", "event_type", "--time-col", "ts", "--out-dir", str(tmp_path),
+        ],
+        cwd=ROOT,
+        capture_output=True,
+        text=True,
+        timeout=300,
+    )
+    assert p.returncode == 0, p.stderr[-2000:]
+    # A tiny input: two shuffle partitions per core, at least one split per core.
+    assert "-> 8 shuffle partitions" in p.stdout
+    assert len(glob.glob(f"{tmp_path}/peak_hours_local.csv/part-*.csv")) == 1
