@@ -1,4 +1,5 @@
 from daybook.functions.numeric import ceil_mean, nan_to_null
+from daybook.functions.text import fixed, grouped
 from daybook.functions.time import (
     date_parts,
     epoch_seconds,
@@ -14,6 +15,8 @@ __all__ = [
     "ceil_mean",
     "date_parts",
     "epoch_seconds",
+    "fixed",
+    "grouped",
     "hour_of_day",
     "hour_utc",
     "months_between_range",
