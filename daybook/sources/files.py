@@ -37,7 +37,8 @@ PARQUET_OPTIONS = frozenset(
 # Footer (schema) reads run this many at a time on the driver.
 SCHEMA_READERS = 16
 
-# Declared input schemas (types follow from how each column is used).
+# The input column names of the trip and comment tables and the
+# monthly trip file layout. Types follow from how each column is used.
 TRIP_SCHEMA = T.StructType(
     [
         T.StructField("tpep_pickup_datetime", T.TimestampType()),
