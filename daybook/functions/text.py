@@ -23,11 +23,11 @@ def fixed(c: str | Column, digits: int) -> Column:
     NaN and NULL print as ``nan`` (a missing value reaches a pandas report
     as NaN), infinities as ``inf`` / ``-inf``.
 
-    Equal to Python's text while ``|x| * 10**digits`` stays below about
-    2**53 (9e15; checked on random values up to 1e12 with 2 decimals and
-    1e17 with none). Past that a double has no more exact decimal digits
-    than its shortest form: ``format_number`` pads that form with zeros
-    where Python prints the binary value's exact digits.
+    Equal to Python's text whenever ``|x| * 10**digits`` is below about
+    2**53 (9e15); checked on random values up to 1e12 with 2 decimals and
+    up to 1e17 with none. For larger values the shortest decimal form of a
+    double can be shorter than the digits asked for: ``format_number`` pads
+    it with zeros where Python prints the binary value's exact digits.
     """
     if digits < 0:
         raise ValueError("digits must be >= 0")
