@@ -106,3 +106,12 @@ def test_daily_sort_in_one_partition(spark, sf001):
 @pytest.mark.parametrize("name", ["daily_report", "daily_top20", "raw_sample", "top_groups", "peak_hour"])
 def test_top_k_queries_plan_as_top_k(spark, sf001, name):
     assert "TakeOrderedAndProject" in _plan(entry.queries()[name](spark, sf001))
+
+
+def test_plan_summary_tool(spark, sf001):
+    from tools.plans import formatted, summarize
+
+    lines = summarize(formatted(entry.queries()["daily_summary"](spark, sf001)))
+    text = "\n".join(lines)
+    assert lines[0].startswith("AdaptiveSparkPlan")
+    assert "Scan parquet" in text and "PushedFilters: [" in text and "ReadSchema: struct<" in text
