@@ -141,7 +141,7 @@ def exact_percentile(
 
     big_keys = _keyed(big.select(*keys), n_big, broadcast_rows)
     parts: list[DataFrame] = []
-    if n_big < sizes.count():
+    if n_big < sizes.where(F.col("_n") > 0).count():
         # The small groups, ranked whole. When every group is large (the
         # daily summary at scale) this pass over the input is skipped.
         parts.append(_rank_whole_groups(base.join(big_keys, keys, "left_anti"), keys, p, alias))

@@ -73,3 +73,13 @@ def test_every_group_large(spark):
     for p in (0.5, 0.95):
         got = {r.k: r.q for r in exact_percentile(df, ["k"], "v", p, "q", max_rows=300, accuracy=200).collect()}
         assert got == {k: brute([v for kk, v in rows if kk == k], p) for k in range(4)}, p
+
+
+def test_given_sizes_with_empty_group(spark):
+    # Sizes from a caller's aggregate may list a group whose values are all NULL.
+    rnd = random.Random(3)
+    rows = [(k, float(rnd.randint(0, 900))) for k in range(3) for _ in range(1500)] + [(7, None)] * 5
+    df = spark.createDataFrame(rows, "k int, v double")
+    sizes = df.groupBy("k").agg(F.count("v").alias("_n")).checkpoint()
+    got = {r.k: r.q for r in exact_percentile(df, ["k"], "v", 0.9, "q", max_rows=400, accuracy=100, sizes=sizes).collect()}
+    assert got == {k: brute([v for kk, v in rows if kk == k], 0.9) for k in range(3)}
