@@ -283,7 +283,7 @@ GROUP BY 1, 2, 3""",
         "WHERE year(l_shipdate) = 1995 AND month(l_shipdate) BETWEEN 1 AND 6 GROUP BY 1"
     ),
     "daily_top20": f"SELECT * FROM ({_DAILY_SQL}) d ORDER BY dt_year DESC, dt_month DESC, dt_day DESC LIMIT 20",
-    "daily_overview": f"""SELECT CAST(sum(num_trips) AS BIGINT) AS total_trips,
+    "daily_overview": f"""SELECT CAST(coalesce(sum(num_trips), 0) AS BIGINT) AS total_trips,
        count(*) AS total_days,
        round_even(avg(num_trips), 0) AS avg_daily_trips,
        min(make_date(dt_year, dt_month, dt_day)) AS first_day,
@@ -315,7 +315,7 @@ FROM (
        'Total trips: ' || format('{{:,}}', total_trips) AS trips_line,
        printf('Average daily trips: %.0f', avg_daily_trips) AS mean_line
 FROM (
-  SELECT CAST(sum(num_trips) AS BIGINT) AS total_trips,
+  SELECT CAST(coalesce(sum(num_trips), 0) AS BIGINT) AS total_trips,
          count(*) AS total_days,
          round_even(avg(num_trips), 0) AS avg_daily_trips,
          min(make_date(dt_year, dt_month, dt_day)) AS first_day,
