@@ -87,6 +87,9 @@ def hourly_counts(df: DataFrame, column: str, hour_name: str = "hour", count_nam
 def peak_hours(
     df: DataFrame, column: str, k: int = 1, hour_name: str = "hour", count_name: str = "n"
 ) -> DataFrame:
-    """The ``k`` busiest hours, most rows first; ties go to the earlier hour."""
+    """The ``k`` busiest hours, most rows first; ties go to the earlier hour.
+
+    Rows without a time form a NULL hour; on a tie it ranks after every real hour.
+    """
     hours = hourly_counts(df, column, hour_name, count_name)
-    return hours.orderBy(F.col(count_name).desc(), F.col(hour_name).asc()).limit(k)
+    return hours.orderBy(F.col(count_name).desc(), F.col(hour_name).asc_nulls_last()).limit(k)

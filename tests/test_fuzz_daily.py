@@ -1,8 +1,10 @@
-"""Registered daily queries against their DuckDB SQL on generated tables.
+"""Registered daily and activity queries against their DuckDB SQL on generated tables.
 
-Hypothesis builds small ``lineitem``-shaped tables: timestamps around the
+Hypothesis builds small ``lineitem``-shaped tables (timestamps around the
 kept year's edges and a leap day, NULL timestamps and values, NaN in the
-max/min columns, repeated and negative values. Each table is written with
+max/min columns, repeated and negative values) and ``events``-shaped ones
+(few users and types so counts tie, NULL keys and times, times before 1970
+and at hour edges, repeated ids). Each table is written with
 pyarrow (naive timestamps, read by Spark as TIMESTAMP_NTZ like the supplied
 tables) and the registered query and its SQL run on it. Doubles compare with
 a relative tolerance (see ``tests/skew_job.py``).
@@ -96,3 +98,64 @@ def test_daily_queries_match_sql(spark, tmp_path_factory, counter, table_rows):
         rel = con.execute(entry.oracle_sql()[name])
         d_cols = [c[0] for c in rel.description]
         assert _same(df.columns, got, d_cols, rel.fetchall()), (name, table_rows)
+
+
+ACTIVITY_QUERIES = (
+    "dataset_stats",
+    "distinct_values",
+    "distinct_count_nulls",
+    "top_groups",
+    "top_categories",
+    "hourly_counts",
+    "peak_hour",
+)
+
+TIMES = [
+    dt.datetime(1969, 12, 31, 23, 59, 59),
+    dt.datetime(1970, 1, 1, 0, 0, 0),
+    dt.datetime(2024, 1, 1, 0, 0, 0),
+    dt.datetime(2024, 1, 1, 0, 59, 59),
+    dt.datetime(2024, 1, 15, 13, 0, 1),
+    dt.datetime(2024, 1, 31, 23, 30, 0),
+]
+
+events = st.lists(
+    st.tuples(
+        maybe(st.integers(0, 30)),  # event_id, repeats allowed
+        maybe(st.sampled_from(TIMES)),
+        maybe(st.integers(1, 12)),  # user_id: few users, many ties
+        maybe(st.sampled_from(["click", "view", "error", "buy"])),
+    ),
+    min_size=1,
+    max_size=60,
+)
+
+
+def _write_events(path, table_rows) -> None:
+    cols = list(zip(*table_rows))
+    t = pa.table(
+        {
+            "event_id": pa.array(cols[0], pa.int64()),
+            "ts": pa.array(cols[1], pa.timestamp("us")),
+            "user_id": pa.array(cols[2], pa.int64()),
+            "event_type": pa.array(cols[3], pa.string()),
+            "value": pa.array([1.0] * len(table_rows), pa.float64()),
+            "props": pa.array(["{}"] * len(table_rows), pa.string()),
+        }
+    )
+    pq.write_table(t, path)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(table_rows=events)
+def test_activity_queries_match_sql(spark, tmp_path_factory, counter, table_rows):
+    out = tmp_path_factory.mktemp(f"fuzz_ev{next(counter)}")
+    _write_events(str(out / "events.parquet"), table_rows)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{out}/events.parquet')")
+    for name in ACTIVITY_QUERIES:
+        df = entry.queries()[name](spark, str(out))
+        got = [tuple(r) for r in df.collect()]
+        rel = con.execute(entry.oracle_sql()[name])
+        d_cols = [c[0] for c in rel.description]
+        assert _same(df.columns, got, d_cols, rel.fetchall()), (name, table_rows)
