@@ -45,14 +45,14 @@ def run_activity(
     """
     stats = distinct_stats(df, {"unique_comments": id_col, "unique_users": user_col}, approx=approx)
     top = top_groups(df, group_col, top_n)
-    hours = sort_small(hourly_counts(df, time_col), F.col("hour"))
+    hours = sort_small(hourly_counts(df, time_col), F.col("hour").asc_nulls_last())
     outputs: dict[str, str] = {}
     if out_dir:
         names = output_names(mode)
         orders = {
             "dataset_stats": [],
             "top_subreddits": [F.col("n").desc(), F.col(group_col).asc_nulls_last()],
-            "peak_hours": [F.col("hour")],
+            "peak_hours": [F.col("hour").asc_nulls_last()],
         }
         for stem, frame in (("dataset_stats", stats), ("top_subreddits", top), ("peak_hours", hours)):
             # Sizes are bounded by construction: 1 row, top_n rows, <= 24 hours.
