@@ -94,7 +94,8 @@ def cmd_daily(spark, args) -> int:
     run.first_rows.show(args.show)
     print(f"Rows read: {run.total_rows:,}")
     for line in overview_report(run.overview).first():
-        print(line)
+        if line is not None:
+            print(line)
     for row in run.report.collect():
         print(row.text)
         print("-" * 40)

@@ -299,11 +299,11 @@ FROM (
   SELECT dt_year, dt_month, dt_day,
          printf('Year: %d, Month: %02d, Day: %02d', dt_year, dt_month, dt_day) AS day_label,
          'Trips: ' || format('{{:,}}', num_trips) AS trips,
-         printf('Avg Distance: %.2f miles', mean_trip_distance) AS avg_distance,
-         printf('Max MTA Tax: $%.2f', max_mta_tax) AS max_tax,
-         printf('95th Percentile Fare: $%.2f', q95_fare_amount) AS q95_fare,
-         printf('Min Tip: $%.2f', min_tip_amount) AS min_tip,
-         printf('Avg Passengers: %.0f', CAST(mean_passenger_count AS DOUBLE)) AS avg_passengers
+         'Avg Distance: ' || coalesce(printf('%.2f', mean_trip_distance), 'nan') || ' miles' AS avg_distance,
+         'Max MTA Tax: $' || coalesce(printf('%.2f', max_mta_tax), 'nan') AS max_tax,
+         '95th Percentile Fare: $' || coalesce(printf('%.2f', q95_fare_amount), 'nan') AS q95_fare,
+         'Min Tip: $' || coalesce(printf('%.2f', min_tip_amount), 'nan') AS min_tip,
+         'Avg Passengers: ' || coalesce(printf('%.0f', CAST(mean_passenger_count AS DOUBLE)), 'nan') AS avg_passengers
   FROM ({_DAILY_SQL}) d
   ORDER BY dt_year DESC, dt_month DESC, dt_day DESC
   LIMIT 5
@@ -313,7 +313,7 @@ FROM (
        printf('Date range: %s to %s', CAST(first_day AS VARCHAR), CAST(last_day AS VARCHAR)) AS range_line,
        printf('Date range (month/day min-max): %s', component_range) AS component_line,
        'Total trips: ' || format('{{:,}}', total_trips) AS trips_line,
-       printf('Average daily trips: %.0f', avg_daily_trips) AS mean_line
+       'Average daily trips: ' || coalesce(printf('%.0f', avg_daily_trips), 'nan') AS mean_line
 FROM (
   SELECT CAST(coalesce(sum(num_trips), 0) AS BIGINT) AS total_trips,
          count(*) AS total_days,

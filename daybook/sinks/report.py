@@ -58,14 +58,20 @@ def daily_report(daily: DataFrame, n: int = 5) -> DataFrame:
 
 
 def overview_report(overview: DataFrame) -> DataFrame:
-    """Summary lines over ``daily_overview``: days, date ranges, totals, mean per day."""
+    """Summary lines over ``daily_overview``: days, date ranges, totals, mean per day.
+
+    With no day in the period the two date-range lines are NULL (no range to
+    print) and the mean prints ``nan``, as a mean over no days does in Python.
+    """
+    has_days = F.col("total_days") > 0
     cols = [
         F.format_string(ROWS_LABEL, grouped("total_trips")).alias("rows_line"),
         F.format_string(DAYS_LABEL, "total_days").alias("days_line"),
-        F.format_string(RANGE_LABEL, F.col("first_day").cast("string"), F.col("last_day").cast("string")).alias(
-            "range_line"
-        ),
-        F.format_string(COMPONENT_RANGE_LABEL, "component_range").alias("component_line"),
+        F.when(
+            has_days,
+            F.format_string(RANGE_LABEL, F.col("first_day").cast("string"), F.col("last_day").cast("string")),
+        ).alias("range_line"),
+        F.when(has_days, F.format_string(COMPONENT_RANGE_LABEL, "component_range")).alias("component_line"),
         F.format_string(TOTAL_TRIPS_LABEL, grouped("total_trips")).alias("trips_line"),
         F.format_string(MEAN_TRIPS_LABEL, fixed("avg_daily_trips", 0)).alias("mean_line"),
     ]

@@ -30,10 +30,15 @@ QUERIES = (
     "daily_summary_exact",
     "daily_all_years",
     "daily_first_half",
+    "daily_top20",
     "daily_overview",
+    "daily_report",
+    "overview_report",
     "month_subset",
     "year_filter_count",
     "year_function_count",
+    "date_parts",
+    "raw_sample",
 )
 
 DAYS = [
@@ -69,12 +74,16 @@ def _write(path, table_rows) -> None:
     t = pa.table(
         {
             "l_orderkey": pa.array(range(len(table_rows)), pa.int64()),
+            "l_partkey": pa.array([1] * len(table_rows), pa.int64()),
+            "l_suppkey": pa.array([1] * len(table_rows), pa.int64()),
             "l_linenumber": pa.array([1] * len(table_rows), pa.int32()),
-            "l_shipdate": pa.array(cols[0], pa.timestamp("us")),
+            "l_quantity": pa.array(cols[4], pa.float64()),
             "l_extendedprice": pa.array(cols[1], pa.float64()),
-            "l_tax": pa.array(cols[2], pa.float64()),
             "l_discount": pa.array(cols[3], pa.float64()),
-            "l_quantity": pa.array(cols[4], pa.float64()),
+            "l_tax": pa.array(cols[2], pa.float64()),
+            "l_returnflag": pa.array(["N"] * len(table_rows), pa.string()),
+            "l_linestatus": pa.array(["O"] * len(table_rows), pa.string()),
+            "l_shipdate": pa.array(cols[0], pa.timestamp("us")),
         }
     )
     pq.write_table(t, path)
