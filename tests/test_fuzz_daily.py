@@ -168,3 +168,18 @@ def test_activity_queries_match_sql(spark, tmp_path_factory, counter, table_rows
         rel = con.execute(entry.oracle_sql()[name])
         d_cols = [c[0] for c in rel.description]
         assert _same(df.columns, got, d_cols, rel.fetchall()), (name, table_rows)
+
+
+def test_empty_tables_match_sql(spark, tmp_path):
+    # Every registered query on empty tables with the supplied schemas.
+    con = duckdb.connect()
+    for t in ("lineitem", "events", "orders"):
+        schema = pq.read_schema(f"/root/testdata/sf0.001/{t}.parquet").remove_metadata()
+        pq.write_table(schema.empty_table(), str(tmp_path / f"{t}.parquet"))
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet')")
+    for name, q in entry.queries().items():
+        df = q(spark, str(tmp_path))
+        got = [tuple(r) for r in df.collect()]
+        rel = con.execute(entry.oracle_sql()[name])
+        d_cols = [c[0] for c in rel.description]
+        assert _same(df.columns, got, d_cols, rel.fetchall()), name
