@@ -19,7 +19,7 @@ import duckdb
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
-from hypothesis import HealthCheck, given, settings
+from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
 
 import __spark_entry__ as entry
@@ -94,7 +94,13 @@ def counter():
     return iter(range(10_000))
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+# No shrinking: each step would run Spark jobs; the failing table is reported as generated.
+@settings(
+    max_examples=12,
+    deadline=None,
+    phases=[Phase.explicit, Phase.reuse, Phase.generate],
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+)
 @given(table_rows=rows)
 def test_daily_queries_match_sql(spark, tmp_path_factory, counter, table_rows):
     out = tmp_path_factory.mktemp(f"fuzz{next(counter)}")
@@ -155,7 +161,13 @@ def _write_events(path, table_rows) -> None:
     pq.write_table(t, path)
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+# No shrinking: each step would run Spark jobs; the failing table is reported as generated.
+@settings(
+    max_examples=12,
+    deadline=None,
+    phases=[Phase.explicit, Phase.reuse, Phase.generate],
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+)
 @given(table_rows=events)
 def test_activity_queries_match_sql(spark, tmp_path_factory, counter, table_rows):
     out = tmp_path_factory.mktemp(f"fuzz_ev{next(counter)}")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from hypothesis import HealthCheck, given, settings
+from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
 
 from daybook.functions.text import fixed, grouped
@@ -32,7 +32,13 @@ def test_ties_and_specials(spark):
     assert _render(spark, TIES, 0) == [_py_fixed(v, 0) for v in TIES]
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+# No shrinking: each step would run a Spark job; the failing list is reported as generated.
+@settings(
+    max_examples=8,
+    deadline=None,
+    phases=[Phase.explicit, Phase.reuse, Phase.generate],
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+)
 @given(
     st.lists(
         st.floats(min_value=-1e12, max_value=1e12, allow_nan=False, allow_infinity=False),
