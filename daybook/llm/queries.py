@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import chat, pii, secrets, tokencount, toxicity
+from daybook.llm import ann, chat, minhash, pii, secrets, tokencount, toxicity
 from daybook.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,10 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2)
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(table(spark, sf_dir, "documents"))
 
@@ -52,12 +56,19 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(docs, tokenizer_file("byte_bpe_50k.json"), TOKEN_LIMIT)
 
 
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_minhash": op1_minhash,
     "op3_pii": op3_pii,
     "op4_chat": op4_chat,
     "op5_toxicity": op5_toxicity,
     "op6_secrets": op6_secrets,
     "op8_token_counts": op8_token_counts,
+    "op9_neighbours": op9_neighbours,
 }
 
 _ALL_TURNS = r"""
