@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from daybook.session import ensure_checkpoint_dir
 
 PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+BUCKET_BITS = 20  # of in_buckets: at most 1M numbers (8 MB) are broadcast
 TEXT_PER_CHUNK = 8_000_000  # code points handled at once in a task: bounds a worker's memory
 
 
@@ -26,16 +27,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def kept(df: DataFrame) -> DataFrame:
+def kept(df: DataFrame, by: str | None = None) -> DataFrame:
     """``df`` written once as Parquet in the shared checkpoint folder and read back.
 
     Cuts the lineage: a lost executor does not recompute what led here, and a
     second use does not either. Compressed, so smaller than ``checkpoint()``;
-    used where a row holds more than a few numbers.
+    used where a row holds more than a few numbers. ``by`` names a column to
+    partition the files by.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/kept-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -44,6 +46,18 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def in_buckets(rows: DataFrame, wanted: DataFrame, key: str, how: str = "left_semi") -> DataFrame:
+    """Rows whose bucket holds a key of ``wanted`` (or holds none: ``left_anti``).
+
+    A filter before a shuffle of wide rows: it lets some other rows through,
+    drops none that are wanted, and broadcasts at most 2**BUCKET_BITS numbers
+    however many keys there are.
+    """
+    bucket = F.shiftrightunsigned(F.xxhash64(key), 64 - BUCKET_BITS)
+    held = wanted.select(bucket.alias("_bucket")).distinct()
+    return rows.withColumn("_bucket", bucket).join(F.broadcast(held), "_bucket", how).drop("_bucket")
+
+
 def arrow_schema(fields: str) -> pa.Schema:
     """``"doc_id long, spans string"`` as an Arrow schema (the few types used here)."""
     kinds = {
@@ -99,6 +113,7 @@ def map_texts(df: DataFrame, work: Callable[..., list], fields: str) -> DataFram
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns in chunks(batches):
             out = work(*columns)
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(out, schema)], schema=schema)
+            arrays = [c if isinstance(c, pa.Array) else pa.array(c, type=f.type) for c, f in zip(out, schema)]
+            yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
     return map_arrow(df, run, fields)

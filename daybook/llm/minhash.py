@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import checkpointed, chunks, col, kept, map_arrow, map_texts
+from daybook.llm.common import checkpointed, chunks, col, in_buckets, kept, map_arrow, map_texts
 
 U = np.uint64
 
@@ -318,7 +318,8 @@ def class_texts(docs: DataFrame, lenders: DataFrame, width: int) -> DataFrame:
         use = [n == m for n, m in zip(node, names)]
         return [[n for n, u in zip(node, use) if u], [t for t, u in zip(texts, use) if u]]
 
-    of = docs.join(lenders.where("doc_id is not null"), "doc_id").select("node", "text")
+    lenders = checkpointed(lenders.where("doc_id is not null"))
+    of = in_buckets(docs, lenders, "doc_id").join(lenders, "doc_id").select("node", "text")
     return kept(map_texts(of, work, "node long, text string")).dropDuplicates(["node"])
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import ann, chat, minhash, pii, secrets, tokencount, toxicity
+from daybook.llm import ann, chat, leaks, minhash, pieces, pii, secrets, suffixes, tokencount, toxicity
 from daybook.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,10 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2)
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(table(spark, sf_dir, "documents"))
 
@@ -51,6 +55,10 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row", "distance")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return tokencount.count_tokens(docs, tokenizer_file("byte_bpe_50k.json"), TOKEN_LIMIT)
@@ -61,14 +69,21 @@ def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(vectors, vectors.where("vec_id % 100 = 0"))
 
 
+def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digests(suffixes.without_repeats(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_minhash": op1_minhash,
+    "op2_sentencepiece": op2_sentencepiece,
     "op3_pii": op3_pii,
     "op4_chat": op4_chat,
     "op5_toxicity": op5_toxicity,
     "op6_secrets": op6_secrets,
+    "op7_decontamination": op7_decontamination,
     "op8_token_counts": op8_token_counts,
     "op9_neighbours": op9_neighbours,
+    "op10_suffixes": op10_suffixes,
 }
 
 _ALL_TURNS = r"""
@@ -78,6 +93,45 @@ _ALL_TURNS = r"""
 """
 
 ORACLE_SQL: dict[str, str] = {
+    "op7_decontamination": r"""
+WITH d AS (
+    SELECT DISTINCT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), x -> x <> '') AS w FROM documents
+),
+b AS (
+    SELECT DISTINCT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), x -> x <> '') AS w FROM benchmark
+),
+items AS (SELECT item_id, w, least(len(w), 5) AS width, len(w) - least(len(w), 5) + 1 AS m FROM b WHERE len(w) > 0),
+item_shingles AS (
+    SELECT item_id, w, m, width, s, count(*) AS times
+    FROM (SELECT *, unnest(list_transform(range(1, m + 1), i -> array_to_string(w[i:i + width - 1], ' '))) AS s FROM items)
+    GROUP BY ALL
+),
+doc_shingles AS (
+    SELECT doc_id, w, width, i, len(w) - width + 1 AS n, array_to_string(w[i:i + width - 1], ' ') AS s
+    FROM (SELECT doc_id, d.w, width, unnest(range(1, len(d.w) - width + 2)) AS i
+          FROM d, (SELECT DISTINCT width FROM items) WHERE len(d.w) >= width)
+),
+seeds AS (
+    SELECT doc_id, x.w AS dw, item_id, y.w AS iw, i, n, m, s, times
+    FROM doc_shingles x JOIN item_shingles y USING (width, s)
+),
+starts AS (SELECT DISTINCT doc_id, dw, item_id, iw, greatest(1, least(i, n - least(m, n) + 1)) AS t FROM seeds),
+hits AS (
+    SELECT doc_id, dw, item_id, iw, t, n, m, s, least(count(*), any_value(times)) AS both
+    FROM starts JOIN seeds USING (doc_id, dw, item_id, iw)
+    WHERE i BETWEEN t AND t + least(m, n) - 1
+    GROUP BY ALL
+),
+windows AS (
+    SELECT doc_id, dw, item_id, iw, t, sum(both) AS both, any_value(least(m, n) + m) AS total
+    FROM hits GROUP BY ALL
+)
+SELECT doc_id, item_id, similarity, window_start FROM (
+    SELECT doc_id, dw, item_id, iw, both / (total - both) AS similarity, t - 1 AS window_start,
+        row_number() OVER (PARTITION BY doc_id, dw, item_id, iw ORDER BY both DESC, t) AS r
+    FROM windows WHERE 100 * both >= 80 * (total - both)
+) WHERE r = 1
+""",
     "op4_chat": rf"""
 WITH rows AS ({_ALL_TURNS}),
 numbered AS (
