@@ -106,6 +106,18 @@ def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def map_rows(docs: DataFrame, text: str, run: Callable) -> DataFrame:
+    """``docs`` through ``run`` over Arrow batches whose first column is the text; columns and order stay.
+
+    Columns travel under plain names, so that any name is allowed.
+    """
+    names = docs.columns
+    order = [text, *[c for c in names if c != text]]
+    plain = docs.select(*[col(c).alias(f"c{i}") for i, c in enumerate(order)])
+    out = map_arrow(plain, run, plain.schema)
+    return out.select(*[F.col(f"c{order.index(c)}").alias(c) for c in names])
+
+
 def map_texts(df: DataFrame, work: Callable[..., list], fields: str) -> DataFrame:
     """``work(*columns)`` over chunks of rows; the second column is the text. ``work`` returns output columns."""
     schema = arrow_schema(fields)

@@ -29,7 +29,7 @@ them. Anchors and items are broadcast only after their rows are counted
 
 Defined results: NULL or empty texts and items without words leak nothing;
 rows that repeat id and text give one result; equal items under one id are one;
-ties between windows go to the earliest.
+of equally similar windows the earliest that starts at a shared shingle counts.
 """
 
 from __future__ import annotations

@@ -95,15 +95,15 @@ _ALL_TURNS = r"""
 ORACLE_SQL: dict[str, str] = {
     "op7_decontamination": r"""
 WITH d AS (
-    SELECT DISTINCT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), x -> x <> '') AS w FROM documents
+    SELECT DISTINCT doc_id, [x for x in regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+') if x <> ''] AS w FROM documents
 ),
 b AS (
-    SELECT DISTINCT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), x -> x <> '') AS w FROM benchmark
+    SELECT DISTINCT item_id, [x for x in regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+') if x <> ''] AS w FROM benchmark
 ),
 items AS (SELECT item_id, w, least(len(w), 5) AS width, len(w) - least(len(w), 5) + 1 AS m FROM b WHERE len(w) > 0),
 item_shingles AS (
     SELECT item_id, w, m, width, s, count(*) AS times
-    FROM (SELECT *, unnest(list_transform(range(1, m + 1), i -> array_to_string(w[i:i + width - 1], ' '))) AS s FROM items)
+    FROM (SELECT *, unnest([array_to_string(w[i:i + width - 1], ' ') for i in range(1, m + 1)]) AS s FROM items)
     GROUP BY ALL
 ),
 doc_shingles AS (
@@ -117,19 +117,19 @@ seeds AS (
 ),
 starts AS (SELECT DISTINCT doc_id, dw, item_id, iw, greatest(1, least(i, n - least(m, n) + 1)) AS t FROM seeds),
 hits AS (
-    SELECT doc_id, dw, item_id, iw, t, n, m, s, least(count(*), any_value(times)) AS both
+    SELECT doc_id, dw, item_id, iw, t, n, m, s, least(count(*), any_value(times)) AS shared
     FROM starts JOIN seeds USING (doc_id, dw, item_id, iw)
     WHERE i BETWEEN t AND t + least(m, n) - 1
     GROUP BY ALL
 ),
 windows AS (
-    SELECT doc_id, dw, item_id, iw, t, sum(both) AS both, any_value(least(m, n) + m) AS total
+    SELECT doc_id, dw, item_id, iw, t, sum(shared) AS shared, any_value(least(m, n) + m) AS total
     FROM hits GROUP BY ALL
 )
 SELECT doc_id, item_id, similarity, window_start FROM (
-    SELECT doc_id, dw, item_id, iw, both / (total - both) AS similarity, t - 1 AS window_start,
-        row_number() OVER (PARTITION BY doc_id, dw, item_id, iw ORDER BY both DESC, t) AS r
-    FROM windows WHERE 100 * both >= 80 * (total - both)
+    SELECT doc_id, dw, item_id, iw, shared / (total - shared) AS similarity, t - 1 AS window_start,
+        row_number() OVER (PARTITION BY doc_id, dw, item_id, iw ORDER BY shared DESC, t) AS r
+    FROM windows WHERE 100 * shared >= 80 * (total - shared)
 ) WHERE r = 1
 """,
     "op4_chat": rf"""

@@ -19,10 +19,11 @@ import re
 from bisect import bisect_right
 from functools import lru_cache
 
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
-from daybook.llm.common import col, map_arrow, map_texts
+from daybook.llm.common import col, map_rows, map_texts
 
 # The base patterns, their kinds and the lengths they must reach.
 ASSIGN = re.compile(
@@ -108,7 +109,7 @@ def novel_spans(
 
 
 def secret_spans(
-    text: str | None, reach: int = 48, around: int = 256, least_bytes: int = 10, least_ratio: float = 0.45
+    text: str | None, reach: int = 48, around: int = 256, least_bytes: int = 10, least_ratio: float = 0.7
 ) -> list[tuple[int, int, str]]:
     """Base and added spans of one text, by start, then kind.
 
@@ -156,14 +157,10 @@ def redact_secrets(docs: DataFrame, text: str = "text", length: str = "n_chars")
 
     Only texts that hold a secret change; NULL stays NULL.
     """
-    names = docs.columns
-    order = [text, *[c for c in names if c != text]]
-    fields = docs.select(*map(col, order)).schema
-    i_len = order.index(length) if length in order else None
+    others = [c for c in docs.columns if c != text]
+    i_len = others.index(length) + 1 if length in others else None
 
     def run(batches):
-        import pyarrow as pa
-
         for b in batches:
             texts = b.column(0).to_pylist()
             spans = [secret_spans(t) for t in texts]
@@ -176,4 +173,4 @@ def redact_secrets(docs: DataFrame, text: str = "text", length: str = "n_chars")
                     columns[i_len] = pa.array(sizes, type=columns[i_len].type)
             yield pa.RecordBatch.from_arrays(columns, names=b.schema.names)
 
-    return map_arrow(docs.select(*map(col, order)), run, fields).select(*map(col, names))
+    return map_rows(docs, text, run)

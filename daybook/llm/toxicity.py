@@ -29,10 +29,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import col, map_arrow, map_texts
+from daybook.llm.common import col, map_rows, map_texts
 
 BITS = 18
 WORD = re.compile(r"[^\W\d_]+")
@@ -177,16 +178,10 @@ def score(
 
 def without_toxic(docs: DataFrame, model: Model, text: str = "text", threshold: float = 0.3) -> DataFrame:
     """``docs`` without the rows whose text scores ``threshold`` or more; columns and other rows stay."""
-    names = docs.columns
-    order = [text, *[c for c in names if c != text]]
 
     def run(batches):
-        import pyarrow as pa
-
         table = model.table()
         for b in batches:
-            keep = model.scores(b.column(0).to_pylist(), table) < threshold
-            yield b.filter(pa.array(keep))
+            yield b.filter(pa.array(model.scores(b.column(0).to_pylist(), table) < threshold))
 
-    narrow = docs.select(*map(col, order))
-    return map_arrow(narrow, run, narrow.schema).select(*map(col, names))
+    return map_rows(docs, text, run)

@@ -1,0 +1,73 @@
+"""Every registered query of the subpackage on the small tables and on empty ones, and the pipeline."""
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__
+import corpus_pipeline
+from daybook.llm import leaks, queries, secrets, toxicity
+from tests.llm.test_minhash import brute as near_brute
+
+NAMES = sorted(queries.QUERIES)
+
+
+def test_one_query_for_each_operator():
+    assert [n.split("_")[0] for n in sorted(NAMES, key=lambda n: int(n[2:].split("_")[0]))] == [f"op{i}" for i in range(1, 11)]
+    assert set(NAMES) | {"pipeline"} <= set(__spark_entry__.queries())
+    assert "pipeline" not in __spark_entry__.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def empty_dir(spark, sf0001, tmp_path_factory):
+    d = tmp_path_factory.mktemp("empty")
+    for name in ("documents", "embeddings", "benchmark", "labels", "conversations"):
+        spark.read.parquet(f"{sf0001}/{name}.parquet").where("false").write.parquet(f"{d}/{name}.parquet")
+    return str(d)
+
+
+@pytest.mark.parametrize("name", [*NAMES, "pipeline"])
+def test_empty_tables(spark, empty_dir, name):
+    rows = __spark_entry__.queries()[name](spark, empty_dir).collect()
+    assert [r.conv_id for r in rows] == [-7] if name.startswith("op4") else rows == []
+
+
+def test_pipeline_stages(spark, sf0001):
+    docs = spark.read.parquet(f"{sf0001}/documents.parquet")
+    labels = spark.read.parquet(f"{sf0001}/labels.parquet")
+    columns = docs.columns
+    stages = dict(corpus_pipeline.STAGES)
+    assert list(stages) == ["toxicity", "near_dedup", "decontamination", "secrets", "sentencepiece"]
+
+    clean = stages["toxicity"](spark, docs, sf0001)
+    score = toxicity.score(docs, toxicity.train(docs, labels))
+    assert clean.columns == columns
+    assert _ids(clean) == _ids(score.where("predicted = 0"))
+
+    single = stages["near_dedup"](spark, clean, sf0001)
+    rows = [(r.doc_id, r.text) for r in clean.collect()]
+    assert single.columns == columns and _ids(single) == sorted(i for i, _, _, kept in near_brute(rows, 5) if kept)
+
+    # Planted leaks go, everything else stays.
+    item = spark.read.parquet(f"{sf0001}/benchmark.parquet").first()
+    planted = single.limit(1).withColumn("doc_id", F.lit(-5).cast("long")).withColumn("text", F.concat(F.lit("before it "), F.lit(item.text), F.lit(" and after")))
+    clear = stages["decontamination"](spark, single.unionByName(planted), sf0001)
+    bad = {r.doc_id for r in leaks.leaks(single, spark.read.parquet(f"{sf0001}/benchmark.parquet")).collect()}
+    assert clear.columns == columns and _ids(clear) == [i for i in _ids(single) if i not in bad]
+
+    masked = stages["secrets"](spark, clear, sf0001)
+    assert masked.columns == columns and _ids(masked) == _ids(clear)
+    before = {r.doc_id: r.text for r in clear.collect()}
+    for r in masked.collect():
+        spans = secrets.secret_spans(before[r.doc_id])
+        assert r.text == secrets.redacted(before[r.doc_id], spans) and r.n_chars == len(r.text)
+
+    final = stages["sentencepiece"](spark, masked, sf0001).collect()
+    assert sorted(r.doc_id for r in final) == _ids(masked) and all(r.lossless for r in final)
+    whole = corpus_pipeline.run(spark, sf0001).collect()
+    assert sorted((r.doc_id, r.pieces) for r in whole) == sorted((r.doc_id, r.pieces) for r in final)
+
+
+def _ids(df):
+    return sorted(r.doc_id for r in df.select("doc_id").collect())
+
+

@@ -1,0 +1,63 @@
+import hashlib
+import random
+import re
+import string
+
+from daybook.llm import secrets
+from tests.llm.util import frame, texts
+
+KEYWORDS = r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])"
+ASSIGN = re.compile(KEYWORDS + r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+
+
+def plain_spans(text):
+    out = [(m.start(), 0, m.end(), "assign") for m in ASSIGN.finditer(text) if len(m.group(2)) >= 8]
+    out += [(m.start(), 1, m.end(), "access") for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m.group()) >= 16]
+    out += [(m.start(), 2, m.end(), "hex") for m in re.finditer("[0-9a-f]+", text) if len(m.group()) >= 32]
+    return [(k, s, e) for s, _, e, k in sorted(out)]
+
+
+SOME = [
+    *texts(1, 300, ["token", "secret", "=", ":", " ", '"', "'", "abc", "1", "API_KEY", "paſſword", "Key"], 14),
+    *texts(2, 300, ["AKIA", "A", "Z9", "a", "f0", "0123456789abcdef", " ", "g"], 14),
+    "token=token=abcdefgh", "password = short", "é secret: ABCDEFGHIJ", "secret" + " " * 5000, "",
+]
+
+
+def test_base_spans_equal_the_plain_patterns(spark):
+    rows = [*enumerate(SOME), (None, "token=12345678"), (4, None), (4, SOME[4])]
+    got = secrets.scan_secrets(frame(spark, rows, "doc_id long, text string")).collect()
+    want = []
+    for i, t in rows:
+        spans = plain_spans(t or "")
+        joined = ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
+        want.append((i, *(sum(k == x for k, _, _ in spans) for x in secrets.BASE_KINDS), hashlib.sha256(joined.encode()).hexdigest()))
+    assert sorted((tuple(r[:5]) for r in got), key=repr) == sorted(want, key=repr)
+    for r, (_, t) in zip(sorted(got, key=repr), sorted(rows, key=repr)):
+        assert not r.spans or all(x.split(":")[0] in secrets.KINDS for x in r.spans.split(","))
+
+
+def test_novelty_reports_random_strings_only():
+    rng = random.Random(1)
+    for _ in range(40):
+        key = "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(24)) + "7a"
+        text = f"the bearer credential is\n{key}\nand the user is user_account_settings_2024x"
+        found = secrets.secret_spans(text)
+        assert [(text[s:e], k) for s, e, k in found] == [(key, "novel")]
+        # The same string far from a sensitive word, or seen nearby before, is no finding.
+        assert secrets.secret_spans(f"the colour of it is\n{key}\n") == []
+        assert secrets.secret_spans(f"{key} is public, the credential is {key}") == []
+    assert secrets.secret_spans("authorization: placeholder_changeme_0123456789") == []
+
+
+def test_redaction_keeps_everything_else(spark):
+    rows = [(1, "a token=abcdefgh12 b", "x", 20), (2, "clean é", "y", 7), (3, None, None, None), (4, "", "z", 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    got = sorted(tuple(r) for r in secrets.redact_secrets(df).collect())
+    assert got == [(1, "a [SECRET] b", "x", 12), *rows[1:]]
+    assert secrets.redact_secrets(df.where("false")).collect() == []
+    assert secrets.redacted("abcdef", [(1, 4, "hex"), (2, 3, "hex"), (5, 6, "hex")], "#") == "a#e#"
+
+
+def test_empty_table(spark):
+    assert secrets.scan_secrets(spark.createDataFrame([], "doc_id long, text string")).collect() == []

@@ -1,0 +1,90 @@
+import hashlib
+import random
+from collections import Counter
+
+import pytest
+
+from daybook.llm import suffixes, windows
+from tests.llm.util import frame, rows_of
+
+DDL = "doc_id long, text string"
+
+
+def brute(rows, length):
+    data = [(i, (t or "").encode()) for i, t in rows]
+    seen = Counter(d[a : a + length] for _, d in data for a in range(len(d) - length + 1))
+    out = []
+    for i, d in data:
+        gone = bytearray(len(d))
+        for a in range(len(d) - length + 1):
+            if seen[d[a : a + length]] > 1:
+                gone[a : a + length] = b"\1" * length
+        spans = sum(gone[a] and not (a and gone[a - 1]) for a in range(len(d)))
+        kept = bytes(c for c, g in zip(d, gone) if not g)
+        out.append((i, len(d), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def corpus(seed):
+    rng = random.Random(seed)
+    base = ["".join(rng.choice("abcdefgé ") for _ in range(300)) for _ in range(6)]
+    rows = []
+    for i in range(100):
+        parts = []
+        for _ in range(rng.randint(0, 5)):
+            b, s = rng.choice(base), rng.randint(0, 250)
+            parts.append(b[s : s + rng.randint(1, 120)])
+            if rng.random() < 0.3:
+                parts.append("".join(rng.choice("xyz") for _ in range(rng.randint(1, 30))))
+        rows.append((i, "".join(parts)))
+    return rows
+
+
+@pytest.mark.parametrize("options", [{"k": 7}, {"k": 7, "group": 1, "batches": 6}, {"k": 20, "batches": 1}])
+def test_equal_to_brute_force(spark, options):
+    rows = corpus(len(options))
+    rows += [(200, None), (201, ""), (202, "a" * 300), (203, "ab" * 200), (5, rows[5][1]), (None, rows[7][1]), (204, "é" * 60)]
+    got = suffixes.digests(suffixes.without_repeats(frame(spark, rows, DDL), length=20, **options))
+    assert rows_of(got) == brute(rows, 20)
+
+
+def test_documents(spark, sf0001):
+    docs = spark.read.parquet(f"{sf0001}/documents.parquet").select("doc_id", "text")
+    assert rows_of(suffixes.digests(suffixes.without_repeats(docs))) == brute([tuple(r) for r in docs.collect()], 200)
+
+
+def test_spans_and_kept_bytes(spark):
+    rows = [(1, "x" + "abcdefghij" * 2 + "y"), (2, "abcdefghijabcdefghij"), (3, "nothing of it here")]
+    got = {r.doc_id: r for r in suffixes.without_repeats(frame(spark, rows, DDL), length=15, k=5).collect()}
+    assert (got[1].starts, got[1].ends, bytes(got[1].kept)) == ([1], [21], b"xy")
+    assert (got[2].starts, got[2].ends, bytes(got[2].kept)) == ([0], [20], b"")
+    assert (got[3].starts, bytes(got[3].kept)) == ([], b"nothing of it here")
+
+
+def test_empty_table(spark):
+    assert suffixes.without_repeats(spark.createDataFrame([], DDL)).collect() == []
+
+
+def test_levels_double(spark):
+    index = suffixes.SuffixIndex()
+    for i in range(7):
+        index.add(spark.range(i, i + 3).withColumnRenamed("id", "key"))
+        assert sorted(index.levels) == [b for b in range(4) if (i + 1) >> b & 1]
+    assert {r.key for r in index.repeated().collect()} == set(range(1, 8))
+
+
+def test_sampled_suffixes_cover_every_window_and_agree(monkeypatch):
+    rng = random.Random(3)
+    texts = [t.encode() for _, t in corpus(8)] + [b"a" * 150, b"abab" * 40, b""]
+    length, k = 20, 7
+    whole = windows.sample(texts, length, k)
+    monkeypatch.setattr(windows, "PIECE", 64)  # joined and cut elsewhere
+    cut = windows.sample(texts, length, k)
+    for s in (whole, cut):
+        cover = [[] for _ in texts]
+        told = {}
+        for r, at, lo, hi, key in zip(s.row, s.at, s.lo, s.hi, s.key):
+            cover[r] += range(lo, hi + 1)
+            for a in range(lo, hi + 1):
+                assert told.setdefault(texts[r][a : a + length], (at - a, key)) == (at - a, key)
+        assert [sorted(c) for c in cover] == [list(range(max(0, len(t) - length + 1))) for t in texts]
