@@ -1,5 +1,6 @@
 """Every registered query of the subpackage on the small tables and on empty ones, and the pipeline."""
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -31,6 +32,23 @@ def test_empty_tables(spark, empty_dir, name):
     assert [r.conv_id for r in rows] == [-7] if name.startswith("op4") else rows == []
 
 
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_equal_to_sql(spark, sf0001, name):
+    con = duckdb.connect()
+    for t in ("documents", "benchmark", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf0001}/{t}.parquet')")
+    df = queries.QUERIES[name](spark, sf0001)
+    found = con.execute(queries.ORACLE_SQL[name])
+    order = sorted(range(len(df.columns)), key=lambda i: df.columns[i])
+    names = [c[0] for c in found.description]
+    other = sorted(range(len(names)), key=lambda i: names[i])
+    assert [df.columns[i] for i in order] == [names[i] for i in other]
+    key = lambda r: tuple(map(repr, r))
+    assert sorted((tuple(r[i] for i in order) for r in df.collect()), key=key) == sorted(
+        (tuple(r[i] for i in other) for r in found.fetchall()), key=key
+    )
+
+
 def test_pipeline_stages(spark, sf0001):
     docs = spark.read.parquet(f"{sf0001}/documents.parquet")
     labels = spark.read.parquet(f"{sf0001}/labels.parquet")
