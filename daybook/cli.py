@@ -4,6 +4,7 @@
     python -m daybook.cli activity --input comments/ --id-col id --out-dir . --mode cluster
     python -m daybook.cli check
     python -m daybook.cli probe s3a://bucket/a/*.parquet s3a://bucket/b/
+    python -m daybook.cli ls s3a://bucket/b/
 
 On a cluster leave ``--master`` out and pass it to ``spark-submit``. Extra
 settings (object-store credentials provider, endpoint, ...) go in
@@ -71,10 +72,12 @@ def cmd_daily(spark, args) -> int:
     from daybook.sinks.report import overview_report
     from daybook.sources.files import TRIP_SCHEMA, month_paths, read_months
 
-    paths = args.paths or month_paths(args.root, args.year, _months(args.months))
+    paths = args.paths or month_paths(args.root, args.year, _months(args.months or "1-6"))
     loaded = read_months(spark, paths, schema=TRIP_SCHEMA if args.declared_schema else None)
     for path, why in loaded.skipped:
         print(f"skipped {path}: {why}")
+    for path, column in loaded.filled:
+        print(f"no column {column} in {path}: NULL")
     cols = TripColumns(
         ts=args.ts, distance=args.distance, tax=args.tax, fare=args.fare, tip=args.tip, passengers=args.passengers
     )
@@ -84,14 +87,14 @@ def cmd_daily(spark, args) -> int:
         _explore(spark, loaded, cols.ts)
     res = timed(
         lambda: run_daily(
-            loaded.df, cols, year=args.year, out_csv=args.out, accuracy=args.accuracy, exact=args.exact
+            loaded.df, cols, year=args.year, out_csv=args.out, show_n=args.show, accuracy=args.accuracy, exact=args.exact
         )
     )
     if not res.ok:
         print(f"failed: {res.error}")
         return 1
     run = res.value
-    run.first_rows.show(args.show)
+    run.first_rows.show(args.show, truncate=False)
     print(f"Rows read: {run.total_rows:,}")
     for line in overview_report(run.overview).first():
         if line is not None:
@@ -118,8 +121,10 @@ def _explore(spark, loaded, ts: str) -> None:
     print(f"Input: {size.n_files} files, {size.total_mb} MB")
     for r in schema_profile(loaded.df).collect():
         print(f"  {r.column}: {r.type}{'' if r.nullable else ' not null'}")
-    sample_rows(loaded.df, 5, [ts]).show(truncate=False)
-    sample_rows(with_date_parts(loaded.df, ts).select(ts, "dt_year", "dt_month", "dt_day"), 5, [ts]).show()
+    order = [ts, *[c for c in loaded.df.columns if c != ts]]  # all columns: only equal rows tie
+    sample_rows(loaded.df, 5, order).show(truncate=False)
+    dated = with_date_parts(loaded.df, ts).select(ts, "dt_year", "dt_month", "dt_day")
+    sample_rows(dated, 5, [ts]).show(truncate=False)
 
 
 def cmd_activity(spark, args) -> int:
@@ -147,9 +152,9 @@ def cmd_activity(spark, args) -> int:
         print(f"failed: {res.error}")
         return 1
     run = res.value
-    run.stats.show()
-    run.top.show(args.top)
-    run.hours.show(24)
+    run.stats.show(truncate=False)
+    run.top.show(args.top, truncate=False)
+    run.hours.show(25, truncate=False)  # 24 hours, and rows without a time
     for stem, path in run.outputs.items():
         print(f"{stem}: {path}")
     print(f"Execution time: {res.seconds:.2f} seconds")
@@ -178,6 +183,21 @@ def cmd_probe(spark, args) -> int:
     return 0 if any(r.status == "ok" for r in rows) else 1
 
 
+def cmd_ls(spark, args) -> int:
+    from daybook.sources.listing import list_directory
+
+    found = list_directory(spark, args.path, args.first)
+    if not found.exists:
+        print(f"{args.path}: not found")
+        return 1
+    print(f"{args.path}: {len(found.names) + found.rest} files")
+    for name in found.names:
+        print(f"  {name}")
+    if found.rest:
+        print(f"  ... and {found.rest} more")
+    return 0
+
+
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="daybook")
     ap.add_argument("--master", default=None)
@@ -191,7 +211,7 @@ def main(argv: list[str] | None = None) -> int:
     d.add_argument("--root")
     d.add_argument("--paths", nargs="*")
     d.add_argument("--year", type=int, default=2021)
-    d.add_argument("--months", default="1-6")
+    d.add_argument("--months", help="months of --root, e.g. 1-6 (the default) or 1,3,5")
     defaults = TripColumns()
     for name in ("ts", "distance", "tax", "fare", "tip", "passengers"):
         d.add_argument(f"--{name}", default=getattr(defaults, name))
@@ -218,18 +238,27 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("paths", nargs="+")
     p.add_argument("--all", action="store_true")
 
+    ls = sub.add_parser("ls")
+    ls.add_argument("path")
+    ls.add_argument("--first", type=int, default=10)
+
     args = ap.parse_args(argv)
     if args.cmd == "daily" and not (args.root or args.paths):
         ap.error("daily needs --root or --paths")
+    if args.cmd == "daily" and args.paths and (args.root or args.months):
+        ap.error("--paths names the files itself: leave out --root and --months")
+    if (args.input_gb is None) != (args.total_cores is None) and not args.auto_size:
+        ap.error("--input-gb and --total-cores go together")
+    if args.input_gb is not None and args.total_cores is None:
+        ap.error("--input-gb needs --total-cores")
     conf: dict[str, str] = {}
-    if args.input_gb is not None and args.total_cores:
+    if args.input_gb is not None:
         conf.update(session.scale_settings(int(args.input_gb * session.GB), args.total_cores))
     conf.update(_conf(args.conf))  # explicit settings win
     spark = session.build(f"daybook-{args.cmd}", conf, master=args.master)
     try:
-        return {"daily": cmd_daily, "activity": cmd_activity, "check": cmd_check, "probe": cmd_probe}[args.cmd](
-            spark, args
-        )
+        commands = {"daily": cmd_daily, "activity": cmd_activity, "check": cmd_check, "probe": cmd_probe, "ls": cmd_ls}
+        return commands[args.cmd](spark, args)
     finally:
         spark.stop()
 

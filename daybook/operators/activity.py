@@ -76,7 +76,7 @@ def top_groups(df: DataFrame, key: str, n: int = 10, count_name: str = "n") -> D
 
 
 def hourly_counts(df: DataFrame, column: str, hour_name: str = "hour", count_name: str = "n") -> DataFrame:
-    """Rows per hour of day in UTC (at most 24 rows).
+    """Rows per hour of day in UTC (at most 25 rows: 24 hours, and NULL for rows without a time).
 
     ``column`` is epoch seconds (``created_utc``) or a timestamp; the hour is
     computed without the session time zone (see ``hour_utc``).

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from daybook.functions.numeric import ceil_mean, nan_to_null
 from daybook.functions.time import date_parts, months_between_range, year_range
 from daybook.operators.basic import sort_small
-from daybook.operators.percentile import exact_percentile
+from daybook.operators.percentile import band, exact_percentile, join_null_safe
 from daybook.session import ensure_checkpoint_dir
 
 DAY_KEYS = ("dt_year", "dt_month", "dt_day")
@@ -123,14 +123,15 @@ def daily_summary(
     if not exact:
         out = src.groupBy(*DAY_KEYS).agg(*metrics)
     else:
-        # The aggregate also counts non-NULL fares per day: its small result
-        # (one row per day, checkpointed) gives the exact percentile its group
-        # sizes, so the input is read twice, not three times.
+        # The aggregate also counts the fares and reads their band off a sketch
+        # per day (one row per day, checkpointed), so the exact percentile
+        # needs one further read of the input (two if a band misses).
         ensure_checkpoint_dir(df.sparkSession)
-        counted = src.groupBy(*DAY_KEYS).agg(*metrics, F.count("_fare").alias("_n")).checkpoint()
-        sizes = counted.select(*DAY_KEYS, "_n")
-        q = exact_percentile(src, list(DAY_KEYS), "_fare", quantile, "q95_fare_amount", sizes=sizes)
-        out = counted.join(q, list(DAY_KEYS), "left").select(*SUMMARY_COLUMNS)
+        counted = src.groupBy(*DAY_KEYS).agg(*metrics, *band("_fare", quantile, accuracy)).checkpoint()
+        bands = counted.select(*DAY_KEYS, "_n", "_lo", "_hi")
+        q = exact_percentile(src, list(DAY_KEYS), "_fare", quantile, "q95_fare_amount", accuracy, bands=bands)
+        # NULL-safe: rows without a pickup time are a day of their own.
+        out = join_null_safe(counted, q, list(DAY_KEYS), "left").select(*SUMMARY_COLUMNS)
     return newest_first(out) if ordered else out
 
 

@@ -1,32 +1,30 @@
-"""Exact discrete percentile per group, without gathering a large group into one task.
+"""Exact discrete percentile per group, one method for groups of every size.
 
 ``percentile_disc`` (and a window over a whole group) puts every value of a
 group into one task; when one key holds a third of all rows, that task holds
-a third of the table. Here a group is ranked with a window only once it is
-small (``max_rows``). Larger groups are narrowed first:
-
-1. exact counts per group give the target rank ``r = max(1, ceil(p * n))``;
-2. a ``percentile_approx`` sketch per large group (mergeable, bounded
-   memory, partial aggregation map-side) proposes a band ``[lo, hi]`` of
-   values around the target share; exact counts of the rows below and inside
-   the band check that rank ``r`` falls inside it. If ``r`` lands on a
-   band edge value the answer is that value; otherwise only the rows strictly
-   inside the band are kept and ``r`` is shifted by the count below. A group
-   whose band misses keeps all its rows and the next round uses a wider band,
-   so the result never depends on the sketch's error bound;
-3. repeat until every group is small, then rank with a window.
-
-Keyed tables joined back to the rows hold one row per *large* group, so
-their size is at most ``rows / max_rows``; they are broadcast only when their
-counted size is below ``broadcast_rows``. Each round's candidates are
-checkpointed (reliable checkpoint directory) so lineage stays short and a
-lost executor recomputes one round only.
+a third of the table. Here:
+
+1. one aggregation counts each group's values and reads a band ``[lo, hi]``
+   around the wanted share off a ``percentile_approx`` sketch (mergeable,
+   bounded memory, combined map-side);
+2. a second pass counts the rows below the band and, inside it, the rows of
+   each value; the result holds a few values per group, pre-aggregated
+   before its shuffle on (group, value), and is checkpointed;
+3. a cumulative count over these, in two levels (sums per range of values,
+   then inside a range), finds the value at the wanted rank, so no task needs
+   a whole group here either.
+
+The band comes from a sketch but the answer does not: the counted rows tell
+whether the wanted rank lies inside the band. For a group where it does not,
+the band is widened to all its values and steps 2 and 3 run again for such
+groups alone: two reads of the input, three at most.
+
+Groups are matched NULL-safely: a NULL key is a group like any other.
 """
 
 from __future__ import annotations
 
 from decimal import Decimal
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,6 +32,8 @@ from pyspark.sql import functions as F
 from daybook.session import ensure_checkpoint_dir
 
 BROADCAST_ROWS = 200_000
+SALTS = 32
+MARGIN = 2  # half width of the band, in errors of the sketch
 
 
 def rank_target(p: float, n: Column) -> Column:
@@ -43,67 +43,64 @@ def rank_target(p: float, n: Column) -> Column:
     """
     if not 0.0 <= p <= 1.0:
         raise ValueError(f"percentile {p} outside [0, 1]")
-    prod = F.lit(Decimal(repr(float(p)))).cast("decimal(20,10)") * n.cast("decimal(20,0)")
+    share = Decimal(repr(float(p)))
+    if share != round(share, 10):
+        raise ValueError(f"percentile {p} has more than 10 decimals")
+    prod = F.lit(share).cast("decimal(20,10)") * n.cast("decimal(20,0)")
     return F.greatest(F.lit(1), F.ceil(prod)).cast("bigint")
 
 
-def _keyed(small: DataFrame, rows: int, limit: int) -> DataFrame:
-    """Broadcast a keyed side only when its counted size is under the limit."""
-    return F.broadcast(small) if rows <= limit else small
-
-
-def _by_value(keys: list[str]) -> Window:
-    return Window.partitionBy(*keys).orderBy(F.col("_v").asc())
-
-
-def _rank_groups(rows: DataFrame, keys: list[str], alias: str) -> DataFrame:
-    """Value at rank ``_r`` within each group (groups are bounded in size)."""
-    return (
-        rows.withColumn("_i", F.row_number().over(_by_value(keys)))
-        .where(F.col("_i") == F.col("_r"))
-        .select(*keys, F.col("_v").alias(alias))
-    )
+def band(value: str, p: float, accuracy: int) -> list[Column]:
+    """Aggregates that ``exact_percentile`` takes as ``bands``: ``_n``, ``_lo``, ``_hi`` of a group.
 
+    They can ride along in a caller's own aggregation, which saves a pass.
+    """
+    step = MARGIN / accuracy
+    ends = F.percentile_approx(value, [max(0.0, p - step), min(1.0, p + step)], accuracy)
+    return [F.count(value).alias("_n"), F.get(ends, F.lit(0)).alias("_lo"), F.get(ends, F.lit(1)).alias("_hi")]
 
-def _rank_whole_groups(rows: DataFrame, keys: list[str], p: float, alias: str) -> DataFrame:
-    """Rank groups whose size is known to be bounded: one shuffle, one sort.
 
-    The group size is counted over the same ordered window as the row
-    number (whole-group frame), so both come from one ``Window`` operator
-    over one sort; an unordered count window would add a second sort.
-    """
-    w = _by_value(keys)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ranked = rows.select(
-        *keys,
-        "_v",
-        F.row_number().over(w).alias("_i"),
-        rank_target(p, F.count(F.lit(1)).over(whole)).alias("_r"),
-    )
-    return ranked.where(F.col("_i") == F.col("_r")).select(*keys, F.col("_v").alias(alias))
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` where NULL equals NULL; key columns come from ``left``."""
+    own = {k: f"_right_{i}" for i, k in enumerate(keys)}
+    renamed = right.withColumnsRenamed(own)
+    on = F.lit(True)
+    for k, r in own.items():
+        on = on & left[k].eqNullSafe(renamed[r])
+    return left.join(renamed, on, how).drop(*own.values())
 
 
-def _band_bounds(
-    cand: DataFrame, pending: DataFrame, keys: list[str], width: float, accuracy: int, limit: int, n_pending: int
-) -> DataFrame:
-    """Per group ``_lo``/``_hi``: sketch quantiles on a fixed grid around ``_r / _n``.
+def _with_bands(rows: DataFrame, bands: DataFrame, keys: list[str], limit: int) -> DataFrame:
+    """Each row with its group's band.
 
-    ``percentile_approx`` takes constant percentages, so it is evaluated on a
-    grid of step ``width`` and the band is read off at the group's own share.
+    Bands are one row per group: broadcast if their counted number is within
+    ``limit``; beyond it both sides are shuffled, a group's rows in ``SALTS``
+    parts, so that a hot group is not one task's.
     """
-    steps = max(4, int(round(1.0 / width)))
-    grid = [i / steps for i in range(steps + 1)]
-    sketch = cand.groupBy(*keys).agg(F.percentile_approx("_v", grid, accuracy).alias("_q"))
-    share = F.col("_r") / F.col("_n")
-    lo_i = F.greatest(F.lit(0), F.floor(share * steps) - 2).cast("int")
-    hi_i = F.least(F.lit(steps), F.ceil(share * steps) + 2).cast("int")
-    return sketch.join(_keyed(pending, n_pending, limit), keys).select(
-        *keys,
-        "_n",
-        "_r",
-        F.element_at("_q", lo_i + 1).alias("_lo"),
-        F.element_at("_q", hi_i + 1).alias("_hi"),
+    if bands.count() <= limit:
+        return join_null_safe(rows, F.broadcast(bands), keys)
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("_v"), F.lit(SALTS)).cast("int"))
+    copies = bands.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return join_null_safe(salted, copies, [*keys, "_salt"]).drop("_salt")
+
+
+def _at_rank(rows: DataFrame, bands: DataFrame, keys: list[str], limit: int) -> DataFrame:
+    """``keys, _v``: the value at rank ``_r``; NULL where the rank lies outside the band."""
+    v = F.col("_v")
+    inside = _with_bands(rows, bands.select(*keys, "_lo", "_hi"), keys, limit)
+    inside = inside.where(F.col("_hi").isNull() | (v <= F.col("_hi")))
+    # One row for all values below the band (NULL, sorted first), one per value inside. NULL ends: all values.
+    counts = inside.groupBy(*keys, F.when(F.col("_lo").isNull() | (v >= F.col("_lo")), v).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    ranged = counts.repartitionByRange(*keys, "_v").withColumn("_part", F.spark_partition_id()).checkpoint()
+    sums = ranged.groupBy(*keys, "_part").agg(F.sum("_c").alias("_s"))
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(*keys, "_part", F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias("_o"))
+    so_far = Window.partitionBy(*keys, "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    running = join_null_safe(ranged, offsets, [*keys, "_part"]).withColumn(
+        "_at", F.col("_o") + F.sum("_c").over(so_far)
     )
+    reached = join_null_safe(running, bands.select(*keys, "_r"), keys).where(F.col("_at") >= F.col("_r"))
+    return reached.groupBy(*keys).agg(F.min(F.struct("_at", "_v")).alias("_f")).select(*keys, F.col("_f._v").alias("_v"))
 
 
 def exact_percentile(
@@ -112,89 +109,30 @@ def exact_percentile(
     value: str,
     p: float,
     alias: str,
-    max_rows: int = 2_000_000,
     accuracy: int = 10_000,
-    max_rounds: int = 12,
     broadcast_rows: int = BROADCAST_ROWS,
-    sizes: DataFrame | None = None,
+    bands: DataFrame | None = None,
 ) -> DataFrame:
     """One row per group holding a non-NULL value: ``keys`` + ``alias``.
 
     Equals SQL ``percentile_disc(p) WITHIN GROUP (ORDER BY value)``: the
     smallest value whose cumulative share reaches ``p``. NULLs are ignored.
 
-    ``sizes`` (``keys`` + ``_n``, the number of non-NULL values per group)
-    can be passed when a caller's own aggregation already counted them (pass
-    a materialised, e.g. checkpointed, result: it is counted twice); it saves
-    the pass over the input that counts them here.
+    ``bands`` (``keys`` and the columns of ``band``, materialised, e.g.
+    checkpointed) saves the pass over the input that finds them here.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    base = df.select(*keys, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
-    if sizes is None:
-        # One row per group, kept: it is counted twice below.
-        sizes = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).checkpoint()
-    big = sizes.where(F.col("_n") > max_rows).select(*keys, "_n", rank_target(p, F.col("_n")).alias("_r"))
-    n_big = big.count()
-    if n_big == 0:
-        return _rank_whole_groups(base, keys, p, alias)
-    big = big.checkpoint()
-
-    big_keys = _keyed(big.select(*keys), n_big, broadcast_rows)
-    parts: list[DataFrame] = []
-    if n_big < sizes.where(F.col("_n") > 0).count():
-        # The small groups, ranked whole. When every group is large (the
-        # daily summary at scale) this pass over the input is skipped.
-        parts.append(_rank_whole_groups(base.join(big_keys, keys, "left_anti"), keys, p, alias))
-
-    cand = base.join(big_keys, keys, "left_semi")
-    pending, n_pending = big, n_big
-    width = 2.0 / accuracy
-    for _ in range(max_rounds):
-        bounds = _band_bounds(cand, pending, keys, width, accuracy, broadcast_rows, n_pending)
-        lo, hi, v = F.col("_lo"), F.col("_hi"), F.col("_v")
-        counted = (
-            cand.join(_keyed(bounds, n_pending, broadcast_rows), keys)
-            .groupBy(*keys, "_n", "_r", "_lo", "_hi")
-            .agg(
-                F.count(F.when(v < lo, 1)).alias("_below"),
-                F.count(F.when(v == lo, 1)).alias("_eq_lo"),
-                F.count(F.when(v.between(lo, hi), 1)).alias("_inside"),
-                F.count(F.when(v == hi, 1)).alias("_eq_hi"),
-            )
-        )
-        r, below, inside = F.col("_r"), F.col("_below"), F.col("_inside")
-        hit = (below < r) & (r <= below + inside)
-        # Rank on an edge value: answered (this also ends runs of duplicates).
-        at_lo = hit & (r <= below + F.col("_eq_lo"))
-        at_hi = hit & ~at_lo & (r > below + inside - F.col("_eq_hi"))
-        # Otherwise keep the open band (lo, hi), or the whole group if the band missed.
-        state = counted.select(
-            *keys,
-            F.when(at_lo, lo).when(at_hi, hi).alias("_ans"),
-            F.when(hit, inside - F.col("_eq_lo") - F.col("_eq_hi")).otherwise(F.col("_n")).alias("_n"),
-            F.when(hit, r - below - F.col("_eq_lo")).otherwise(r).alias("_r"),
-            F.when(hit, lo).alias("_lo"),
-            F.when(hit, hi).alias("_hi"),
-            hit.alias("_hit"),
-        ).checkpoint()
-        parts.append(state.where(F.col("_ans").isNotNull()).select(*keys, F.col("_ans").alias(alias)))
-        open_ = state.where(F.col("_ans").isNull())
-        n_open = open_.count()
-        missed = open_.where(~F.col("_hit")).count()
-
-        kept = cand.join(_keyed(open_, n_open, broadcast_rows), keys).where(
-            lo.isNull() | ((v > lo) & (v < hi))
-        )
-        parts.append(_rank_groups(kept.where(F.col("_n") <= max_rows), keys, alias))
-
-        pending = open_.where(F.col("_n") > max_rows).select(*keys, "_n", "_r").checkpoint()
-        n_pending = pending.count()
-        if n_pending == 0:
-            break
-        cand = kept.where(F.col("_n") > max_rows).select(*keys, "_v").checkpoint()
-        if missed:
-            width = min(0.25, width * 4)
-    else:
-        raise RuntimeError("exact percentile did not converge; raise max_rounds")
-
-    return reduce(DataFrame.unionByName, parts)
+    rows = df.select(*keys, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
+    if bands is None:
+        bands = rows.groupBy(*keys).agg(*band("_v", p, accuracy)).checkpoint()
+    bands = bands.where(F.col("_n") > 0).select(*keys, "_lo", "_hi", rank_target(p, F.col("_n")).alias("_r"))
+    found = _at_rank(rows, bands, keys, broadcast_rows).checkpoint()
+
+    # A band without the wanted rank (nothing reached it, or only the rows below it): take all values.
+    told = join_null_safe(bands, found, keys, "left")
+    missed = told.where(F.col("_v").isNull()).drop("_v").checkpoint()
+    if not missed.isEmpty():
+        open_band = {"_lo": F.lit(None).cast(rows.schema["_v"].dataType), "_hi": F.lit(None).cast(rows.schema["_v"].dataType)}
+        wide = missed.withColumns(open_band)
+        found = found.where(F.col("_v").isNotNull()).unionByName(_at_rank(rows, wide, keys, broadcast_rows))
+    return found.where(F.col("_v").isNotNull()).select(*keys, F.col("_v").alias(alias))

@@ -3,7 +3,8 @@
 Three aggregations. They read disjoint column sets (id + author, group key,
 time), so with column pruning three scans read the same bytes as one shared
 scan would; each is one shuffle of pre-aggregated rows. The outputs are
-small (1, ``top_n`` and <= 24 rows) and written as one-file CSVs.
+small (1, ``top_n`` and at most 25 rows: 24 hours and rows without a time).
+Each result is checkpointed once; showing and writing read it from there.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from daybook.operators.activity import distinct_stats, hourly_counts, top_groups
 from daybook.operators.basic import sort_small
+from daybook.session import ensure_checkpoint_dir
 from daybook.sinks.csv import output_names, write_small_csv
 
 
@@ -43,9 +45,10 @@ def run_activity(
     ``id_col`` names the comment id (the source names none). ``approx=True``
     replaces exact distinct counts with HyperLogLog++ sketches.
     """
-    stats = distinct_stats(df, {"unique_comments": id_col, "unique_users": user_col}, approx=approx)
-    top = top_groups(df, group_col, top_n)
-    hours = sort_small(hourly_counts(df, time_col), F.col("hour").asc_nulls_last())
+    ensure_checkpoint_dir(df.sparkSession)
+    stats = distinct_stats(df, {"unique_comments": id_col, "unique_users": user_col}, approx=approx).checkpoint()
+    top = top_groups(df, group_col, top_n).checkpoint()
+    hours = sort_small(hourly_counts(df, time_col), F.col("hour").asc_nulls_last()).checkpoint()
     outputs: dict[str, str] = {}
     if out_dir:
         names = output_names(mode)
@@ -55,7 +58,7 @@ def run_activity(
             "peak_hours": [F.col("hour").asc_nulls_last()],
         }
         for stem, frame in (("dataset_stats", stats), ("top_subreddits", top), ("peak_hours", hours)):
-            # Sizes are bounded by construction: 1 row, top_n rows, <= 24 hours.
+            # Sizes are bounded by construction: 1 row, top_n rows, 24 hours and one without.
             path = os.path.join(out_dir, names[stem])
             outputs[stem] = write_small_csv(frame, path, orders[stem], max_rows=None)
     return ActivityRun(stats, top, hours, outputs)

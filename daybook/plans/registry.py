@@ -37,7 +37,9 @@ from daybook.operators.daily import (
     month_counts,
     newest_days,
 )
+from daybook.operators.percentile import exact_percentile
 from daybook.sinks.report import daily_report, overview_report, sample_rows
+from daybook.sources.files import read_months, read_parquet
 
 KEPT_YEAR = 1995
 FIRST_MONTHS = (1, 6)
@@ -55,22 +57,9 @@ LINEITEM_TRIPS = TripColumns(
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-_VIEWS: dict[tuple[int, str], str] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The test table ``name`` of ``sf_dir``, registered once per session as a temp view.
-
-    Later calls reuse the view: no new file listing or footer read for each
-    query. The view is re-registered when another ``sf_dir`` is asked for.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    view = f"daybook_{name}"
-    key = (id(spark), view)
-    if _VIEWS.get(key) != path or not spark.catalog.tableExists(view):
-        spark.read.parquet(path).createOrReplaceTempView(view)
-        _VIEWS[key] = path
-    return spark.table(view)
+    """The test table ``name`` of ``sf_dir``."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,6 +103,27 @@ def q_daily_all_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_summary(table(spark, sf_dir, "lineitem"), LINEITEM_TRIPS, mean_digits=MEAN_DIGITS)
 
 
+def q_daily_all_years_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily_summary(table(spark, sf_dir, "lineitem"), LINEITEM_TRIPS, mean_digits=MEAN_DIGITS, exact=True)
+
+
+def q_group_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Few large groups; their bands are joined shuffled and salted (no broadcast).
+    li = table(spark, sf_dir, "lineitem")
+    return exact_percentile(li, ["l_returnflag"], "l_extendedprice", 0.95, "q95", accuracy=1000, broadcast_rows=0)
+
+
+def q_tolerant_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The many-file load: the table plus a month that is not there.
+    root = sf_dir.rstrip("/")
+    loaded = read_months(spark, [f"{root}/lineitem.parquet", f"{root}/lineitem-missing.parquet"])
+    return row_count(loaded.df, "total_rows").withColumn("skipped", F.lit(len(loaded.skipped)))
+
+
+def q_glob_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return row_count(read_parquet(spark, f"{sf_dir.rstrip('/')}/linei*.parquet"), "total_rows")
+
+
 def q_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row_count(table(spark, sf_dir, "lineitem"), "total_rows")
 
@@ -139,7 +149,8 @@ def q_date_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_raw_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The reference's first look at the raw rows (show 5, untruncated), made
-    # repeatable: every column is a sort key, so only identical rows tie.
+    # repeatable: every column is a sort key, so only identical rows tie. The
+    # top-k scan reads the first key only.
     li = table(spark, sf_dir, "lineitem")
     return sample_rows(li, 5, li.columns)
 
@@ -212,6 +223,10 @@ QUERIES: dict[str, Query] = {
     "daily_summary_exact": q_daily_summary_exact,
     "daily_first_half": q_daily_first_half,
     "daily_all_years": q_daily_all_years,
+    "daily_all_years_exact": q_daily_all_years_exact,
+    "group_percentiles": q_group_percentiles,
+    "tolerant_load": q_tolerant_load,
+    "glob_scan": q_glob_scan,
     "row_count": q_row_count,
     "year_filter_count": q_year_filter_count,
     "year_function_count": q_year_function_count,
@@ -257,6 +272,14 @@ WHERE year(l_shipdate) = 1995 AND month(l_shipdate) BETWEEN 1 AND 6
 GROUP BY 1, 2, 3""",
     "daily_all_years": f"""{_DAILY_SELECT}
 GROUP BY 1, 2, 3""",
+    "daily_all_years_exact": f"""{_DAILY_SELECT}
+GROUP BY 1, 2, 3""",
+    "group_percentiles": (
+        "SELECT l_returnflag, percentile_disc(0.95) WITHIN GROUP (ORDER BY l_extendedprice) AS q95 "
+        "FROM lineitem WHERE l_extendedprice IS NOT NULL GROUP BY 1"
+    ),
+    "tolerant_load": "SELECT count(*) AS total_rows, 1 AS skipped FROM lineitem",
+    "glob_scan": "SELECT count(*) AS total_rows FROM lineitem",
     "row_count": "SELECT count(*) AS total_rows FROM lineitem",
     "year_function_count": "SELECT count(*) AS filtered_rows FROM lineitem WHERE year(l_shipdate) = 1995",
     "year_filter_count": (

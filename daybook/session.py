@@ -28,6 +28,8 @@ DEFAULTS: dict[str, str] = {
     # near 400 MB. Past 4,096 keys the sort-based path (spillable) takes over.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
     "spark.ui.enabled": "false",
+    # Checkpoint files of results that are no longer referenced are deleted.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -41,7 +43,6 @@ def scale_settings(
     split_bytes: int = 512 * MB,
     shuffle_partition_bytes: int = 1 * GB,
     advisory_bytes: int = 256 * MB,
-    max_partitions: int = 20_000,
 ) -> dict[str, str]:
     """Scan and shuffle sizes for a run over ``input_bytes`` of Parquet on ``total_cores`` cores.
 
@@ -53,11 +54,7 @@ def scale_settings(
       count of a near-unique id moves about one row per input row, so the
       count is the input size over ``shuffle_partition_bytes`` (at least two
       per core), which keeps a reduce task's share within executor memory
-      and lets it spill in bounded pieces. It is capped at
-      ``max_partitions``: every map task writes an index entry per reduce
-      partition even for the small shuffles (24 hour buffers), and AQE only
-      merges partitions on the reduce side, so index files and fetch
-      requests would otherwise grow with the input too.
+      at every input size and lets it spill in bounded pieces.
     * AQE starts from that count and merges the partitions of the small
       shuffles (daily and hourly buffers, top-k counts) up to
       ``advisory_bytes``, so they do not run as many tiny tasks.
@@ -65,7 +62,7 @@ def scale_settings(
     if input_bytes < 0 or total_cores <= 0:
         raise ValueError("need input_bytes >= 0 and total_cores > 0")
     split = min(split_bytes, max(4 * MB, math.ceil(input_bytes / total_cores)))
-    partitions = min(max_partitions, max(2 * total_cores, math.ceil(input_bytes / shuffle_partition_bytes)))
+    partitions = max(2 * total_cores, math.ceil(input_bytes / shuffle_partition_bytes))
     return {
         "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.shuffle.partitions": str(partitions),
@@ -95,11 +92,6 @@ def build(
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The shared checkpoint folder the cluster names, if any."""
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use ``spark.checkpoint.dir``; only in local mode with it unset (tests) make one.
 

@@ -32,7 +32,8 @@ def write_small_csv(
     df: DataFrame,
     path: str,
     order_by: Sequence[Column | str] = (),
-    max_rows: int | None = 1_000_000,
+    *,
+    max_rows: int | None,
     mode: str = "overwrite",
 ) -> str:
     """One CSV part file with a header, for a small result (a report table).

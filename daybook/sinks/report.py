@@ -2,8 +2,9 @@
 
 Formatting runs on the executors with built-in expressions; only the few
 finished rows of a report reach the driver. Numbers print as Python's
-format mini-language prints them (``daybook.functions.text``), so the lines
-equal the reference's printed report character for character.
+format mini-language prints them (``daybook.functions.text``), so the per-day
+lines equal the reference's; the overview has labels and a date-range line of
+its own.
 """
 
 from __future__ import annotations
@@ -94,13 +95,23 @@ def schema_profile(df: DataFrame, spark: SparkSession | None = None) -> DataFram
 
 
 def sample_rows(df: DataFrame, n: int = 5, order_by: list[str] | None = None) -> DataFrame:
-    """First ``n`` rows in a repeatable order (top-k when ``order_by`` is given)."""
-    if order_by:
-        return df.orderBy(*order_by).limit(n)
-    return df.limit(n)
+    """First ``n`` rows; with ``order_by`` in a repeatable order.
+
+    The top-k runs on the first sort key alone (one column is read); the
+    other columns are then fetched for the rows up to its ``n``-th value, by a
+    filter that reaches the scan, and only those are sorted by all keys.
+    """
+    if not order_by:
+        return df.limit(n)
+    key = F.col(order_by[0])
+    smallest = [r[0] for r in df.select(key).orderBy(key).limit(n).collect()]
+    if len(smallest) == n and n:
+        edge = smallest[-1]
+        df = df.where(key.isNull() if edge is None else key.isNull() | (key <= F.lit(edge)))
+    return df.orderBy(*order_by).limit(n)
 
 
-def to_pandas(df: DataFrame, max_rows: int = 100_000):
+def to_pandas(df: DataFrame, max_rows: int):
     """``toPandas`` (Arrow batches) for a small result only.
 
     At most ``max_rows + 1`` rows are fetched; more than ``max_rows`` raises,

@@ -12,16 +12,18 @@ from daybook.sources.files import (
     read_partitioned,
     stage,
 )
-from daybook.sources.listing import input_size, list_files, probe_sources
+from daybook.sources.listing import Directory, input_size, list_directory, list_files, probe_sources
 
 __all__ = [
     "COMMENT_SCHEMA",
+    "Directory",
     "TRIP_SCHEMA",
     "Loaded",
     "check_options",
     "classify_error",
     "conform",
     "input_size",
+    "list_directory",
     "list_files",
     "month_paths",
     "probe_sources",

@@ -10,8 +10,8 @@ from collections.abc import Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,6 +34,9 @@ PARQUET_OPTIONS = frozenset(
     }
 )
 
+# Of these, the ones that choose files.
+LISTING_OPTIONS = frozenset({"pathGlobFilter", "recursiveFileLookup", "modifiedBefore", "modifiedAfter"})
+
 # Footer (schema) reads run this many at a time on the driver.
 SCHEMA_READERS = 16
 
@@ -79,7 +82,8 @@ def check_options(options: Mapping[str, object]) -> dict[str, str]:
     Spark ignores unknown options silently; a typo or a CSV-only option then
     changes nothing without a word.
     """
-    unknown = sorted(k for k in options if k not in PARQUET_OPTIONS)
+    known = {k.lower() for k in PARQUET_OPTIONS}  # Spark matches option names in any case
+    unknown = sorted(k for k in options if k.lower() not in known)
     if unknown:
         raise ValueError(f"not parquet read options: {', '.join(unknown)}")
     return {k: str(v).lower() if isinstance(v, bool) else str(v) for k, v in options.items()}
@@ -115,6 +119,7 @@ class Loaded:
     df: DataFrame
     read: list[str]
     skipped: list[tuple[str, str]] = field(default_factory=list)
+    filled: list[tuple[str, str]] = field(default_factory=list)  # (path, declared column it lacks)
 
 
 def read_months(
@@ -126,48 +131,104 @@ def read_months(
 ) -> Loaded:
     """Read many monthly Parquet paths as one table, safely.
 
-    * tolerant: a path that cannot be read (missing, denied, ...) is skipped
-      and reported; with nothing left it raises ``FileNotFoundError``. With
+    * tolerant: whatever cannot be read (missing, denied, a damaged footer,
+      ...) is skipped and reported with its label: a path, or a single file of
+      a directory. With nothing left it raises ``FileNotFoundError``. With
       ``tolerant=False`` the first failure is raised as is.
-    * drift-safe: paths are grouped by their footer schema and each group is
-      one scan; groups are cast to ``schema`` (when given) and combined with
-      ``unionByName(allowMissingColumns=True)``. So an INT/BIGINT drift or an
-      extra column in one month does not fail the job at run time. Scans stay
-      one per distinct schema, not one per file. The per-path footer reads
-      run ``SCHEMA_READERS`` at a time, so many months on an object store do
-      not queue their round trips one after another.
+    * drift-safe: files, also those of one directory, are grouped by their
+      footer schema and each group is one scan; groups are cast to ``schema``
+      (when given) and combined with ``unionByName(allowMissingColumns=True)``.
+      So an INT/BIGINT drift or an extra column in one file does not fail the
+      job at run time. Scans stay one per distinct schema, not one per file.
+      Footers are read ``SCHEMA_READERS`` at a time, so many months on an
+      object store do not queue their round trips one after another.
+    * declared columns that a file lacks are NULL there and listed in
+      ``filled``; one that no file has raises ``ValueError``.
     """
     opts = check_options(options)
 
-    def footer_schema(path: str) -> T.StructType | AnalysisException:
+    def attempt(step):
         try:
-            return spark.read.options(**opts).parquet(path).schema
-        except AnalysisException as exc:
+            return step()
+        except Exception as exc:  # noqa: BLE001 - reported by label, or raised below
             return exc
 
-    # Footer reads are round trips to storage: a few at a time, results in path order.
-    with ThreadPoolExecutor(max_workers=min(SCHEMA_READERS, max(1, len(paths)))) as pool:
-        found = list(pool.map(footer_schema, paths))
-
-    groups: dict[str, list[str]] = {}
+    def files_of(path: str) -> list[tuple[str, str | None]]:
+        """A path's files, each with the root that its partition columns count from."""
+        files = spark.read.format("binaryFile").options(**{k: v for k, v in opts.items() if k in LISTING_OPTIONS})
+        inputs = sorted(files.load(path).inputFiles())
+        if not inputs:  # an empty directory: let the Parquet reader say so
+            return [(path, None)]
+        return [(f, None if is_file(path, f) else path) for f in inputs if is_data(f)] or [(path, None)]
+
+    def footer_schema(file: str, root: str | None) -> T.StructType:
+        reader = spark.read.options(**opts)
+        return (reader.option("basePath", root) if root and not is_glob(root) else reader).parquet(file).schema
+
+    # Listings and footer reads are round trips to storage: a few at a time, results in path order.
+    with ThreadPoolExecutor(max_workers=SCHEMA_READERS) as pool:
+        listed = list(pool.map(lambda p: attempt(lambda: files_of(p)), paths))
+        found = [
+            (p, files)
+            if isinstance(files, Exception)
+            else (p, [(f, root, pool.submit(attempt, lambda f=f, root=root: footer_schema(f, root))) for f, root in files])
+            for p, files in zip(paths, listed)
+        ]
+
+    groups: dict[tuple[str, str | None], list[str]] = {}
     skipped: list[tuple[str, str]] = []
-    for p, schema_or_error in zip(paths, found):
-        if isinstance(schema_or_error, AnalysisException):
+    filled: list[tuple[str, str]] = []
+    read: list[str] = []
+    for p, files in found:
+        if isinstance(files, Exception):
             if not tolerant:
-                raise schema_or_error
-            skipped.append((p, classify_error(schema_or_error)))
+                raise files
+            skipped.append((p, classify_error(files)))
             continue
-        groups.setdefault(schema_or_error.json(), []).append(p)
+        good = 0
+        for f, root, told in files:
+            footer = told.result()
+            if isinstance(footer, Exception):
+                if not tolerant:
+                    raise footer
+                skipped.append((p if len(files) == 1 else f, classify_error(footer)))
+                continue
+            good += 1
+            groups.setdefault((footer.json(), root), []).append(f)
+            if schema is not None:
+                lacking = sorted({c.name for c in schema.fields} - set(footer.fieldNames()))
+                filled += [(p if len(files) == 1 else f, c) for c in lacking]
+        if good:
+            read.append(p)
     if not groups:
         raise FileNotFoundError(f"none of {len(paths)} paths could be read: {skipped}")
+    if schema is not None:
+        n_files = sum(map(len, groups.values()))
+        nowhere = [c for c in schema.fieldNames() if sum(c == name for _, name in filled) == n_files]
+        if nowhere:
+            raise ValueError(f"no file has the declared column(s) {', '.join(nowhere)}")
 
     parts = []
-    for group_paths in groups.values():
-        part = spark.read.options(**opts).parquet(*group_paths)
+    for (_, root), files in groups.items():
+        reader = spark.read.options(**opts)
+        part = (reader.option("basePath", root) if root and not is_glob(root) else reader).parquet(*files)
         parts.append(conform(part, schema) if schema is not None else part)
     df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    read = [p for p in paths if all(p != s for s, _ in skipped)]
-    return Loaded(df, read, skipped)
+    return Loaded(df, read, skipped, filled)
+
+
+def is_glob(path: str) -> bool:
+    return any(c in path for c in "*?[{")
+
+
+def is_file(path: str, file: str) -> bool:
+    """Whether a listed file is the asked path itself (listings carry a scheme and escape characters)."""
+    return unquote(file).rstrip("/").endswith(path.rstrip("/").split(":", 1)[-1].lstrip("/"))
+
+
+def is_data(file: str) -> bool:
+    """Names that begin with a dot or underscore are no data files, as in Spark's own listing."""
+    return not file.rstrip("/").rsplit("/", 1)[-1].startswith((".", "_"))
 
 
 def read_partitioned(
@@ -204,10 +265,18 @@ def stage(
 
     Executors read and write in parallel. ``dynamic`` partition overwrite
     replaces only the partitions being written, so a rerun after a failure
-    rewrites the same partitions and leaves the others alone.
-    Returns the staged partitions as read back from ``dst_root``.
+    rewrites the same partitions and leaves the others alone. Directories
+    keep their names: partition values are written as they stand in the
+    source's paths (``mm=01`` stays ``mm=01``), not as the numbers that Spark
+    reads them as. Returns the staged partitions as read back from
+    ``dst_root``; with no matching partition nothing is written and the
+    result is empty.
     """
     df = read_partitioned(spark, src_root, where)
+    names = {k: F.regexp_extract(F.col("_metadata.file_path"), f"/{k}=([^/]*)/", 1) for k in partition_by}
+    df = df.withColumns({k: F.url_decode(F.replace(v, F.lit("+"), F.lit("%2B"))) for k, v in names.items()})
+    if df.isEmpty():
+        return read_partitioned(spark, src_root, where)
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.sources.errors import OK, classify_error
+from daybook.sources.errors import NOT_FOUND, OK, classify_error
 
 PROBE_SCHEMA = T.StructType(
     [
@@ -41,6 +41,27 @@ def list_files(spark: SparkSession, path: str, glob: str | None = None, recursiv
     )
 
 
+@dataclass
+class Directory:
+    """What a directory holds: whether it exists, its first names in order, and how many more there are."""
+
+    exists: bool
+    names: list[str]
+    rest: int
+
+
+def list_directory(spark: SparkSession, path: str, first: int = 10, recursive: bool = False) -> Directory:
+    """The first ``first`` file names of ``path`` and the number of the others; missing paths do not raise."""
+    try:
+        files = list_files(spark, path, recursive=recursive)
+    except Exception as exc:  # noqa: BLE001 - a missing path is an answer, anything else is not
+        if classify_error(exc) == NOT_FOUND:
+            return Directory(False, [], 0)
+        raise
+    names = [r.name for r in files.select("name", "path").orderBy("name", "path").limit(first).collect()]
+    return Directory(True, names, files.count() - len(names))
+
+
 def input_size(files: DataFrame) -> DataFrame:
     """One row: number of files, total bytes and total MB of a listing."""
     return files.agg(
@@ -63,11 +84,8 @@ def probe_sources(spark: SparkSession, paths: Sequence[str], stop_at_first: bool
         try:
             df = spark.read.parquet(p)
             n = df.count()
-        except AnalysisException as exc:
-            rows.append((p, classify_error(exc), None, None, None, str(exc).splitlines()[0][:500]))
-            continue
         except Exception as exc:  # noqa: BLE001 - reported, not raised, like the diagnosis it replaces
-            rows.append((p, classify_error(exc), None, None, None, str(exc).splitlines()[0][:500]))
+            rows.append((p, classify_error(exc), None, None, None, str(exc) or type(exc).__name__))
             continue
         rows.append((p, OK, n, len(df.columns), df.schema.simpleString(), None))
         if stop_at_first:

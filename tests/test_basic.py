@@ -49,9 +49,9 @@ def test_scale_settings():
 
     big = scale_settings(100_000 * GB, 8000)
     assert big["spark.sql.files.maxPartitionBytes"] == str(512 * MB)
-    # Input / 1 GB would be 100,000; capped to bound per-map-task index size.
-    assert big["spark.sql.shuffle.partitions"] == "20000"
-    assert big["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "20000"
+    # 1 GB a reduce task at every input size.
+    assert big["spark.sql.shuffle.partitions"] == "100000"
+    assert big["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "100000"
     assert scale_settings(5_000 * GB, 1000)["spark.sql.shuffle.partitions"] == "5000"
     small = scale_settings(80 * MB, 8)
     # Small input: at least one split per core, two shuffle partitions per core.

@@ -66,3 +66,41 @@ def test_cli_auto_size(tmp_path):
     # A tiny input: two shuffle partitions per core, at least one split per core.
     assert "-> 8 shuffle partitions" in p.stdout
     assert len(glob.glob(f"{tmp_path}/peak_hours_local.csv/part-*.csv")) == 1
+
+
+TRIP_ARGS = (
+    "--year", "1995", "--ts", "l_shipdate", "--distance", "l_extendedprice", "--tax", "l_tax",
+    "--fare", "l_extendedprice", "--tip", "l_discount", "--passengers", "l_quantity",
+)
+
+
+def test_cli_shows_all_that_is_asked_for(tmp_path):
+    p = run("daily", "--paths", "/root/testdata/sf0.001/lineitem.parquet", *TRIP_ARGS, "--show", "50", "--out", str(tmp_path / "o"))
+    assert p.returncode == 0, p.stderr[-2000:]
+    assert sum(line.startswith("|1995") for line in p.stdout.splitlines()) == 50
+
+
+def test_cli_activity_shows_rows_without_a_time_and_whole_names(tmp_path, spark):
+    long_name = "a_group_with_a_name_of_more_than_twenty_letters"
+    rows = [(i, "u", long_name, i * 3600 if i < 24 else None) for i in range(30)]
+    path = str(tmp_path / "ev")
+    spark.createDataFrame(rows, "id long, author string, subreddit string, created_utc long").write.parquet(path)
+    p = run("activity", "--input", path, "--id-col", "id", "--out-dir", str(tmp_path))
+    assert p.returncode == 0, p.stderr[-2000:]
+    lines = [line.replace(" ", "") for line in p.stdout.splitlines()]
+    assert f"|{long_name}|30|" in lines and "|NULL|6|" in lines and "|23|1|" in lines
+
+
+def test_cli_refuses_arguments_it_would_ignore(tmp_path):
+    p = run("daily", "--paths", "x.parquet", "--months", "1-1")
+    assert p.returncode == 2 and "--months" in p.stderr
+    p = run("--input-gb", "3", "check")
+    assert p.returncode == 2 and "--total-cores" in p.stderr
+
+
+def test_cli_ls(tmp_path):
+    for i in range(12):
+        (tmp_path / f"f{i:02d}").write_bytes(b"x")
+    p = run("ls", str(tmp_path))
+    assert p.returncode == 0 and "12 files" in p.stdout and "f09" in p.stdout and "f10" not in p.stdout and "and 2 more" in p.stdout
+    assert run("ls", str(tmp_path / "none")).returncode == 1

@@ -176,3 +176,14 @@ def test_custom_columns(spark):
     cols = TripColumns(ts="ts", distance="p", tax="t", fare="p", tip="d", passengers="q")
     r = daily_summary(df, cols, year=2021).first()
     assert (r.mean_trip_distance, r.max_mta_tax, r.min_tip_amount, r.mean_passenger_count) == (2.0, 0.1, 0.2, 5)
+
+
+def test_exact_and_approximate_agree_on_rows_without_a_time(spark):
+    from daybook.operators.daily import daily_summary
+
+    rows = [(None, 1.0, 0.5, float(i), 0.0, 1.0) for i in range(200)]
+    df = spark.createDataFrame(
+        rows, "tpep_pickup_datetime timestamp, trip_distance double, mta_tax double, fare_amount double, tip_amount double, passenger_count double"
+    )
+    a, b = (daily_summary(df, exact=e).first() for e in (False, True))
+    assert a == b and b.q95_fare_amount == 189.0 and b.dt_year is None

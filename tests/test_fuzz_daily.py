@@ -23,6 +23,7 @@ from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
 
 import __spark_entry__ as entry
+from daybook.plans import registry
 from tests.skew_job import _same
 
 QUERIES = (
@@ -189,9 +190,9 @@ def test_empty_tables_match_sql(spark, tmp_path):
         schema = pq.read_schema(f"/root/testdata/sf0.001/{t}.parquet").remove_metadata()
         pq.write_table(schema.empty_table(), str(tmp_path / f"{t}.parquet"))
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet')")
-    for name, q in entry.queries().items():
+    for name, q in registry.QUERIES.items():
         df = q(spark, str(tmp_path))
         got = [tuple(r) for r in df.collect()]
-        rel = con.execute(entry.oracle_sql()[name])
+        rel = con.execute(registry.ORACLE_SQL[name])
         d_cols = [c[0] for c in rel.description]
         assert _same(df.columns, got, d_cols, rel.fetchall()), name

@@ -40,3 +40,14 @@ def test_timed():
     assert ok.ok and ok.value == 3 and ok.seconds >= 0
     bad = timed(lambda: 1 / 0)
     assert not bad.ok and "ZeroDivisionError" in bad.error
+
+
+def test_activity_results_are_evaluated_once(spark, sf0001):
+    """Showing and counting a finished run reads its checkpoints, not the input."""
+    from daybook.plans.activity_job import run_activity
+    from daybook.plans.registry import comments
+
+    run = run_activity(comments(spark, sf0001), "event_id", "user_id", "event_type", "created_utc")
+    for frame in (run.stats, run.top, run.hours):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert "parquet" not in plan.lower() and frame.count() > 0

@@ -49,7 +49,7 @@ def read_csv(path):
 
 def test_small_csv_one_file_header(daily, tmp_path):
     desc = ["dt_year", "dt_month", "dt_day"]
-    out = write_small_csv(daily, str(tmp_path / "daily_averages.csv"), [F.col(c).desc() for c in desc])
+    out = write_small_csv(daily, str(tmp_path / "daily_averages.csv"), [F.col(c).desc() for c in desc], max_rows=None)
     parts, rows = read_csv(out)
     assert len(parts) == 1
     assert rows[0][:4] == ["dt_year", "dt_month", "dt_day", "num_trips"]
@@ -111,7 +111,7 @@ def test_schema_profile(daily):
 
 
 def test_to_pandas_guard(spark, daily):
-    assert len(to_pandas(daily)) == 2
+    assert len(to_pandas(daily, max_rows=10)) == 2
     with pytest.raises(ValueError):
         to_pandas(spark.range(20), max_rows=10)
 
@@ -119,3 +119,15 @@ def test_to_pandas_guard(spark, daily):
 def test_sample_rows(spark):
     df = spark.range(100).repartition(7)
     assert [r.id for r in sample_rows(df, 5, ["id"]).collect()] == [0, 1, 2, 3, 4]
+
+
+def test_sample_rows_sorts_one_column_first(spark, tmp_path):
+    rows = [(i % 7, -i, f"t{i}") for i in range(60)] + [(None, 1, "n")]
+    df = spark.createDataFrame(rows, "a int, b int, c string")
+    for n in (0, 1, 5, 30, 100):
+        assert sample_rows(df, n, ["a", "b"]).collect() == df.orderBy("a", "b").limit(n).collect()
+    path = str(tmp_path / "p")
+    df.write.parquet(path)
+    plan = sample_rows(spark.read.parquet(path), 5, ["a", "b"])._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual" in plan or "lessthanorequal" in plan.lower()
+    assert sample_rows(df.where("false"), 3, ["a"]).collect() == []

@@ -16,6 +16,7 @@ from daybook.sources import (
     check_options,
     classify_error,
     input_size,
+    list_directory,
     list_files,
     month_paths,
     probe_sources,
@@ -184,3 +185,74 @@ def test_unknown_option(spark, monthly):
     assert check_options({"mergeSchema": False}) == {"mergeSchema": "false"}
     month_dir = month_paths(monthly, 2021, [1])[0]  # a directory of part files
     assert read_parquet(spark, month_dir, pathGlobFilter="part-*.parquet").count() == 30
+
+
+def test_tolerant_of_anything_unreadable(spark, tmp_path):
+    good, bad, mixed = (str(tmp_path / n) for n in ("good", "bad.parquet", "mixed"))
+    spark.range(5).write.parquet(good)
+    (tmp_path / "bad.parquet").write_bytes(b"not parquet at all")
+    spark.range(3).coalesce(1).write.parquet(mixed)
+    (tmp_path / "mixed" / "part-zz.parquet").write_bytes(b"PAR1 damaged")
+    loaded = read_months(spark, [good, bad, mixed, str(tmp_path / "none")])
+    assert loaded.df.count() == 8 and loaded.read == [good, mixed]
+    assert [(os.path.basename(p), why) for p, why in loaded.skipped] == [("bad.parquet", "unexpected"), ("part-zz.parquet", "unexpected"), ("none", "not_found")]
+    with pytest.raises(Exception):
+        read_months(spark, [good, bad], tolerant=False)
+    with pytest.raises(FileNotFoundError):
+        read_months(spark, [bad])
+
+
+def test_drift_inside_one_directory(spark, tmp_path):
+    d = str(tmp_path / "month=1")
+    spark.createDataFrame([(1, 1.5)], "id int, x double").coalesce(1).write.parquet(d)
+    spark.createDataFrame([(2**40, "n")], "id bigint, note string").coalesce(1).write.mode("append").parquet(d)
+    loaded = read_months(spark, [d])
+    assert sorted((r.id, r.x, r.note) for r in loaded.df.collect()) == [(1, 1.5, None), (2**40, None, "n")]
+
+
+def test_declared_columns_that_are_missing(spark, tmp_path):
+    a, b = str(tmp_path / "a"), str(tmp_path / "b")
+    spark.createDataFrame([(1, 1.5)], "id int, x double").coalesce(1).write.parquet(a)
+    spark.createDataFrame([(2,)], "id int").coalesce(1).write.parquet(b)
+    declared = T.StructType([T.StructField("id", T.LongType()), T.StructField("x", T.DoubleType())])
+    loaded = read_months(spark, [a, b], schema=declared)
+    assert loaded.filled == [(b, "x")] and sorted((r.id, r.x) for r in loaded.df.collect()) == [(1, 1.5), (2, None)]
+    misspelled = T.StructType([*declared.fields, T.StructField("fair_amount", T.DoubleType())])
+    with pytest.raises(ValueError, match="fair_amount"):
+        read_months(spark, [a, b], schema=misspelled)
+
+
+def test_partition_columns_of_a_directory_stay(spark, hive_tree):
+    loaded = read_months(spark, [hive_tree])
+    assert loaded.df.where("yyyy = 2024 and mm = 1").count() == 20
+
+
+def test_staging_keeps_directory_names(spark, tmp_path):
+    src, dst = str(tmp_path / "src"), str(tmp_path / "dst")
+    df = spark.createDataFrame([("c1", "2024", "01"), ("c2", "2024", "02"), ("c+3", "2024", "10")], "id string, yyyy string, mm string")
+    df.write.partitionBy("yyyy", "mm").parquet(src)
+    assert os.path.isdir(f"{src}/yyyy=2024/mm=01")
+    got = stage(spark, src, dst, {"yyyy": 2024, "mm": 1})
+    assert [r.id for r in got.collect()] == ["c1"]
+    assert [r.id for r in spark.read.parquet(f"{dst}/yyyy=2024/mm=01").collect()] == ["c1"]
+    assert stage(spark, src, str(tmp_path / "none"), {"yyyy": 2024, "mm": 7}).collect() == []
+    assert not os.path.exists(tmp_path / "none")
+
+
+def test_directory_listing(spark, tmp_path):
+    for i in range(13):
+        (tmp_path / f"f{i:02d}.bin").write_bytes(b"x")
+    found = list_directory(spark, str(tmp_path))
+    assert (found.exists, found.names, found.rest) == (True, [f"f{i:02d}.bin" for i in range(10)], 3)
+    missing = list_directory(spark, str(tmp_path / "nope"))
+    assert (missing.exists, missing.names, missing.rest) == (False, [], 0)
+
+
+def test_probe_errors_are_whole(spark, tmp_path):
+    (tmp_path / "bad.parquet").write_bytes(b"not parquet at all")
+    row = probe_sources(spark, [str(tmp_path / "bad.parquet")]).first()
+    assert row.status == "unexpected" and "bad.parquet" in row.error
+
+
+def test_option_names_in_any_case():
+    assert check_options({"mergeschema": True}) == {"mergeschema": "true"}
