@@ -13,10 +13,17 @@
    candidates. Each bucket has one pivot (its smallest node) and every member
    is verified against it on the full sets: linear in the bucket's size.
 4. Links make components (minimum label, neighbours and pointer jumping, each
-   round checkpointed). Inside buckets that still hold several components,
-   members of different components are verified against each other, except
-   those that the triangle inequality of the Jaccard distance rules out, since
-   both distances to the pivot are known; new links join the components.
+   round checkpointed).
+5. Pivots of one component make a family. Members of a family that are still
+   in different components may be linked with each other. Their differences
+   to a reference set ``R`` tell: ``|x ^ y|`` equals ``|Dx ^ Dy|`` for ``Dx = x ^ R``.
+   ``R`` is the consensus of the family (what most members hold), so differences
+   are small. Members whose differences are together within what a link allows
+   are linked for certain, all of them with the member of least slack; any
+   other pair needs common differences, and a prefix filter, rarest elements
+   first, meets only pairs that share one of their rarest ones: near copies of
+   one text with edits of their own share none, however many they are. Such
+   pairs are verified on the full sets; new links join the components.
 
 ``bands = 30, rows = 5`` misses a pair of similarity 0.8 with probability
 (1 - 0.8**5)**30 = 7e-6, and closer pairs far less often.
@@ -36,7 +43,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.common import checkpointed, chunks, col, in_buckets, kept, map_arrow, map_texts
@@ -157,28 +164,156 @@ def signatures(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
     return map_texts(docs, work, "doc_id long, n_shingles long, node long, keys array<long>")
 
 
-def verify(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
-    """``a, b, both, either``: sizes of intersection and union on the full sets of each pair ``a, b``."""
+def verify(pairs: DataFrame, texts: DataFrame, width: int, differences: bool = False) -> DataFrame:
+    """Sizes of both sets and of their symmetric difference for each pair ``a, b``, on the full sets.
+
+    Columns ``a, b, na, nb, apart``; with ``differences`` also the differing shingles.
+    """
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("a_text"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("b_text"))
     full = pairs.join(left, "a").join(right, "b").select("a", "b", "a_text", "b_text")
+    fields = "a long, b long, na long, nb long, apart long" + ", difference array<long>" * differences
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, pivot = None, None
         for a, b, a_text, b_text in chunks(batches, text=2):
-            sets = shingle_sets(a_text, width)
-            both, either = [], []
-            for node, x, t in zip(b, sets, b_text):
+            out: list[list] = [[] for _ in range(4)]
+            for node, x, t in zip(b, shingle_sets(a_text, width), b_text):
                 if node != last:  # members of one pivot come together
                     last, pivot = node, shingle_sets([t], width)[0]
-                n = len(np.intersect1d(x, pivot, assume_unique=True))
-                both.append(n)
-                either.append(len(x) + len(pivot) - n)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in (a, b, both, either)], names=["a", "b", "both", "either"]
-            )
+                d = np.setxor1d(x, pivot, assume_unique=True)
+                for c, v in zip(out, (len(x), len(pivot), len(d), d.view(np.int64))):
+                    c.append(v)
+            columns = [pa.array(c, pa.int64()) for c in (a, b, *out[:3])]
+            if differences:
+                columns.append(pa.array(out[3], pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in fields.split(", ")])
+
+    return map_arrow(full, run, fields)
+
+
+def linked(percent: int) -> Column:
+    """``100 * |A & B| >= percent * |A | B|`` from ``na``, ``nb`` and ``apart``."""
+    total = F.col("na") + F.col("nb")
+    return 100 * (total - F.col("apart")) >= percent * (total + F.col("apart"))
+
+
+def to_consensus(members: DataFrame) -> DataFrame:
+    """``family, node, n, difference`` with differences to the family's consensus, and their number ``apart``.
+
+    Elements that most members differ in are turned round: there the
+    reference that the differences were taken from is the odd one out.
+    """
+    size = members.groupBy("family").agg(F.count(F.lit(1)).alias("size"))
+    often = members.select("family", F.explode("difference").alias("e")).groupBy("family", "e").agg(F.count(F.lit(1)).alias("f"))
+    turned = (
+        often.join(size, "family").where("2 * f > size").groupBy("family").agg(F.collect_list("e").alias("turned"))
+    )
+    both = members.join(turned, "family", "left")
+    difference = F.when(F.col("turned").isNull(), F.col("difference")).otherwise(
+        F.concat(F.array_except("difference", "turned"), F.array_except("turned", "difference"))
+    )
+    return both.select("family", "node", "n", difference.alias("difference")).withColumn("apart", F.size("difference").cast("long"))
+
+
+def slack(percent: int) -> Column:
+    """Two members with slacks that add up to 0 or less are linked, as the triangle inequality has it."""
+    return (100 + percent) * F.col("apart") - (100 - percent) * F.col("n")
+
+
+def unmet_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` of one family's members in different components that may be linked.
 
-    return map_arrow(full, run, "a long, b long, both long, either long")
+    ``members``: ``family, node, root, n, apart, difference`` and of the family ``center_root``
+    (component of the member of least slack). A link allows a difference of at
+    most ``t = (100 - percent) / (100 + percent) * (n + n')``, and sizes differ at most by the
+    factor ``100 / percent``, so the overlap of the differences of a pair with
+    ``apart <= apart'`` is at least ``(apart + apart' - t) / 2``. Seen from the smaller that is
+    ``apart - t / 2``, or, inside the center's component, with the least ``apart'`` outside
+    it; seen from the larger, ``apart' - t``. It is at least 1, as other pairs are linked
+    for certain. The first ``apart - overlap + 1`` elements of either, in one order,
+    then share an element.
+    """
+    far, near = 100 - percent, 100 + percent
+    n, a = F.col("n"), F.col("apart")
+    inside = F.col("root") == F.col("center_root")
+    family = members.groupBy("family").agg(
+        F.max("n").alias("most_n"), F.min(F.when(~inside, a)).alias("least_outside"),
+        F.min("root").alias("lo"), F.max("root").alias("hi"),
+    )
+    members = members.join(family.where("lo != hi"), "family")
+    t = F.floor(far * (n + F.least(F.col("most_n"), F.floor(n * 100 / percent))) / near)
+    least_small = F.greatest(
+        F.lit(1), F.ceil(a - t / 2), F.when(inside, F.ceil((a + F.col("least_outside") - t) / 2)).otherwise(F.lit(1))
+    )
+    least_large = F.greatest(F.lit(1), a - t)
+    sized = members.select(
+        "family", "node", "root", "n", "apart", "difference",
+        (a - least_small + 1).alias("small"), (a - least_large + 1).alias("large"),
+    )
+    sized = kept(sized)
+    spread = sized.select("family", "node", F.explode("difference").alias("e"))
+    shared = spread.groupBy("family", "e").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
+    # Elements of one member only cannot meet; they come first in the order and take up prefix places.
+    ranked = kept(
+        spread.join(shared, ["family", "e"])
+        .groupBy("family", "node")
+        .agg(F.array_sort(F.collect_list(F.struct("f", "e"))).alias("es"))
+        .join(sized.drop("difference"), ["family", "node"])
+        .withColumn("alone", F.col("apart") - F.size("es"))
+    )
+
+    def prefix(length: str) -> DataFrame:
+        room = F.greatest(F.lit(0), F.col(length) - F.col("alone")).cast("int")
+        return ranked.select("family", "node", "root", "n", "apart", F.explode(F.slice("es", F.lit(1), room)["e"]).alias("e"))
+
+    x, y = prefix("small").alias("x"), prefix("large").alias("y")
+    order = (F.col("x.apart") < F.col("y.apart")) | (
+        (F.col("x.apart") == F.col("y.apart")) & (F.col("x.node") < F.col("y.node"))
+    )
+    met = x.join(
+        y,
+        (F.col("x.family") == F.col("y.family"))
+        & (F.col("x.e") == F.col("y.e"))
+        & (F.col("x.root") != F.col("y.root"))
+        & order
+        & (near * (F.col("y.apart") - F.col("x.apart")) <= far * (F.col("x.n") + F.col("y.n"))),
+    )
+    return met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+
+
+def further_links(pairs: DataFrame, found: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame | None:
+    """Links between members of one family that no pivot has shown: ``a, b``."""
+    roots = found.select(F.col("node").alias("b"), F.col("root").alias("family"))
+    of = pairs.join(roots, "b", "left").withColumn("family", F.coalesce("family", "b"))
+    family = of.select("family", F.col("a").alias("node")).union(of.select("family", "b")).distinct()
+    family = family.join(found, "node", "left").select("family", "node", F.coalesce("root", "node").alias("root"))
+    several = family.groupBy("family").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
+    family = checkpointed(family.join(several.select("family"), "family"))
+    if family.isEmpty():
+        return None
+
+    apart = family.where("node != family").select(F.col("node").alias("a"), F.col("family").alias("b"))
+    told = kept(verify(apart, texts, width, differences=True))
+    references = told.groupBy("b").agg(F.first("nb").alias("n"))
+    members = told.select(F.col("b").alias("family"), F.col("a").alias("node"), F.col("na").alias("n"), "difference").union(
+        references.select("b", "b", "n", F.array().cast("array<bigint>"))
+    )
+    members = to_consensus(members).withColumn("slack", slack(percent))
+    members = kept(members)
+    centers = members.groupBy("family").agg(F.min(F.struct("slack", "node")).alias("c"))
+    centers = centers.select("family", F.col("c.node").alias("center"), F.col("c.slack").alias("least"))
+    sure = members.join(centers, "family").where((F.col("slack") + F.col("least") <= 0) & (F.col("node") != F.col("center")))
+    sure = checkpointed(sure.select(F.col("node").alias("a"), F.col("center").alias("b")))
+
+    joined = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).where("a != b").union(sure))
+    rooted = joined.select("node", "root")
+    open_ = members.join(rooted, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    center_roots = centers.join(rooted.withColumnRenamed("node", "center"), "center", "left")
+    center_roots = center_roots.select("family", F.coalesce("root", "center").alias("center_root"))
+    more = checkpointed(unmet_pairs(open_.join(center_roots, "family"), percent))
+    met = verify(more, texts, width).where(linked(percent)).select("a", "b")
+    return checkpointed(sure.union(met))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -225,68 +360,23 @@ def near_duplicates(
     some = signs.where("node is not null")
     # One row per distinct set; the row with the smallest id lends its text.
     classes = some.groupBy("node").agg(
-        F.min("doc_id").alias("least_id"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys")
+        F.min("doc_id").alias("least_id"), F.first("keys").alias("keys")
     )
-    members = checkpointed(classes.select("node", "n", F.explode("keys").alias("bucket")))
-    pivots = (
-        members.groupBy("bucket")
-        .agg(F.min(F.struct("node", "n")).alias("p"), F.count(F.lit(1)).alias("c"))
-        .where("c > 1")
-        .select("bucket", F.col("p.node").alias("pivot"), F.col("p.n").alias("pivot_n"))
-    )
-    # Members of shared buckets only, with their bucket's pivot.
-    shared = checkpointed(members.join(pivots, "bucket"))
-    sizes_fit = 100 * F.least("n", "pivot_n") >= percent * F.greatest("n", "pivot_n")
-    pairs = (
-        shared.where((F.col("node") != F.col("pivot")) & sizes_fit)
-        .select(F.col("node").alias("a"), F.col("pivot").alias("b"))
-        .distinct()
-    )
-    pairs = checkpointed(pairs)
-    linked = 100 * F.col("both") >= percent * F.col("either")
+    members = checkpointed(classes.select("node", F.explode("keys").alias("bucket")))
+    pivots = members.groupBy("bucket").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("c")).where("c > 1")
+    shared = members.join(pivots.select("bucket", "pivot"), "bucket")
+    pairs = shared.where(F.col("node") != F.col("pivot")).select(F.col("node").alias("a"), F.col("pivot").alias("b"))
+    pairs = checkpointed(pairs.distinct())
 
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     lenders = wanted.join(some.select("node", "doc_id"), "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     texts = class_texts(docs, lenders, width)
 
-    first = checkpointed(verify(pairs, texts, width))
-    links = first.where(linked).select("a", "b")
+    links = checkpointed(verify(pairs, texts, width).where(linked(percent)).select("a", "b"))
     found = components(links)
-
-    # Pairs of different components inside one bucket, within reach of each other.
-    placed = (
-        shared.join(found, "node", "left")
-        .join(
-            first.select(F.col("a").alias("node"), F.col("b").alias("pivot"), (F.col("both") / F.col("either")).alias("j")),
-            ["node", "pivot"],
-            "left",
-        )
-        .where(F.col("node") != F.col("pivot"))
-        .select("bucket", "node", "n", F.coalesce("root", "node").alias("root"), "j")
-    )
-    mixed_buckets = placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
-    open_members = checkpointed(placed.join(mixed_buckets.select("bucket"), "bucket"))
-    x, y = open_members.alias("x"), open_members.alias("y")
-    gap = 1 - percent / 100 + 1e-9
-    in_reach = F.coalesce(F.abs(F.col("x.j") - F.col("y.j")) <= gap, F.lit(True))
-    more = (
-        x.join(
-            y,
-            (F.col("x.bucket") == F.col("y.bucket"))
-            & (F.col("x.node") < F.col("y.node"))
-            & (F.col("x.root") != F.col("y.root"))
-            & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
-            & in_reach,
-        )
-        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-        .distinct()
-        .join(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
-        .join(pairs, ["a", "b"], "left_anti")
-    )
-    more = checkpointed(more)
-    second = checkpointed(verify(more, texts, width).where(linked).select("a", "b"))
-    if not second.isEmpty():
-        found = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).where("a != b").union(second))
+    more = further_links(pairs, found, texts, width, percent)
+    if more is not None and not more.isEmpty():
+        found = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).where("a != b").union(more))
 
     rooted = classes.select("node", "least_id").join(found, "node", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "node"))
