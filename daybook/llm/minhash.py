@@ -49,6 +49,7 @@ from pyspark.sql import functions as F
 from daybook.llm.common import checkpointed, chunks, col, in_buckets, kept, map_arrow, map_texts
 
 U = np.uint64
+SALTS = 32
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -206,9 +207,11 @@ def to_consensus(members: DataFrame) -> DataFrame:
     """
     size = members.groupBy("family").agg(F.count(F.lit(1)).alias("size"))
     often = members.select("family", F.explode("difference").alias("e")).groupBy("family", "e").agg(F.count(F.lit(1)).alias("f"))
-    turned = (
-        often.join(size, "family").where("2 * f > size").groupBy("family").agg(F.collect_list("e").alias("turned"))
-    )
+    # A hot family's elements meet its size in parts; what is left is about as much as one difference.
+    part = F.pmod(F.xxhash64("e"), F.lit(SALTS)).cast("int")
+    sizes = size.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    most = often.withColumn("part", part).join(sizes, ["family", "part"]).where("2 * f > size")
+    turned = most.groupBy("family").agg(F.collect_list("e").alias("turned"))
     both = members.join(turned, "family", "left")
     difference = F.when(F.col("turned").isNull(), F.col("difference")).otherwise(
         F.concat(F.array_except("difference", "turned"), F.array_except("turned", "difference"))
