@@ -35,7 +35,7 @@ U = np.uint64
 SPACE, LITERAL = 0x2581, 0x110000  # the sign that stands for a space; a literal one matches no piece
 UNIT = re.compile(" *[^ ]+| +")
 STEP = U(0x9E3779B97F4A7C15)
-TEXT_AT_ONCE = 4_000_000
+TEXT_AT_ONCE = 2_500_000
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -111,6 +111,7 @@ class Lattices:
         group = np.flatnonzero(np.append(True, end[1:] != end[:-1])) if len(end) else np.zeros(0, np.int64)
         sums = np.cumsum(share)
         before = np.repeat(sums[group] - share[group], np.diff(np.append(group, len(end))))
+        self.last = np.cumsum(np.bincount(end, minlength=len(total))) - 1  # last incoming edge of each node
         self.limit = end + np.minimum(sums - before, 1.0)
         if len(group):
             self.limit[np.append(group[1:], len(end)) - 1] = end[group] + 1.0
@@ -125,7 +126,7 @@ class Lattices:
             u = (mixed(seed[open_] + np.array([step], dtype=U) * STEP) >> U(11)).astype(np.float64) * 2.0**-53
             e = np.searchsorted(self.limit, node[open_] + u, side="right")
             # Rounding of node + u can only reach the next node's edges: stay with the last of one's own.
-            e = np.minimum(e, np.searchsorted(self.limit, node[open_] + 1.0, side="left"))
+            e = np.minimum(e, self.last[node[open_]])
             places.append(open_)
             found.append(self.piece[e])
             steps.append(np.full(len(open_), step))
