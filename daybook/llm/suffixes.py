@@ -22,8 +22,9 @@ is removed wherever it stands. All sizes are in UTF-8 bytes.
 Copies meet only as counts. A key with up to ``group`` different extents is
 compared in one task; beyond that its windows are counted one by one in a
 shuffle, which gives the same answer without gathering them. Filters that
-keep texts or entries from being shuffled (a bitmap of keys, a table of row
-buckets) have a fixed size and let false positives through, never drop.
+keep texts or entries from being shuffled (bitmaps of hashes, a table of row
+buckets) have a fixed size and let false positives through, never drop; where
+it matters, an exact lookup follows for the few that they cannot decide.
 Strings count as equal when their 64-bit hashes are.
 
 Defined results: NULL text is empty; texts shorter than ``length`` bytes keep
@@ -32,23 +33,18 @@ everything; rows that repeat id and text repeat each other's strings.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import checkpointed, chunks, col, in_buckets, kept, map_arrow, map_texts
-from daybook.llm.windows import U, Hashes, mixed, sample
+from daybook.llm.common import arrow_schema, checkpointed, chunks, col, in_buckets, kept, map_arrow, map_texts
+from daybook.llm.windows import Suffixes, U, Hashes, mixed, sample
 
-KEY_BITS = 25  # size of the key filter: 2**25 bits (4 MB)
-
-
-def listed(values: np.ndarray, cuts: np.ndarray, kind: pa.DataType) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(values, kind))
+KEY_BITS = 26  # size of the bitmaps: 2**26 bits (8 MB)
 
 
 def with_row(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -59,24 +55,21 @@ def with_row(docs: DataFrame, key: str, text: str) -> DataFrame:
     return narrow.withColumn("row", F.xxhash64("doc_id", "text"))
 
 
-def entries(rows: DataFrame, length: int, k: int) -> DataFrame:
-    """Per text its sampled suffixes as arrays: place, windows' reach before and after it, key, extent."""
+def sampled(rows: DataFrame, length: int, k: int, emit: Callable, fields: str) -> DataFrame:
+    """``emit(suffixes, row of each suffix)`` over the sampled suffixes of all texts.
 
-    def work(ids: list, texts: list) -> list:
-        s = sample([t.encode() for t in texts], length, k)
-        cuts = np.searchsorted(s.row, np.arange(len(texts) + 1))
-        small, wide = pa.int32(), pa.int64()
-        return [
-            ids,
-            listed(s.at.astype(np.int32), cuts, small),
-            listed((s.at - s.lo).astype(np.int32), cuts, small),
-            listed((s.at - s.hi).astype(np.int32), cuts, small),
-            listed(s.key.view(np.int64), cuts, wide),
-            listed(s.extent.view(np.int64), cuts, wide),
-        ]
+    They are sampled anew in each pass: that costs less than keeping them.
+    """
+    schema = arrow_schema(fields)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row, texts in chunks(batches):
+            s = sample([t.encode() for t in texts], length, k)
+            columns = emit(s, np.array(row, dtype=np.int64)[s.row])
+            arrays = [pa.array(c.view(np.int64) if c.dtype == U else c, f.type) for c, f in zip(columns, schema)]
+            yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
-    fields = "row long, at array<int>, back array<int>, fore array<int>, key array<long>, extent array<long>"
-    return map_texts(rows.select("row", "text").where(F.octet_length("text") >= length), work, fields)
+    return map_arrow(rows.select("row", "text").where(F.octet_length("text") >= length), run, fields)
 
 
 class SuffixIndex:
@@ -130,23 +123,76 @@ def in_bitmap(bits_set: np.ndarray, keys: np.ndarray, bits: int) -> np.ndarray:
     return (bits_set[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
 
 
-def exploded(stored: DataFrame, bits_set: np.ndarray) -> DataFrame:
-    """One row per entry whose key may be repeated."""
+def in_map(df: DataFrame, column: str, bits_set: np.ndarray) -> DataFrame:
+    """Rows of numbers whose ``column`` is in the bitmap."""
+    at = df.columns.index(column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            lists = [b.column(i) for i in range(1, 6)]
-            row = np.repeat(b.column(0).to_numpy(), pc.list_value_length(lists[0]).to_numpy())
-            flat = [x.flatten().to_numpy() for x in lists]
-            use = in_bitmap(bits_set, flat[3], KEY_BITS)
-            out = [row[use], *(x[use] for x in flat)]
-            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x, t) for x, t in zip(out, kinds)], names=["row", "at", "back", "fore", "key", "extent"]
-            )
+            yield b.filter(pa.array(in_bitmap(bits_set, b.column(at).to_numpy(), KEY_BITS)))
+
+    return map_arrow(df, run, df.schema)
+
+
+def whole_extents(
+    rows: DataFrame, extents: DataFrame, key_bits: np.ndarray, length: int, k: int
+) -> DataFrame:
+    """``row, lo, hi`` of the entries whose whole extent is repeated, adjacent ones as one.
+
+    Two bitmaps decide without a shuffle: an entry is repeated only if its
+    extent is in that of the repeated extents, and certainly so if it is not
+    in that of the single extents that the first one lets through. What is
+    in both is looked up in ``extents``.
+    """
+    again = extents.where("n > 1").select("extent")
+    again_bits = bitmap(again, "extent", KEY_BITS)
+    doubt_bits = bitmap(in_map(extents.where("n = 1").select("extent"), "extent", again_bits), "extent", KEY_BITS)
+
+    def emit(s: Suffixes, row: np.ndarray) -> list[np.ndarray]:
+        may = in_bitmap(key_bits, s.key, KEY_BITS) & in_bitmap(again_bits, s.extent, KEY_BITS)
+        doubt = may & in_bitmap(doubt_bits, s.extent, KEY_BITS)
+        sure = may & ~doubt
+        text, lo, hi = s.row[sure], s.lo[sure], s.hi[sure]
+        new = np.ones(len(lo), dtype=bool)
+        new[1:] = (text[1:] != text[:-1]) | (lo[1:] != hi[:-1] + 1)
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], len(lo))[: len(first)] - 1
+        return [
+            np.concatenate([row[sure][first], row[doubt]]),
+            np.concatenate([lo[first], s.lo[doubt]]),
+            np.concatenate([hi[last], s.hi[doubt]]),
+            np.concatenate([np.zeros(len(first), np.int64), s.extent.view(np.int64)[doubt]]),
+            np.concatenate([np.ones(len(first), bool), np.zeros(int(doubt.sum()), bool)]),
+        ]
+
+    found = kept(sampled(rows, length, k, emit, "row long, lo long, hi long, extent long, sure boolean"))
+    looked_up = found.where("not sure").join(again, "extent", "left_semi")
+    return found.where("sure").unionByName(looked_up.select(*found.columns)).select("row", "lo", "hi")
+
 
-    narrow = stored.select("row", "at", "back", "fore", "key", "extent")
-    return map_arrow(narrow, run, "row long, at int, back int, fore int, key long, extent long")
+def border_entries(
+    rows: DataFrame, extents: DataFrame, length: int, k: int, group: int
+) -> DataFrame:
+    """One entry of each extent whose key has several: ``key, target, many, row, at, back, fore``.
+
+    ``target``: the extent is single, so its windows have to be compared one by one.
+    """
+    several = kept(extents.groupBy("key").agg(F.count(F.lit(1)).alias("extents")).where("extents > 1"))
+    told = kept(
+        in_buckets(extents, several, "key")
+        .join(several, "key")
+        .select("extent", "key", "n", (F.col("extents") > group).alias("many"))
+    )
+    bits_set = bitmap(told, "extent", KEY_BITS)
+
+    def emit(s: Suffixes, row: np.ndarray) -> list[np.ndarray]:
+        use = in_bitmap(bits_set, s.extent, KEY_BITS)
+        return [x[use] for x in (s.extent, row, s.at, s.at - s.lo, s.at - s.hi)]
+
+    found = sampled(rows, length, k, emit, "extent long, row long, at long, back int, fore int")
+    one = found.join(told, "extent").groupBy("extent", "key", "n", "many")
+    one = one.agg(F.min(F.struct("row", "at", "back", "fore")).alias("e"))
+    return one.select("key", (F.col("n") == 1).alias("target"), "many", "e.*")
 
 
 def contexts(rows: DataFrame, border: DataFrame, length: int) -> DataFrame:
@@ -264,35 +310,22 @@ def repeated_windows(
     rows: DataFrame, length: int, k: int, batches: int, group: int
 ) -> DataFrame:
     """``row, lo, hi``: windows starting in ``[lo, hi]`` of the row's text are repeated somewhere."""
-    found = entries(rows, length, k).withColumn("batch", F.pmod("row", F.lit(batches)).cast("int"))
-    stored = kept(found, by="batch")
     index = SuffixIndex()
     for i in range(batches):
-        index.add(stored.where(F.col("batch") == i).select(F.explode("key").alias("key")))
-    bits_set = bitmap(index.repeated(), "key", KEY_BITS)
-
-    again = exploded(stored, bits_set)
-    extents = again.groupBy("key", "extent").agg(F.count(F.lit(1)).alias("n"))
-    per_key = extents.groupBy("key").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("extents"))
-    told = extents.join(per_key.where("total > 1"), "key").select("key", "extent", "n", "extents")
-    known = kept(again.join(told, ["key", "extent"]))
-
-    whole = known.where("n > 1").select(
-        "row", (F.col("at") - F.col("back")).cast("long").alias("lo"), (F.col("at") - F.col("fore")).cast("long").alias("hi")
-    )
-    open_ = known.where("extents > 1")
-    targets = open_.where("n = 1").select(
-        "key", F.lit(True).alias("target"), (F.col("extents") > group).alias("many"), "row", "at", "back", "fore"
-    )
-    partners = (
-        open_.where("n > 1")
-        .groupBy("key", "extent", (F.col("extents") > group).alias("many"))
-        .agg(F.min(F.struct("row", "at", "back", "fore")).alias("e"))
-        .select("key", F.lit(False).alias("target"), "many", "e.*")
-    )
-    border = kept(targets.unionByName(partners))
+        batch = rows.where(F.pmod("row", F.lit(batches)) == i)
+        index.add(sampled(batch, length, k, lambda s, row: [s.key], "key long"))
+    key_bits = bitmap(index.repeated(), "key", KEY_BITS)
+
+    def emit(s: Suffixes, row: np.ndarray) -> list[np.ndarray]:
+        use = in_bitmap(key_bits, s.key, KEY_BITS)
+        return [s.extent[use], s.key[use]]
+
+    # Equal extents have equal keys: what a text's bytes pick depends on them alone.
+    candidates = sampled(rows, length, k, emit, "extent long, key long")
+    extents = kept(candidates.groupBy("extent").agg(F.first("key").alias("key"), F.count(F.lit(1)).alias("n")))
+    border = kept(border_entries(rows, extents, length, k, group))
     near = kept(contexts(rows, border, length))
-    parts = [whole, compared(near.where("not many"), length)]
+    parts = [whole_extents(rows, extents, key_bits, length, k), compared(near.where("not many"), length)]
     many = near.where("many")
     if not many.isEmpty():
         parts.append(counted(many, length))
