@@ -190,9 +190,9 @@ def border_entries(
         return [x[use] for x in (s.extent, row, s.at, s.at - s.lo, s.at - s.hi)]
 
     found = sampled(rows, length, k, emit, "extent long, row long, at long, back int, fore int")
-    one = found.join(told, "extent").groupBy("extent", "key", "n", "many")
-    one = one.agg(F.min(F.struct("row", "at", "back", "fore")).alias("e"))
-    return one.select("key", (F.col("n") == 1).alias("target"), "many", "e.*")
+    # One entry of each extent, combined in each task before it is shuffled: a hot extent stays small.
+    one = found.groupBy("extent").agg(F.min(F.struct("row", "at", "back", "fore")).alias("e"))
+    return one.join(told, "extent").select("key", (F.col("n") == 1).alias("target"), "many", "e.*")
 
 
 def contexts(rows: DataFrame, border: DataFrame, length: int) -> DataFrame:
