@@ -35,7 +35,7 @@ U = np.uint64
 SPACE, LITERAL = 0x2581, 0x110000  # the sign that stands for a space; a literal one matches no piece
 UNIT = re.compile(" *[^ ]+| +")
 STEP = U(0x9E3779B97F4A7C15)
-TEXT_AT_ONCE = 2_500_000
+TEXT_AT_ONCE = 1_500_000
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -91,23 +91,27 @@ class Lattices:
         weights.append(long * model.byte_weight)
         depths.append(local[bare] + 1)
 
-        start, end, piece, weight, depth = map(np.concatenate, (starts, ends, ids, weights, depths))
-        order = np.lexsort((end, depth))
-        start, end, piece, weight, depth = start[order], end[order], piece[order], weight[order], depth[order]
+        small = np.int32  # nodes and pieces of one chunk
+        start, end, piece, depth = (np.concatenate(x).astype(small) for x in (starts, ends, ids, depths))
+        weight = np.concatenate(weights)
+        del starts, ends, ids, weights, depths
+        order = np.argsort(end, kind="stable")  # each piece length is in order already: a merge of runs
+        self.start, end, self.piece, weight, depth = (x[order] for x in (start, end, piece, weight, depth))
         total = np.full(len(code) + len(units), -np.inf)
         total[self.base] = 0.0
-        cuts = np.searchsorted(depth, np.arange(1, int(size.max(initial=0)) + 2))
+        deepest = int(size.max(initial=0))
+        order = np.argsort(depth.astype(np.int16) if deepest < 1 << 15 else depth, kind="stable")
+        cuts = np.searchsorted(depth[order], np.arange(1, deepest + 2))
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):  # forward: all units' nodes of one depth
-            e = end[a:b]
+            edges = order[a:b]
+            e = end[edges]
             group = np.flatnonzero(np.append(True, e[1:] != e[:-1]))
-            value = total[start[a:b]] + weight[a:b]
+            value = total[self.start[edges]] + weight[edges]
             top = np.maximum.reduceat(value, group)
             sums = np.add.reduceat(np.exp(value - np.repeat(top, np.diff(np.append(group, b - a)))), group)
             total[e[group]] = top + np.log(sums)
 
-        order = np.argsort(end, kind="stable")
-        self.start, end, self.piece = start[order], end[order], piece[order]
-        share = np.exp(total[self.start] + weight[order] - total[end])
+        share = np.exp(total[self.start] + weight - total[end])
         group = np.flatnonzero(np.append(True, end[1:] != end[:-1])) if len(end) else np.zeros(0, np.int64)
         sums = np.cumsum(share)
         before = np.repeat(sums[group] - share[group], np.diff(np.append(group, len(end))))
@@ -127,14 +131,14 @@ class Lattices:
             e = np.searchsorted(self.limit, node[open_] + u, side="right")
             # Rounding of node + u can only reach the next node's edges: stay with the last of one's own.
             e = np.minimum(e, self.last[node[open_]])
-            places.append(open_)
+            places.append(open_.astype(np.int32))
             found.append(self.piece[e])
-            steps.append(np.full(len(open_), step))
+            steps.append(np.full(len(open_), step, dtype=np.int32))
             count[open_] += 1
             node[open_] = self.start[e]
             open_ = open_[node[open_] > stop[open_]]
             step += 1
-        out = np.zeros(int(count.sum()), dtype=np.int64)
+        out = np.zeros(int(count.sum()), dtype=np.int32)
         if len(out):
             place, step_of = np.concatenate(places), np.concatenate(steps)
             out[np.cumsum(count)[place] - 1 - step_of] = np.concatenate(found)  # drawn from the end
