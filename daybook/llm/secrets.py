@@ -2,7 +2,10 @@
 
 Base spans come from three fixed patterns. The method adds a span for each
 token in a sensitive context that is not yet covered and that zstandard cannot
-predict: the compressor is primed with a dictionary of common identifiers, the
+predict. A token is in a sensitive context if it stands near a sensitive word
+(before, after or around it), if it belongs to a run (dot-separated parts,
+consecutive lines) that does, or if it is in a BEGIN ... KEY block, which stays
+open until its END line. The compressor is primed with a dictionary of common identifiers, the
 code around the token is compressed once without and once with the token, and
 the difference in bytes is the token's novelty. A random key costs nearly its
 entropy; a word, a repeated name or a path already seen nearby costs a few
@@ -16,7 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from functools import lru_cache
 
 import pyarrow as pa
@@ -40,6 +43,13 @@ SENSITIVE = re.compile(
     re.I | re.A,
 )
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{12,}={0,2}")  # whole runs only
+# What may stand between the lines of one key, and a last line that is shorter than a candidate.
+BETWEEN = re.compile(r"""[\s"'`,;#*>|+/\\]*+""")
+SHORT = re.compile(
+    r"""([\s"'`,;#*>|\\]*+(?:(?://|\+)\s[\s"'`\\]*+)?)([A-Za-z0-9+/_-]{1,11}={0,2})(?![A-Za-z0-9+/_=-])"""
+)
+MARK = re.compile(r"-{4,5}\x20?(BEGIN|END)\x20([A-Z0-9\x20]++)-{4,5}")
+BODY = re.compile(r"[A-Za-z0-9+/=]*|[A-Za-z0-9-]+:\x20.*")  # lines of a key block that lacks its END line
 IDENTIFIERS = (
     "def class return import from self None True False public private static final void string int float "
     "const function var let async await export default module require config settings environment variable "
@@ -68,43 +78,123 @@ def _compressor() -> zstandard.ZstdCompressor:
     )
 
 
+def compressed(text: str) -> int:
+    return len(_compressor().compress(text.encode()))
+
+
 def novelty(token: str, around: str) -> int:
     """Bytes that ``token`` adds to the compressed form of the code ``around`` it.
 
     The token follows a copy of its surroundings, so what it repeats from
     there or from the identifier dictionary costs only a back-reference.
     """
-    c = _compressor()
-    rest = around.encode()
-    return len(c.compress(rest + token.encode())) - len(c.compress(rest))
+    return compressed(around + token) - compressed(around)
+
+
+def key_blocks(text: str) -> list[tuple[int, int]]:
+    """What lies between the BEGIN and END lines of keys that are not public.
+
+    A block without an END line reaches as far as its lines look like a key's.
+    """
+    found, at = [], -1
+    marks = [(m.start(), m.end(), m[1] == "BEGIN" and "KEY" in m[2] and "PUBLIC" not in m[2], m[1]) for m in MARK.finditer(text)]
+    for start, end, opens, name in [*marks, (len(text), len(text), False, "")]:
+        if at >= 0:
+            stop = start
+            if name != "END":
+                stop = at
+                for line in text[at:start].splitlines(keepends=True):
+                    if not BODY.fullmatch(line.strip()):
+                        break
+                    stop += len(line)
+            if at < stop:
+                found.append((at, stop))
+        at = end if opens else -1
+    return found
+
+
+def broken(gap: str) -> bool:
+    """Whether ``gap`` holds a line break, also an escaped one."""
+    return "\n" in gap or "\\" in gap
+
+
+def runs(text: str, blocks: list[tuple[int, int]]) -> list[tuple[list[tuple[int, int]], int]]:
+    """Candidates, each with those that a dot, line breaks or a key block bind it to; and the end of that block or -1."""
+
+    def joined(start: int, end: int) -> bool:
+        gap = text[start:end]
+        return gap == "." or (broken(gap) and BETWEEN.fullmatch(gap) is not None)
+
+    found: list[tuple[list[tuple[int, int]], int]] = []
+    i = 0
+    for m in CANDIDATE.finditer(text):
+        start, end = m.span()
+        while i < len(blocks) and blocks[i][1] <= start:
+            i += 1
+        block = i if i < len(blocks) and blocks[i][0] < end else -1
+        if found and found[-1][1] == block and (block >= 0 or joined(found[-1][0][-1][1], start)):
+            found[-1][0].append((start, end))
+        else:
+            found.append(([(start, end)], block))
+    return [(tokens, blocks[block][1] if block >= 0 else -1) for tokens, block in found]
 
 
 def novel_spans(
     text: str, taken: list[tuple[int, int, str]], reach: int, around: int, least_bytes: int, least_ratio: float
 ) -> list[tuple[int, int, str]]:
-    """Tokens after a sensitive word (within ``reach`` code points) that do not compress."""
-    words = [m.end() for m in SENSITIVE.finditer(text)]
-    if not words:
+    """Tokens in a sensitive context (a word within ``reach`` code points, or a key block) that do not compress.
+
+    Novelty is measured against what surrounds a token's run, so the lines of one key do not vouch for each other.
+    """
+    words = [m.span() for m in SENSITIVE.finditer(text)]
+    blocks = key_blocks(text)
+    if not words and not blocks:
         return []
+    word_ends = [e for _, e in words]
+
+    def near_word(start: int, end: int, outside: bool = False) -> bool:
+        i = bisect_left(word_ends, start - reach)
+        if not outside:
+            return i < len(words) and words[i][0] <= end + reach
+        if i < len(words) and words[i][1] <= start:
+            return True
+        i = bisect_left(words, (end,))
+        return i < len(words) and words[i][0] <= end + reach
+
     found = []
     ends: list[int] = []  # running maximum of the taken spans' ends, by start
     for _, e, _ in taken:
         ends.append(max(e, ends[-1]) if ends else e)
     starts = [s for s, _, _ in taken]
-    for m in CANDIDATE.finditer(text):
-        i = bisect_right(words, m.start())
-        if not i or m.start() - words[i - 1] > reach:
-            continue
-        i = bisect_right(starts, m.end() - 1)
-        if i and ends[i - 1] > m.start():
-            continue
-        token = m.group()
-        if not (re.search(r"[0-9]", token) and re.search(r"[A-Za-z]", token)):
-            continue
-        near = text[max(0, m.start() - around) : m.start()] + " " + text[m.end() : m.end() + around]
-        cost = novelty(token, near)
-        if cost >= least_bytes and cost >= least_ratio * len(token):
-            found.append((m.start(), m.end(), "novel"))
+
+    def covered(start: int, end: int) -> bool:
+        i = bisect_right(starts, end - 1)
+        return bool(i) and ends[i - 1] > start
+
+    for tokens, block_end in runs(text, blocks):
+        first, last = tokens[0][0], tokens[-1][1]
+        # A word inside a run may be chance: it speaks for the tokens near it only.
+        whole = block_end >= 0 or near_word(first, last, outside=True)
+        near, alone = "", -1
+        for start, end in tokens:
+            if not (whole or near_word(start, end)):
+                continue
+            token = text[start:end]
+            hit = covered(start, end)
+            if not hit:
+                if not (re.search(r"[0-9]", token) and re.search(r"[A-Za-z]", token)):
+                    continue
+                if alone < 0:
+                    near = text[max(0, first - around) : first] + " " + text[last : last + around]
+                    alone = compressed(near)
+                cost = compressed(near + token) - alone
+                hit = cost >= least_bytes and cost >= least_ratio * len(token)
+                if hit:
+                    found.append((start, end, "novel"))
+            # The last line of a key may be shorter than a candidate.
+            m = SHORT.match(text, end) if hit else None
+            if m and broken(m[1]) and (m.end() <= block_end or m[2].endswith("=")) and not covered(*m.span(2)):
+                found.append((*m.span(2), "novel"))
     return found
 
 

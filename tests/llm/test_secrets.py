@@ -50,6 +50,52 @@ def test_novelty_reports_random_strings_only():
     assert secrets.secret_spans("authorization: placeholder_changeme_0123456789") == []
 
 
+def random_key(rng, size, alphabet=string.ascii_letters + string.digits + "+/"):
+    return "".join(rng.choice(alphabet) for _ in range(size))
+
+
+def masked(text):
+    return secrets.redacted(text, secrets.secret_spans(text))
+
+
+def test_every_line_of_a_key_block():
+    rng = random.Random(2)
+    for n in (1, 25, 200):
+        lines = [*(random_key(rng, 64) for _ in range(n)), "Qk9+/w=="]
+        for begin, join, end in (
+            ("-----BEGIN RSA PRIVATE KEY-----\n", "\n", "\n-----END RSA PRIVATE KEY-----\n"),
+            ("-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\n\n", "\n", "\n-----END RSA PRIVATE KEY-----\n"),
+            ("pem = '-----BEGIN PRIVATE KEY-----\\n", "\\n", "\\n-----END PRIVATE KEY-----'"),
+            ("    // -----BEGIN EC PRIVATE KEY-----\n    // ", "\n    // ", "\n    // -----END EC PRIVATE KEY-----\n"),
+            ('x = "-----BEGIN PRIVATE KEY-----" +\n  "', '" +\n  "', '"\n  "-----END PRIVATE KEY-----"'),
+            ("-----BEGIN RSA PRIVATE KEY-----\n", "\n", ""),  # the text ends too early
+            ("the private key:\n", "\n", "\n"),
+        ):
+            got = masked("a line\n" + begin + join.join(lines) + end + "\nthe colour of it is 7\n")
+            assert not any(x in got for x in lines), got
+            assert got.endswith(end[-12:] + "\nthe colour of it is 7\n")
+    public = "-----BEGIN PUBLIC KEY-----\n" + "\n".join(lines) + "\n-----END PUBLIC KEY-----\n"
+    assert masked(public) == public and secrets.key_blocks(public) == []
+
+
+def test_every_part_of_a_token_and_both_sides_of_a_word():
+    rng = random.Random(3)
+    for _ in range(40):
+        parts = [random_key(rng, n, string.ascii_letters + string.digits + "-_") + "7a" for n in (36, 120, 43)]
+        assert masked(f"curl -H 'Authorization: Bearer {'.'.join(parts)}' x") == "curl -H 'Authorization: Bearer [SECRET].[SECRET].[SECRET]' x"
+        assert masked(f"connect({parts[0]})  # api key\n") == "connect([SECRET])  # api key\n"
+        lines = "\n".join(parts)
+        assert masked(f"{lines}\n# the secret\n") == "[SECRET]\n[SECRET]\n[SECRET]\n# the secret\n"
+        # A sensitive word by chance inside a long public run speaks for the tokens near it only.
+        a, b, c, d, e = (random_key(rng, 60, "0123456789bcfghjklmnqrvxyz") + "7b" for _ in range(5))
+        assert masked(f"image\n{a}\n{b}pwd{c[:40]}\n{d}\n{e}\n").endswith(f"\n{e}\n")
+
+
+def test_long_texts_take_linear_time():
+    for t in ("-----BEGIN KEY" * 20_000, "-----BEGIN A KEY-----\n" * 20_000, "secret" + "\n" * 300_000 + "x", "-" * 300_000, "secret\\n" * 50_000):
+        secrets.secret_spans(t)
+
+
 def test_redaction_keeps_everything_else(spark):
     rows = [(1, "a token=abcdefgh12 b", "x", 20), (2, "clean é", "y", 7), (3, None, None, None), (4, "", "z", 0)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
