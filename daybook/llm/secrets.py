@@ -5,7 +5,9 @@ token in a sensitive context that is not yet covered and that zstandard cannot
 predict. A token is in a sensitive context if it stands near a sensitive word
 (before, after or around it), if it belongs to a run (dot-separated parts,
 consecutive lines) that does, or if it is in a BEGIN ... KEY block, which stays
-open until its END line. The compressor is primed with a dictionary of common identifiers, the
+open until its END line. Tokens have at least 12 characters (a shorter last line
+of a key goes with the line before it); which of them are reported is decided by
+the compressed bytes alone, with or without digits. The compressor is primed with a dictionary of common identifiers, the
 code around the token is compressed once without and once with the token, and
 the difference in bytes is the token's novelty. A random key costs nearly its
 entropy; a word, a repeated name or a path already seen nearby costs a few
@@ -58,6 +60,31 @@ IDENTIFIERS = (
     "application/json http https localhost example test sample placeholder changeme your_token_here "
     "abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 0123456789 xxxxxxxxxxxxxxxx 0000000000000000 "
 )
+# Parts of long words and names: what is put together from them is no news either.
+PARTS = (
+    "ation ational ization ific fication ication ement ments ability ibility ously ingly ness less ance ence ental ential "
+    "ating ified ition inter national under over super multi trans repres present respons require process program perform "
+    "property parameter configur document develop environ implement initial instance register relation resource structure "
+    "subscri descript distribut construct connect control compon comput complete compat commun combin collect character "
+    "certific authent author attribut associat assign argument applicat another alternat access abstract valid unknown "
+    "undefin unexpect transfer timeout template synchron support success string standard specif special source socket "
+    "single signat separat select section schedule restrict request report remov refer recogn receiv random provid protocol "
+    "prefix prepar pattern password option operat object number normal message method maximum minimum manage locat length "
+    "languag iterat internal interfac integr inform include ignore identif handler general generat function format filename "
+    "extens express except exist execut establish error encrypt encod element dynamic download director different dictionar "
+    "detect destinat depend default decrypt decod databas current creat content contain condition command client check "
+    "change callback buffer build available automat archive "
+    "Get Set Is Has Test Token Key Type Name Value Error Exception Handler Auth Access Secret Service Server Client Request "
+    "Response User Data File Code Manager Factory Provider Config Controller Builder Parser Session Message Default "
+    "TEST TOKEN KEY TYPE NAME VALUE ERROR EXCEPTION DEFAULT GLOBAL TIMEOUT MAX MIN LENGTH SIZE ALL ACCESS AUTH PASSWORD "
+    "SECRET UNKNOWN FORMAT MESSAGE METHOD NAMES COUNT DUMP "
+    "authentication authorization authenticated unauthorized representation configuration implementation documentation "
+    "application administrator communication verification certificate specification notification registration "
+    "subscription organization international infrastructure permissions credentials requirements relationship "
+    "distribution installation initialization serialization development environments alternatively automatically "
+    "successfully particularly unfortunately responsibility corresponding understanding characteristics "
+    "parameters transactions cryptography cryptographic "
+)
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -72,7 +99,7 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 @lru_cache(maxsize=1)
 def _compressor() -> zstandard.ZstdCompressor:
-    words = zstandard.ZstdCompressionDict(IDENTIFIERS.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    words = zstandard.ZstdCompressionDict((PARTS + IDENTIFIERS).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     return zstandard.ZstdCompressor(
         level=19, dict_data=words, write_checksum=False, write_content_size=False, write_dict_id=False
     )
@@ -182,8 +209,6 @@ def novel_spans(
             token = text[start:end]
             hit = covered(start, end)
             if not hit:
-                if not (re.search(r"[0-9]", token) and re.search(r"[A-Za-z]", token)):
-                    continue
                 if alone < 0:
                     near = text[max(0, first - around) : first] + " " + text[last : last + around]
                     alone = compressed(near)

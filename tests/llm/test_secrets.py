@@ -91,6 +91,19 @@ def test_every_part_of_a_token_and_both_sides_of_a_word():
         assert masked(f"image\n{a}\n{b}pwd{c[:40]}\n{d}\n{e}\n").endswith(f"\n{e}\n")
 
 
+def test_bytes_decide_with_or_without_digits():
+    rng = random.Random(4)
+    for alphabet, size in ((string.ascii_letters, 32), (string.digits, 16), (string.digits + "+/", 24)):
+        found = 0
+        for _ in range(100):
+            key = random_key(rng, size, alphabet)
+            found += masked(f"the bearer credential is\n{key}\nand more of it\n") == "the bearer credential is\n[SECRET]\nand more of it\n"
+        assert found >= 95
+    for word in ("authentication", "representation", "configuration_parameters", "international", "------------------", "000000000000000000"):
+        text = f"the bearer credential is\n{word}\nand more of it\n"
+        assert masked(text) == text
+
+
 def test_long_texts_take_linear_time():
     for t in ("-----BEGIN KEY" * 20_000, "-----BEGIN A KEY-----\n" * 20_000, "secret" + "\n" * 300_000 + "x", "-" * 300_000, "secret\\n" * 50_000):
         secrets.secret_spans(t)
