@@ -15,7 +15,7 @@ from daybook.session import ensure_checkpoint_dir
 
 PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 BUCKET_BITS = 20  # of in_buckets: at most 1M numbers (8 MB) are broadcast
-TEXT_PER_CHUNK = 8_000_000  # code points handled at once in a task: bounds a worker's memory
+TEXT_PER_CHUNK = 8_000_000  # bytes of text handled at once in a task: bounds a worker's memory
 
 
 def col(name: str) -> Column:
@@ -75,21 +75,29 @@ def arrow_schema(fields: str) -> pa.Schema:
     return pa.schema([(name, kinds[kind.strip()]) for name, kind in pairs])
 
 
-def chunks(batches: Iterable[pa.RecordBatch], text: int = 1, most: int = TEXT_PER_CHUNK) -> Iterator[list[list]]:
-    """The batches' rows as lists of columns, cut so that a chunk's texts stay near ``most`` code points.
+def slices(
+    batches: Iterable[pa.RecordBatch], text: int, most: int = TEXT_PER_CHUNK, length: Callable = pc.binary_length
+) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that the bytes of a slice's texts (column ``text``) stay near ``most``.
 
-    A single longer text is a chunk of its own: texts are never cut.
+    A single longer text is a slice of its own: texts are never cut.
     """
     for batch in batches:
         n, start, size = batch.num_rows, 0, 0
-        lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()
+        lengths = pc.fill_null(length(batch.column(text)), 0).to_pylist()
         for i in range(n):
             if size and size + lengths[i] > most:
-                yield [c.to_pylist() for c in batch.slice(start, i - start).columns]
+                yield batch.slice(start, i - start)
                 start, size = i, 0
             size += lengths[i]
         if n > start:
-            yield [c.to_pylist() for c in batch.slice(start).columns]
+            yield batch.slice(start)
+
+
+def chunks(batches: Iterable[pa.RecordBatch], text: int = 1, most: int = TEXT_PER_CHUNK) -> Iterator[list[list]]:
+    """The rows of the batches' ``slices`` as lists of columns."""
+    for part in slices(batches, text, most):
+        yield [c.to_pylist() for c in part.columns]
 
 
 def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import ann, chat, leaks, minhash, pieces, pii, secrets, suffixes, tokencount, toxicity
+from daybook.llm import (
+    ann,
+    bpe,
+    chat,
+    fim,
+    leaks,
+    minhash,
+    pieces,
+    pii,
+    secrets,
+    suffixes,
+    tokencount,
+    tournament,
+    toxicity,
+)
 from daybook.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +87,18 @@ def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.digests(suffixes.without_repeats(table(spark, sf_dir, "documents")))
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tournament.cluster(table(spark, sf_dir, "embeddings")).drop("centroid")
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(fim.transform(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_minhash": op1_minhash,
     "op2_sentencepiece": op2_sentencepiece,
@@ -84,6 +110,9 @@ QUERIES: dict[str, Query] = {
     "op8_token_counts": op8_token_counts,
     "op9_neighbours": op9_neighbours,
     "op10_suffixes": op10_suffixes,
+    "op11_bpe": op11_bpe,
+    "op12_centroids": op12_centroids,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 _ALL_TURNS = r"""
@@ -92,7 +121,77 @@ _ALL_TURNS = r"""
     UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
 """
 
+
+def _clusters_sql(k: int = 40, rounds: int = 5) -> str:
+    """The rounds of exact integer k-means written out, two tables a round."""
+    near = """d{r} AS (
+    SELECT rid, num, list_sum(list_transform(range(1, 65), lambda i: (v[i] - c[i]) * (v[i] - c[i]))) AS d
+    FROM p, c{r}
+),
+a{r} AS (
+    SELECT rid, num, d FROM (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY d, num) AS place FROM d{r}) WHERE place = 1
+)"""
+    move = """s{r} AS (
+    SELECT num, i, sum(v[i])::HUGEINT AS s, count(*) AS n
+    FROM a{r} JOIN p USING (rid), range(1, 65) t(i) GROUP BY num, i
+),
+c{n} AS (
+    SELECT num, coalesce(m, c) AS c FROM c{r} LEFT JOIN (
+        SELECT num, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS m FROM s{r} GROUP BY num
+    ) USING (num)
+)"""
+    steps = [x for r in range(rounds) for x in (near.format(r=r), move.format(r=r, n=r + 1))]
+    between = ",\n"
+    return f"""
+WITH p AS (
+    SELECT row_number() OVER () AS rid, vec_id,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+c0 AS (
+    SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id) NULLS LAST, v) - 1 AS num, v AS c
+    FROM p QUALIFY num < {k}
+),
+{between.join(steps)},
+{near.format(r=rounds)}
+SELECT vec_id, num::INTEGER AS cluster, d::BIGINT AS distance,
+    (sum(d) OVER (PARTITION BY num))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia,
+    sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} JOIN p USING (rid) JOIN c{rounds} USING (num)
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op12_centroids": _clusters_sql(),
+    "op13_fill_in_middle": r"""
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
+        sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+    FROM documents
+),
+drawn AS (
+    SELECT doc_id, t, n,
+        CAST('0x' || h[1:8] AS BIGINT) % (n + 1) AS x, CAST('0x' || h[9:16] AS BIGINT) % (n + 1) AS y,
+        CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 90 THEN 'plain'
+            WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM d
+),
+parts AS (
+    SELECT *, least(x, y) AS a, greatest(x, y) AS b,
+        substring(t, 1, least(x, y)) AS p, substring(t, least(x, y) + 1, greatest(x, y) - least(x, y)) AS m,
+        substring(t, greatest(x, y) + 1) AS s
+    FROM drawn
+)
+SELECT doc_id, n, form,
+    CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+    sha256(t) AS restored_sha256
+FROM parts
+""",
     "op7_decontamination": r"""
 WITH d AS (
     SELECT DISTINCT doc_id, [x for x in regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+') if x <> ''] AS w FROM documents

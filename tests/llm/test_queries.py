@@ -13,7 +13,7 @@ NAMES = sorted(queries.QUERIES)
 
 
 def test_one_query_for_each_operator():
-    assert [n.split("_")[0] for n in sorted(NAMES, key=lambda n: int(n[2:].split("_")[0]))] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in sorted(NAMES, key=lambda n: int(n[2:].split("_")[0]))] == [f"op{i}" for i in range(1, 14)]
     assert set(NAMES) | {"pipeline"} <= set(__spark_entry__.queries())
     assert "pipeline" not in __spark_entry__.oracle_sql()
 
@@ -35,7 +35,7 @@ def test_empty_tables(spark, empty_dir, name):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_equal_to_sql(spark, sf0001, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "conversations"):
+    for t in ("documents", "benchmark", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf0001}/{t}.parquet')")
     df = queries.QUERIES[name](spark, sf0001)
     found = con.execute(queries.ORACLE_SQL[name])
