@@ -6,7 +6,7 @@ whole-stage codegen and Catalyst can fold, prune and push it down.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -114,3 +114,18 @@ def hour_utc(epoch: str | Column) -> Column:
 def hour_of_day(df: DataFrame, column: str) -> Column:
     """UTC hour of day for an epoch-seconds or timestamp column."""
     return hour_utc(epoch_seconds(df, column))
+
+
+def date_bounds(spark: SparkSession, year: int, months: tuple[int, int] | None = None) -> tuple[int, int]:
+    """A period as microseconds since the epoch, ``[low, high)``, wide enough for both kinds of timestamps.
+
+    A TIMESTAMP_NTZ is stored as its clock time, a TIMESTAMP as an instant
+    that the session's time zone shows: the earlier start and the later end.
+    """
+    first, last = months or (1, 12)
+    start = f"{year:04d}-{first:02d}-01"
+    end = f"{year + 1:04d}-01-01" if last == 12 else f"{year:04d}-{last + 1:02d}-01"
+    clock = [F.unix_date(F.lit(d).cast("date")).cast("bigint") * F.lit(SECONDS_PER_DAY * 1_000_000) for d in (start, end)]
+    instant = [F.unix_micros(F.lit(f"{d} 00:00:00").cast("timestamp")) for d in (start, end)]
+    row = spark.range(1).select(F.least(clock[0], instant[0]).alias("low"), F.greatest(clock[1], instant[1]).alias("high")).first()
+    return row.low, row.high

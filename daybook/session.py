@@ -9,6 +9,7 @@ are passed in ``conf`` like any other setting.
 from __future__ import annotations
 
 import math
+import os
 import tempfile
 from collections.abc import Mapping
 
@@ -33,6 +34,8 @@ DEFAULTS: dict[str, str] = {
 }
 
 
+PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
 MB = 1024 * 1024
 GB = 1024 * MB
 
@@ -109,3 +112,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="daybook-ckpt-")
     sc.setCheckpointDir(configured)
     return configured
+
+
+def importable(spark: SparkSession) -> None:
+    """Let Python tasks import this package where the driver found it through its own ``sys.path`` (local sessions).
+
+    On a cluster it is installed or shipped with ``--py-files``; the extra entry is harmless there.
+    """
+    env = spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", "").split(os.pathsep)
+    if PACKAGE_ROOT not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*filter(None, paths), PACKAGE_ROOT])

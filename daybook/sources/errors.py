@@ -27,6 +27,9 @@ def classify_error(exc: BaseException) -> str:
         except Exception:  # noqa: BLE001 - older error objects
             condition = None
     text = str(exc)
+    told = text.split(":", 1)[0]
+    if told in (NOT_FOUND, ACCESS_DENIED, ANALYSIS_ERROR, UNEXPECTED):  # a task's report
+        return told
     if condition == "PATH_NOT_FOUND" or "Path does not exist" in text:
         return NOT_FOUND
     if "NoSuchBucket" in text:
@@ -36,3 +39,15 @@ def classify_error(exc: BaseException) -> str:
     if isinstance(exc, AnalysisException):
         return ANALYSIS_ERROR
     return UNEXPECTED
+
+
+def label_of(report: str | None) -> str:
+    """The label of a failure that a task reported as ``Type: message``."""
+    kind = (report or "").split(":", 1)[0]
+    if kind == "FileNotFoundError":
+        return NOT_FOUND
+    if "is a directory" in (report or "").lower() or "Not a regular file" in (report or ""):
+        return ANALYSIS_ERROR  # a directory without a data file
+    if kind == "PermissionError" or "ACCESS_DENIED" in (report or ""):
+        return ACCESS_DENIED
+    return UNEXPECTED

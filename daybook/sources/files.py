@@ -6,7 +6,7 @@ the executors when an action runs, with column pruning and pushed filters.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
@@ -16,7 +16,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.sources.errors import classify_error
+from daybook.sources.errors import OK, classify_error, label_of
+from daybook.sources.footers import READ, opens, read_footers
+from daybook.sources.tree import list_tree
 
 # Parquet read options Spark understands (data source and file-source options).
 PARQUET_OPTIONS = frozenset(
@@ -40,6 +42,9 @@ LISTING_OPTIONS = frozenset({"pathGlobFilter", "recursiveFileLookup", "modifiedB
 # Footer (schema) reads run this many at a time on the driver.
 SCHEMA_READERS = 16
 
+# Up to so many paths and files a Spark job for their footers costs more than it saves.
+FEW_FILES = 32
+
 # The input column names of the trip and comment tables and the
 # monthly trip file layout. Types follow from how each column is used.
 TRIP_SCHEMA = T.StructType(
@@ -127,6 +132,7 @@ def read_months(
     paths: Sequence[str],
     schema: T.StructType | None = None,
     tolerant: bool = True,
+    few: int = FEW_FILES,
     **options: object,
 ) -> Loaded:
     """Read many monthly Parquet paths as one table, safely.
@@ -140,8 +146,10 @@ def read_months(
       (when given) and combined with ``unionByName(allowMissingColumns=True)``.
       So an INT/BIGINT drift or an extra column in one file does not fail the
       job at run time. Scans stay one per distinct schema, not one per file.
-      Footers are read ``SCHEMA_READERS`` at a time, so many months on an
-      object store do not queue their round trips one after another.
+    * beyond ``few`` paths or files, executors list the paths and read the
+      footers (``footers``, ``tree``); the driver reads one schema per distinct
+      footer. Up to ``few``, and for schemes that tasks do not open, the driver
+      reads them, ``SCHEMA_READERS`` at a time. The result is the same.
     * declared columns that a file lacks are NULL there and listed in
       ``filled``; one that no file has raises ``ValueError``.
     """
@@ -156,7 +164,7 @@ def read_months(
     def files_of(path: str) -> list[tuple[str, str | None]]:
         """A path's files, each with the root that its partition columns count from."""
         files = spark.read.format("binaryFile").options(**{k: v for k, v in opts.items() if k in LISTING_OPTIONS})
-        inputs = sorted(files.load(path).inputFiles())
+        inputs = sorted(unquote(f) for f in files.load(path).inputFiles())  # URIs; paths are given unescaped
         if not inputs:  # an empty directory: let the Parquet reader say so
             return [(path, None)]
         return [(f, None if is_file(path, f) else path) for f in inputs if is_data(f)] or [(path, None)]
@@ -165,56 +173,116 @@ def read_months(
         reader = spark.read.options(**opts)
         return (reader.option("basePath", root) if root and not is_glob(root) else reader).parquet(file).schema
 
-    # Listings and footer reads are round trips to storage: a few at a time, results in path order.
+    chosen = {o.lower() for o in LISTING_OPTIONS} & {o.lower() for o in opts}
+    by_tasks = not chosen and all(opens(p) for p in paths)
     with ThreadPoolExecutor(max_workers=SCHEMA_READERS) as pool:
-        listed = list(pool.map(lambda p: attempt(lambda: files_of(p)), paths))
-        found = [
-            (p, files)
-            if isinstance(files, Exception)
-            else (p, [(f, root, pool.submit(attempt, lambda f=f, root=root: footer_schema(f, root))) for f, root in files])
-            for p, files in zip(paths, listed)
-        ]
+        if by_tasks and len(paths) > few and not any(map(is_glob, paths)):
+            listed = _listed_by_tasks(spark, paths)
+        else:
+            # Listings are round trips to storage: a few at a time, results in path order.
+            listed = list(pool.map(lambda p: attempt(lambda: files_of(p)), paths))
+        every = [f for files in listed if not isinstance(files, Exception) for f, _ in files]
+        if by_tasks and len(every) > few:
+            schema_of = _schemas_by_tasks(spark, every, lambda f: attempt(lambda: footer_schema(f, None)))
+            told = {f: schema_of(f) for f in every}
+        else:
+            pairs = [x for files in listed if not isinstance(files, Exception) for x in files]
+            told = dict(zip([f for f, _ in pairs], pool.map(lambda x: attempt(lambda: footer_schema(*x)), pairs)))
 
     groups: dict[tuple[str, str | None], list[str]] = {}
     skipped: list[tuple[str, str]] = []
     filled: list[tuple[str, str]] = []
     read: list[str] = []
-    for p, files in found:
+    n_files = 0
+    for p, files in zip(paths, listed):
         if isinstance(files, Exception):
             if not tolerant:
                 raise files
             skipped.append((p, classify_error(files)))
             continue
-        good = 0
-        for f, root, told in files:
-            footer = told.result()
+        good: dict[tuple[str, str | None], list[str]] = {}
+        for f, root in files:
+            footer = told[f]
             if isinstance(footer, Exception):
                 if not tolerant:
                     raise footer
                 skipped.append((p if len(files) == 1 else f, classify_error(footer)))
                 continue
-            good += 1
-            groups.setdefault((footer.json(), root), []).append(f)
+            n_files += 1
+            good.setdefault((footer.json(), root), []).append(f)
             if schema is not None:
-                lacking = sorted({c.name for c in schema.fields} - set(footer.fieldNames()))
+                lacking = sorted({c.name for c in schema.fields} - set(footer.fieldNames()) - partition_names(f, root))
                 filled += [(p if len(files) == 1 else f, c) for c in lacking]
         if good:
             read.append(p)
+        for key, fs in good.items():
+            # A directory of one schema without a bad file is read as one path: Spark lists it in one step.
+            whole = len(fs) == len(files) and key[1] is not None and not is_glob(p)
+            groups.setdefault(key, []).extend([p] if whole else fs)
     if not groups:
         raise FileNotFoundError(f"none of {len(paths)} paths could be read: {skipped}")
     if schema is not None:
-        n_files = sum(map(len, groups.values()))
         nowhere = [c for c in schema.fieldNames() if sum(c == name for _, name in filled) == n_files]
         if nowhere:
             raise ValueError(f"no file has the declared column(s) {', '.join(nowhere)}")
 
+    return Loaded(combined(spark, groups, schema, opts), read, skipped, filled)
+
+
+def combined(
+    spark: SparkSession,
+    groups: Mapping[tuple[str, str | None], Sequence[str]],
+    schema: T.StructType | None,
+    options: Mapping[str, str],
+) -> DataFrame:
+    """One scan per group (kind of schema, root of the partition columns), cast to ``schema`` and put together by name."""
     parts = []
     for (_, root), files in groups.items():
-        reader = spark.read.options(**opts)
+        reader = spark.read.options(**options)
         part = (reader.option("basePath", root) if root and not is_glob(root) else reader).parquet(*files)
         parts.append(conform(part, schema) if schema is not None else part)
-    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return Loaded(df, read, skipped, filled)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+class Unreadable(Exception):
+    """What a task reported of a path: the label leads the message."""
+
+
+def _listed_by_tasks(spark: SparkSession, paths: Sequence[str]) -> list:
+    """Per path its files with their root, or the failure, listed by executors."""
+    found: dict[str, list] = {}
+    for r in list_tree(spark, paths).orderBy("path").toLocalIterator():
+        failed = r.status != OK
+        found.setdefault(r.root, []).append(Unreadable(f"{r.status}: {r.error}") if failed else (r.path, r.root))
+    listed = []
+    for p in paths:
+        entries = found.get(p, [(p, None)])  # an empty directory: let the Parquet reader say so
+        bad = [e for e in entries if isinstance(e, Unreadable)]
+        own = entries == [(p, p)]
+        listed.append(bad[0] if bad else [(p, None)] if own else entries)
+    return listed
+
+
+def _schemas_by_tasks(spark: SparkSession, files: list[str], schema_of: Callable) -> Callable:
+    """File -> its schema or failure; footers are read by executors, one file of each kind by the driver."""
+    rows = {r.path: r for r in read_footers(spark, files).select("path", "status", "error", "signature").collect()}
+    first: dict[str, str] = {}
+    for f in files:
+        if rows[f].status == READ:
+            first.setdefault(rows[f].signature, f)
+    schemas = {s: schema_of(f) for s, f in first.items()}
+
+    def told(file: str):
+        r = rows[file]
+        return schemas[r.signature] if r.status == READ else Unreadable(f"{label_of(r.error)}: {r.error}")
+
+    return told
+
+
+def partition_names(file: str, root: str | None) -> set[str]:
+    """Names of the partition directories between a root and a file."""
+    inside = file.split("/" + root.split(":", 1)[-1].strip("/") + "/", 1)[-1] if root else ""
+    return {part.split("=", 1)[0] for part in inside.split("/")[:-1] if "=" in part}
 
 
 def is_glob(path: str) -> bool:
@@ -222,8 +290,8 @@ def is_glob(path: str) -> bool:
 
 
 def is_file(path: str, file: str) -> bool:
-    """Whether a listed file is the asked path itself (listings carry a scheme and escape characters)."""
-    return unquote(file).rstrip("/").endswith(path.rstrip("/").split(":", 1)[-1].lstrip("/"))
+    """Whether a listed file is the asked path itself (listings carry a scheme)."""
+    return file.rstrip("/").endswith(path.rstrip("/").split(":", 1)[-1].lstrip("/"))
 
 
 def is_data(file: str) -> bool:
