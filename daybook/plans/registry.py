@@ -15,6 +15,7 @@ Every query reads whole tables. Column names equal the SQL aliases.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,9 +38,17 @@ from daybook.operators.daily import (
     month_counts,
     newest_days,
 )
+from daybook.operators.distinct import distinct_estimates, distinct_states, exact_distinct, merged_distinct, relative_error
 from daybook.operators.percentile import exact_percentile
+from daybook.operators.states import MonthStates, rank_error, sketched_quantiles, sketched_summary
+from daybook.session import ensure_checkpoint_dir
+from daybook.sinks.csv import write_csv, write_small_csv
+from daybook.sinks.ordered import positions, write_sorted_csv
 from daybook.sinks.report import daily_report, overview_report, sample_rows
-from daybook.sources.files import read_months, read_parquet
+from daybook.sources.copies import copy_new, read_copy
+from daybook.sources.files import read_months, read_parquet, read_partitioned, stage
+from daybook.sources.index import index_files, read_period
+from daybook.sources.tree import list_tree, tree_sizes
 
 KEPT_YEAR = 1995
 FIRST_MONTHS = (1, 6)
@@ -218,6 +227,133 @@ def q_even_double(spark: SparkSession, sf_dir: str) -> DataFrame:
     return even_double(table(spark, sf_dir, "orders"), "o_orderkey", "id2")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def monthly_trips(spark: SparkSession, sf_dir: str) -> str:
+    """All trips as a tree ``yyyy=/mm=`` with one file per month, as trip data comes; returns its root."""
+    root = scratch(spark, "trips")
+    li = table(spark, sf_dir, "lineitem")
+    # Two-digit directory names, as text.
+    parts = {"yyyy": F.date_format("l_shipdate", "yyyy"), "mm": F.date_format("l_shipdate", "MM")}
+    li.withColumns(parts).repartition(8, "yyyy", "mm").write.partitionBy("yyyy", "mm").parquet(root)
+    return root
+
+
+def daily_comments(spark: SparkSession, sf_dir: str) -> str:
+    """All comments as a tree ``mm=/dd=``; returns its root."""
+    root = scratch(spark, "comments")
+    parts = {"mm": F.date_format("ts", "MM"), "dd": F.date_format("ts", "dd")}
+    comments(spark, sf_dir).withColumns(parts).repartition(8, "mm", "dd").write.partitionBy("mm", "dd").parquet(root)
+    return root
+
+
+def q_daily_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Mergeable states per (day, salt), then per day; a day of at most k fares is exact.
+    return sketched_summary(table(spark, sf_dir, "lineitem"), LINEITEM_TRIPS, year=KEPT_YEAR, mean_digits=MEAN_DIGITS)
+
+
+def q_sketched_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Big groups: does each quantile's true rank lie within the documented error?
+    li = table(spark, sf_dir, "lineitem")
+    k, wanted = 200, [0.05, 0.5, 0.95]
+    told = sketched_quantiles(li, ["l_returnflag"], "l_extendedprice", wanted, k=k)
+    v = F.col("l_extendedprice").cast("double")
+    counted = li.join(F.broadcast(told), "l_returnflag").groupBy("l_returnflag", "n")
+    checks = []
+    for i, q in enumerate(wanted):
+        at = F.col("quantiles")[i]
+        low, high = F.count(F.when(v < at, 1)), F.count(F.when(v <= at, 1))
+        checks.append((low / F.col("n") <= q + rank_error(k)) & (high / F.col("n") >= q - rank_error(k)))
+    return counted.agg((checks[0] & checks[1] & checks[2]).alias("within"))
+
+
+def q_stored_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Eleven months stored, then twelve: the second run reads one, and its summary is the whole year's.
+    root = monthly_trips(spark, sf_dir)
+    months = {f"{KEPT_YEAR}-{m:02d}": [f"{root}/yyyy={KEPT_YEAR}/mm={m:02d}"] for m in range(1, 13)}
+    store = MonthStates(spark, scratch(spark, "months"), LINEITEM_TRIPS)
+    store.refresh({m: p for m, p in months.items() if not m.endswith("-12")})
+    second = store.refresh(months)
+    return store.summary(mean_digits=MEAN_DIGITS).withColumn("months_read", F.lit(len(second.read)))
+
+
+def q_indexed_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Monthly files chosen by the bounds in their footers before the scan is planned.
+    index = index_files(spark, [monthly_trips(spark, sf_dir)], "l_shipdate")
+    period = read_period(spark, index, "l_shipdate", KEPT_YEAR, FIRST_MONTHS)
+    months = month_counts(period.df, "l_shipdate", KEPT_YEAR, FIRST_MONTHS)
+    return months.withColumns({"files_read": F.lit(period.files_read), "files_total": F.lit(period.files_total)})
+
+
+def q_tree_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sizes = tree_sizes(list_tree(spark, [monthly_trips(spark, sf_dir)]))
+    return sizes.select(F.regexp_extract("directory", "(yyyy=[0-9]+/mm=[0-9]+)$", 1).alias("part"), "n_files")
+
+
+def q_distinct_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The dataset statistics, exactly, in three hash ranges and without Expand.
+    return exact_distinct(comments(spark, sf_dir), {"unique_comments": "event_id", "unique_users": "user_id"}, passes=3)
+
+
+def q_distinct_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Sketches per type and day merged per type: within five standard errors of the exact count?
+    ev = comments(spark, sf_dir).withColumn("dd", F.dayofmonth("ts"))
+    daily = distinct_states(ev, {"users": "user_id"}, keys=["event_type", "dd"])
+    told = distinct_estimates(merged_distinct(daily, ["users"], ["event_type"]), ["users"])
+    exact = ev.groupBy("event_type").agg(F.count_distinct("user_id").alias("n_users"))
+    apart = F.abs(F.col("users") - F.col("n_users"))
+    return exact.join(told, "event_type").select(
+        "event_type", "n_users", (apart <= 5 * relative_error() * F.col("n_users")).alias("within")
+    )
+
+
+def q_copied_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # A copy of the comments' tree, and a second run that finds nothing new.
+    src, dst = daily_comments(spark, sf_dir), scratch(spark, "copy")
+    copy_new(spark, src, dst, ("mm", "dd"))
+    again = copy_new(spark, src, dst, ("mm", "dd"))
+    counts = read_copy(spark, dst).groupBy("mm", "dd").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
+    return counts.withColumn("copied_again", F.lit(again.files))
+
+
+def q_staged_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The days of a month staged twice: a rerun rewrites its partitions and doubles nothing.
+    src, dst = daily_comments(spark, sf_dir), scratch(spark, "staged")
+    for m in [r.mm for r in spark.read.parquet(src).select("mm").distinct().collect()]:  # at most twelve
+        for _ in range(2):
+            stage(spark, src, dst, {"mm": m}, ("mm", "dd"))
+    return spark.read.parquet(dst).groupBy("mm", "dd").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_partitioned_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The partition columns are filters on directories; they stay columns.
+    one = read_partitioned(spark, daily_comments(spark, sf_dir), {"mm": 1, "dd": 5})
+    return one.select("event_id", "user_id", "event_type", "created_utc", "mm", "dd")
+
+
+def q_one_file_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hours = hourly_counts(comments(spark, sf_dir), "created_utc")
+    path = write_small_csv(hours, scratch(spark, "hours"), ["hour"], max_rows=25)
+    return spark.read.option("header", True).schema("hour int, n bigint").csv(path)
+
+
+def q_distributed_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    users = comments(spark, sf_dir).select("event_id", "user_id", "event_type", "created_utc")
+    path = write_csv(users, scratch(spark, "events"))
+    return spark.read.option("header", True).schema(users.schema).csv(path)
+
+
+def q_sorted_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # All comments newest first over several files, with the place that each row has in them.
+    rows = comments(spark, sf_dir).select("event_id", "user_id", "created_utc")
+    path = scratch(spark, "sorted")
+    write_sorted_csv(rows, path, [F.col("created_utc").desc(), F.col("event_id").desc()], rows_per_file=1500)
+    return positions(spark.read.option("header", True).schema(rows.schema).csv(path))
+
+
 QUERIES: dict[str, Query] = {
     "daily_summary": q_daily_summary,
     "daily_summary_exact": q_daily_summary_exact,
@@ -246,6 +382,19 @@ QUERIES: dict[str, Query] = {
     "peak_hour": q_peak_hour,
     "sql_count": q_sql_count,
     "even_double": q_even_double,
+    "daily_sketched": q_daily_sketched,
+    "sketched_ranks": q_sketched_ranks,
+    "stored_months": q_stored_months,
+    "indexed_period": q_indexed_period,
+    "tree_listing": q_tree_listing,
+    "distinct_passes": q_distinct_passes,
+    "distinct_merged": q_distinct_merged,
+    "copied_tree": q_copied_tree,
+    "staged_partitions": q_staged_partitions,
+    "partitioned_read": q_partitioned_read,
+    "one_file_csv": q_one_file_csv,
+    "distributed_csv": q_distributed_csv,
+    "sorted_csv": q_sorted_csv,
 }
 
 
@@ -360,6 +509,31 @@ FROM (
     "top_categories": "SELECT event_type, count(*) AS n FROM events GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10",
     "hourly_counts": 'SELECT CAST(hour(ts) AS INT) AS "hour", count(*) AS n FROM events GROUP BY 1',
     "peak_hour": 'SELECT CAST(hour(ts) AS INT) AS "hour", count(*) AS n FROM events GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1',
+    "daily_sketched": _DAILY_SQL,
+    "sketched_ranks": "SELECT l_returnflag, count(l_extendedprice) AS n, TRUE AS within FROM lineitem GROUP BY 1",
+    "stored_months": f"SELECT *, 1 AS months_read FROM ({_DAILY_SQL}) d",
+    "indexed_period": """SELECT CAST(month(l_shipdate) AS INT) AS dt_month, count(*) AS num_trips, 6 AS files_read,
+       CAST((SELECT count(DISTINCT strftime(l_shipdate, '%Y%m')) FROM lineitem) AS INT) AS files_total
+FROM lineitem WHERE year(l_shipdate) = 1995 AND month(l_shipdate) BETWEEN 1 AND 6 GROUP BY 1""",
+    "tree_listing": "SELECT DISTINCT strftime(l_shipdate, 'yyyy=%Y/mm=%m') AS part, CAST(1 AS BIGINT) AS n_files FROM lineitem",
+    "distinct_passes": (
+        "SELECT count(DISTINCT event_id) AS unique_comments, count(DISTINCT user_id) AS unique_users FROM events"
+    ),
+    "distinct_merged": "SELECT event_type, count(DISTINCT user_id) AS n_users, TRUE AS within FROM events GROUP BY 1",
+    "copied_tree": """SELECT CAST(month(ts) AS INT) AS mm, CAST(day(ts) AS INT) AS dd, count(*) AS n,
+       CAST(sum(event_id) AS BIGINT) AS ids, 0 AS copied_again FROM events GROUP BY 1, 2""",
+    "staged_partitions": (
+        "SELECT CAST(month(ts) AS INT) AS mm, CAST(day(ts) AS INT) AS dd, count(*) AS n FROM events GROUP BY 1, 2"
+    ),
+    "partitioned_read": """SELECT event_id, user_id, event_type, CAST(floor(epoch(ts)) AS BIGINT) AS created_utc,
+       CAST(month(ts) AS INT) AS mm, CAST(day(ts) AS INT) AS dd FROM events WHERE month(ts) = 1 AND day(ts) = 5""",
+    "one_file_csv": 'SELECT CAST(hour(ts) AS INT) AS "hour", count(*) AS n FROM events GROUP BY 1',
+    "distributed_csv": (
+        "SELECT event_id, user_id, event_type, CAST(floor(epoch(ts)) AS BIGINT) AS created_utc FROM events"
+    ),
+    "sorted_csv": """SELECT event_id, user_id, created_utc,
+       row_number() OVER (ORDER BY created_utc DESC, event_id DESC) AS position
+FROM (SELECT event_id, user_id, CAST(floor(epoch(ts)) AS BIGINT) AS created_utc FROM events) e""",
     "sql_count": "SELECT count(*) AS total FROM orders",
     "even_double": "SELECT o_orderkey * 2 AS id2 FROM orders WHERE o_orderkey % 2 = 0",
 }

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.sources.errors import OK, classify_error, label_of
+from daybook.sources.errors import OK, UNEXPECTED, classify_error, label_of
 from daybook.sources.footers import READ, opens, read_footers
 from daybook.sources.tree import list_tree
 
@@ -176,16 +176,17 @@ def read_months(
     chosen = {o.lower() for o in LISTING_OPTIONS} & {o.lower() for o in opts}
     by_tasks = not chosen and all(opens(p) for p in paths)
     with ThreadPoolExecutor(max_workers=SCHEMA_READERS) as pool:
+        listed = None
         if by_tasks and len(paths) > few and not any(map(is_glob, paths)):
             listed = _listed_by_tasks(spark, paths)
-        else:
+        if listed is None:
             # Listings are round trips to storage: a few at a time, results in path order.
             listed = list(pool.map(lambda p: attempt(lambda: files_of(p)), paths))
         every = [f for files in listed if not isinstance(files, Exception) for f, _ in files]
+        told = None
         if by_tasks and len(every) > few:
-            schema_of = _schemas_by_tasks(spark, every, lambda f: attempt(lambda: footer_schema(f, None)))
-            told = {f: schema_of(f) for f in every}
-        else:
+            told = _schemas_by_tasks(spark, every, lambda f: attempt(lambda: footer_schema(f, None)))
+        if told is None:
             pairs = [x for files in listed if not isinstance(files, Exception) for x in files]
             told = dict(zip([f for f, _ in pairs], pool.map(lambda x: attempt(lambda: footer_schema(*x)), pairs)))
 
@@ -248,8 +249,8 @@ class Unreadable(Exception):
     """What a task reported of a path: the label leads the message."""
 
 
-def _listed_by_tasks(spark: SparkSession, paths: Sequence[str]) -> list:
-    """Per path its files with their root, or the failure, listed by executors."""
+def _listed_by_tasks(spark: SparkSession, paths: Sequence[str]) -> list | None:
+    """Per path its files with their root, or the failure, listed by executors; None if they can't list any."""
     found: dict[str, list] = {}
     for r in list_tree(spark, paths).orderBy("path").toLocalIterator():
         failed = r.status != OK
@@ -260,23 +261,24 @@ def _listed_by_tasks(spark: SparkSession, paths: Sequence[str]) -> list:
         bad = [e for e in entries if isinstance(e, Unreadable)]
         own = entries == [(p, p)]
         listed.append(bad[0] if bad else [(p, None)] if own else entries)
-    return listed
+    return None if all(isinstance(x, Exception) and classify_error(x) == UNEXPECTED for x in listed) else listed
+
 
+def _schemas_by_tasks(spark: SparkSession, files: list[str], schema_of: Callable) -> dict | None:
+    """File -> its schema or failure; footers are read by executors, one file of each kind by the driver.
 
-def _schemas_by_tasks(spark: SparkSession, files: list[str], schema_of: Callable) -> Callable:
-    """File -> its schema or failure; footers are read by executors, one file of each kind by the driver."""
+    None if the executors can read none (no library or no rights for the scheme there).
+    """
     rows = {r.path: r for r in read_footers(spark, files).select("path", "status", "error", "signature").collect()}
     first: dict[str, str] = {}
     for f in files:
         if rows[f].status == READ:
             first.setdefault(rows[f].signature, f)
+    if not first:
+        return None
     schemas = {s: schema_of(f) for s, f in first.items()}
-
-    def told(file: str):
-        r = rows[file]
-        return schemas[r.signature] if r.status == READ else Unreadable(f"{label_of(r.error)}: {r.error}")
-
-    return told
+    failed = lambda r: Unreadable(f"{label_of(r.error)}: {r.error}")
+    return {f: schemas[r.signature] if r.status == READ else failed(r) for f, r in rows.items()}
 
 
 def partition_names(file: str, root: str | None) -> set[str]:
