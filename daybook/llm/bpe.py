@@ -3,19 +3,17 @@
 A text is cut where a rolling hash of its last 16 bytes has its top bits zero,
 so equal passages of different documents are cut alike whatever stands before
 them. A worker encodes each distinct chunk once for all documents that it
-meets (a cache bounded in code points keeps chunks and words from slice to
-slice); a document's ids are then its chunks' ids with the joins repaired.
-
-Repairing a join. The pre-token pattern looks at most ``SEEN`` code points past
-a match and never back, so in a chunk encoded alone every pre-token boundary
-that follows from a true one is true up to ``SEEN`` code points before the
-chunk's end. The text from the left chunk's last such boundary to the first
-code points of the right chunk is encoded anew; where one of its boundaries
-meets one of the right chunk's, both go on alike: the ids before it come from
-the window, those after it from the chunk. Without agreement the window is
-widened, then both chunks are joined and encoded as one, until all joins agree;
-a text that does not settle in a few rounds is encoded whole. The result is the
-library's, exactly.
+meets (a cache bounded in code points keeps chunks from slice to slice); a
+document's ids are then its chunks' ids with the joins repaired.
+
+Repairing a join. Where letters, digits or a run without white space end, a
+pre-token ends whatever the context is (``SAFE``), so a token ends there in
+each chunk and in the whole text. The stretch from the left chunk's last such
+place to the right chunk's first one is encoded anew; it has to meet a token's
+end of both chunks' own ids, and takes the place of the ids between. A chunk
+without such a place (one long run of letters) is joined to its neighbour and
+encoded with it, and a text without agreement is encoded whole, until all
+joins agree. The result is the library's, exactly.
 
 Ids and decoding: strings of special tokens inside a text become their ids, as
 the library does by default. Decoding joins the tokens' bytes and reads them as
@@ -30,11 +28,9 @@ from __future__ import annotations
 
 import json
 import os
-from array import array
-from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate, chain, repeat
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -50,14 +46,13 @@ SPAN = 16  # bytes of the rolling hash
 CUT_BITS = 9  # a cut about every 512 bytes
 LEAST, MOST = 64, 4096  # bytes of a chunk; LEAST > SPAN, so that no hash reaches into the text before
 BLOCK = 1 << 22  # bytes hashed at once
-HEAD = 32  # code points of the right chunk in the first window
-SEEN = 2  # code points past a pre-token that decide where it ends ("'" is one unless "re", "ve" or "ll" follows)
-ROUNDS = 4  # of joining chunks, before a text is encoded whole
-CACHE_CHUNKS = 12_000_000  # code points of chunks remembered by a worker (caches, not caps on results)
-CACHE_WORDS = 4_000_000  # code points of words
-LONGEST_WORD = 64  # longer ones are not remembered
+CACHE_CHUNKS = 8_000_000  # code points of chunks remembered by a worker, at least (a cache, not a cap on results)
 IDS_PER_SLICE = 2_000_000  # ids decoded at once
 
+# Places where a pre-token ends in any context: before what does not go on with the letters, digits or
+# characters other than white space that stand before it.
+SAFE = r"(?<=\p{L})\P{L}|(?<=\p{N})\P{N}|(?<=\S)\s"
+
 
 def hash_cuts(data: np.ndarray, span: int = SPAN, bits: int = CUT_BITS) -> np.ndarray:
     """Offsets after which the hash of the last ``span`` bytes has its top ``bits`` bits zero, between code points."""
@@ -106,137 +101,106 @@ def _forced(joined: bytes, start: int, end: int) -> list[int]:
     return cuts
 
 
+class Vocabulary:
+    """The tokens' bytes of a byte-level BPE tokenizer file."""
+
+    def __init__(self, path: str) -> None:
+        with open(path, encoding="utf-8") as f:
+            self.spec = spec = json.load(f)
+        pre = spec["pre_tokenizer"]
+        level = pre["type"] == "ByteLevel" and pre["use_regex"] and not pre["add_prefix_space"]
+        plain = not any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in spec["added_tokens"])
+        if spec["model"]["type"] != "BPE" or not level or spec["normalizer"] or not plain:
+            raise ValueError("a byte-level BPE tokenizer without a normalizer is needed")
+        byte = {c: b for b, c in enumerate(byte_symbols())}
+        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.plain = {bytes(byte[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in self.special}
+        self.bytes = {i: t for t, i in self.plain.items()} | {i: t.encode() for t, i in self.special.items()}
+
+    def decode(self, ids: list[int] | None) -> str:
+        return b"".join(map(self.bytes.get, ids or (), repeat(b""))).decode("utf-8", "replace")
+
+
 class Chunk:
-    """A chunk encoded alone: ids, and where its pre-tokens end (code points, ids), from 0 on."""
+    """A chunk encoded alone. ``first`` and ``last``: its first and last safe place, as code points and as ids before it."""
 
-    __slots__ = ("text", "ids", "ends", "upto", "open")
+    __slots__ = ("text", "ids", "first", "last")
 
-    def __init__(self, text: str, words: list[str], known: dict[str, tuple]) -> None:
-        tokens = [known[w] for w in words]
-        self.text = text
-        self.ids = np.fromiter(chain.from_iterable(tokens), dtype=np.int32)
-        self.ends = array("l", accumulate(map(len, words), initial=0))
-        self.upto = array("l", accumulate(map(len, tokens), initial=0))
-        # The last boundary whose pre-token cannot change with what follows the chunk.
-        self.open = max(0, bisect_left(self.ends, len(text) - SEEN + 1) - 1)
+    def __init__(self, text: str, ids: np.ndarray, first: tuple[int, int] | None, last: tuple[int, int] | None) -> None:
+        self.text, self.ids, self.first, self.last = text, ids, first, last
 
 
 class Codec:
-    """A byte-level BPE tokenizer file with a worker's caches of words and chunks."""
+    """A byte-level BPE tokenizer with a worker's cache of chunks."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        import tiktoken
         from tokenizers import Tokenizer
 
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        pre = spec["pre_tokenizer"]
-        level = pre["type"] == "ByteLevel" and pre["use_regex"] and not pre["add_prefix_space"]
-        plain = not any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in spec["added_tokens"])
-        if spec["model"]["type"] != "BPE" or not level or spec["normalizer"] or not plain:
-            raise ValueError("a byte-level BPE tokenizer without a normalizer is needed")
+        words = Vocabulary(path)
         self.library = Tokenizer.from_file(path)
         self.library.no_padding()
         self.library.no_truncation()
-        self.split = regex.compile(SPLIT).findall
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        # The same merges by rank, for short stretches of text: a token's id is its merge's rank.
+        self.short = tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=words.plain, special_tokens={}).encode_ordinary
+        self.sizes = np.zeros(max(words.bytes) + 1, dtype=np.int64)
+        for i, t in words.bytes.items():
+            self.sizes[i] = len(t)
+        self.special = words.special
         names = sorted(self.special, key=len, reverse=True)
         self.marks = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
-        byte = {c: b for b, c in enumerate(byte_symbols())}
-        self.bytes = {
-            i: t.encode() if t in self.special else bytes(byte[c] for c in t)
-            for t, i in self.library.get_vocab(with_added_tokens=True).items()
-        }
-        self.words: dict[str, tuple] = {}
-        self.word_size = 0
-        self.passing: list[str] = []
+        self.safe_first = regex.compile(SAFE).search
+        self.safe_last = regex.compile("(?r)" + SAFE).search
         self.young: dict[str, Chunk] = {}
         self.old: dict[str, Chunk] = {}
         self.young_size = 0
 
-    def tokens(self, lists: list[list[str]]) -> dict[str, tuple]:
-        """Ids of every word in ``lists``, until the next call; short ones are remembered longer."""
-        for w in self.passing:
-            self.words.pop(w, None)
-        if self.word_size > CACHE_WORDS:
-            self.words, self.word_size = {}, 0
-        known = self.words
-        missing = list({w for words in lists for w in words if w not in known})
-        known.update(zip(missing, (tuple(e.ids) for e in self.library.encode_batch_fast(missing, add_special_tokens=False))))
-        self.passing = [w for w in missing if len(w) > LONGEST_WORD]
-        self.word_size += sum(map(len, missing)) - sum(map(len, self.passing))
-        return known
-
-    def chunks(self, texts: set[str]) -> dict[str, Chunk]:
-        """Each distinct chunk encoded, those seen before from the cache."""
-        found, todo = {}, []
-        for t in texts:
-            c = self.young.get(t) or self.old.get(t)
-            if c:
-                found[t] = c
-            else:
-                todo.append(t)
-        lists = [self.split(t) for t in todo]
-        known = self.tokens(lists)
-        for t, words in zip(todo, lists):
-            found[t] = Chunk(t, words, known)
-        for t, c in found.items():
-            if t not in self.young:
-                self.young[t] = c
-                self.young_size += len(t)
-        if self.young_size > CACHE_CHUNKS:
-            self.old, self.young, self.young_size = self.young, {}, 0
+    def encoded(self, text: str) -> Chunk:
+        """A chunk encoded alone; one of several chunks joined (beyond MOST) by the library."""
+        alone = self.short(text) if len(text) <= MOST + LEAST else self.library.encode(text, add_special_tokens=False).ids
+        ids = np.array(alone, dtype=np.int32)
+        first, last = self.safe_first(text), self.safe_last(text)
+        if not first:
+            return Chunk(text, ids, None, None)
+        ends = np.cumsum(self.sizes[ids])
+        places = [(m.start(), len(text[: m.start()].encode())) for m in (first, last)]
+        at = np.searchsorted(ends, [b for _, b in places])
+        if any(ends[i] != b for i, (_, b) in zip(at, places)):  # no agreement
+            return Chunk(text, ids, None, None)
+        return Chunk(text, ids, *((c, int(i) + 1) for i, (c, _) in zip(at, places)))
+
+    def chunk(self, text: str) -> Chunk:
+        """``encoded``, from the cache where the chunk was met before."""
+        found = self.young.get(text)
+        if not found:
+            found = self.old.get(text) or self.encoded(text)
+            self.young[text] = found
+            self.young_size += len(text)
+            if self.young_size > CACHE_CHUNKS:
+                self.old, self.young, self.young_size = self.young, {}, 0
         return found
 
-    def joint(self, left: Chunk, right: Chunk, final: bool) -> tuple[list[str], int] | None:
-        """The words from the left chunk's open boundary to an agreement with the right one, and its number there.
-
-        ``final``: the right chunk ends the text. None without an agreement.
-        """
-        tail = left.text[left.ends[left.open] :]
-        t, head, size = len(tail), HEAD, len(right.text)
-        while True:
-            head = min(head, size)
-            window = tail + right.text[:head]
-            ended = final and head == size
-            sure = len(window) if ended else len(window) - SEEN
-            words, at = self.split(window), 0
-            for i, w in enumerate(words):
-                at += len(w)
-                if at >= t:
-                    if at > sure:
-                        break
-                    j = bisect_left(right.ends, at - t)
-                    if j < len(right.ends) and right.ends[j] == at - t:
-                        return (words[: i + 1], j) if final or j <= right.open else None
-            if head == size:
-                return None
-            head *= 8
-
-    def settle(self, texts: list[str], found: dict[str, Chunk]) -> tuple[list[Chunk], list[tuple[list[str], int]]]:
-        """A text's chunks with the joints between them, some chunks joined where no agreement was found."""
-        for _ in range(ROUNDS):
-            row = [found[t] for t in texts]
-            last = len(row) - 1
-            joints = [self.joint(row[i], row[i + 1], i + 1 == last) for i in range(last)]
-            if None not in joints:
-                return row, joints
-            merged = [[texts[0]]]
-            for t, j in zip(texts[1:], joints):
-                if j is None:
-                    merged[-1].append(t)
+    def part(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of the text that the chunks ``texts`` make up, in pieces."""
+        row = [self.chunk(t) for t in texts]
+        if len(row) > 1 and not all(c.first for c in row):
+            groups: list[list[Chunk]] = []
+            for c in row:
+                if groups and not (c.first and any(g.first for g in groups[-1])):
+                    groups[-1].append(c)
                 else:
-                    merged.append([t])
-            texts = ["".join(m) for m in merged]
-            found = {**found, **self.encoded({t for t, m in zip(texts, merged) if len(m) > 1})}
-        whole = "".join(texts)
-        return [self.encoded({whole})[whole]], []
-
-    def encoded(self, texts: set[str]) -> dict[str, Chunk]:
-        """As ``chunks``, for texts that only one document has."""
-        lists = {t: self.split(t) for t in texts}
-        known = self.tokens(list(lists.values()))
-        return {t: Chunk(t, words, known) for t, words in lists.items()}
+                    groups.append([c])
+            row = [g[0] if len(g) == 1 else self.encoded("".join(c.text for c in g)) for g in groups]
+            if len(row) > 1 and not all(c.first for c in row):
+                row = [self.encoded("".join(texts))]
+        pieces, begin = [], 0
+        for left, right in zip(row, row[1:]):
+            pieces.append(left.ids[begin : left.last[1]])
+            pieces.append(np.array(self.short(left.text[left.last[0] :] + right.text[: right.first[0]]), dtype=np.int32))
+            begin = right.first[1]
+        pieces += [c.ids[begin:] for c in row[-1:]]
+        return pieces
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and the number of ids before each text (and after the last)."""
@@ -245,36 +209,25 @@ class Codec:
             pieces = self.marks.split(t) if self.marks and self.marks.search(t) else [t]
             owner += [i] * len(pieces)
             parts += pieces
-        plain = [i for i, p in enumerate(parts) if p not in self.special]
-        cut = dict(zip(plain, chunked([parts[i] for i in plain])))
-        found = self.chunks({c for row in cut.values() for c in row})
-        settled = [self.settle(cut[i], found) if cut.get(i) else ([], []) for i in range(len(parts))]
-        known = self.tokens([words for _, joints in settled for words, _ in joints])
+        cut = iter(chunked([p for p in parts if p not in self.special]))
         out, counts = [np.zeros(0, np.int32)], np.zeros(len(texts) + 1, dtype=np.int64)
-        for i, (row, joints) in enumerate(settled):
-            if i not in cut:
-                pieces = [np.array([self.special[parts[i]]], dtype=np.int32)]
-            else:
-                pieces, begin = [], 0
-                for chunk, (words, next_begin) in zip(row, joints):
-                    pieces.append(chunk.ids[begin : chunk.upto[chunk.open]])
-                    pieces.append(np.fromiter(chain.from_iterable(known[w] for w in words), dtype=np.int32))
-                    begin = row[len(pieces) // 2].upto[next_begin]
-                if row:
-                    pieces.append(row[-1].ids[begin:])
+        for i, p in zip(owner, parts):
+            pieces = [np.array([self.special[p]], dtype=np.int32)] if p in self.special else self.part(next(cut))
             out += pieces
-            counts[owner[i] + 1] += sum(map(len, pieces))
+            counts[i + 1] += sum(map(len, pieces))
         return np.concatenate(out), np.cumsum(counts)
 
-    def decode(self, ids: list[int] | None) -> str:
-        return b"".join(map(self.bytes.get, ids or (), repeat(b""))).decode("utf-8", "replace")
-
 
 @lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
     return Codec(path)
 
 
+@lru_cache(maxsize=2)
+def vocabulary(path: str) -> Vocabulary:
+    return Vocabulary(path)
+
+
 def encode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row of ``docs``: ``doc_id, ids`` (array of int), as the library gives them without added special tokens.
 
@@ -299,7 +252,7 @@ def decode(rows: DataFrame, tokenizer: str, ids: str = "ids", text: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 0, IDS_PER_SLICE, pc.list_value_length):
-            texts = [codec(tokenizer).decode(r) for r in part.column(0).to_pylist()]
+            texts = [vocabulary(tokenizer).decode(r) for r in part.column(0).to_pylist()]
             columns = [pa.array(texts, pa.string()), *part.columns[1:]]
             yield pa.RecordBatch.from_arrays(columns, names=part.schema.names)
 
