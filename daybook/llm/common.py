@@ -100,6 +100,14 @@ def chunks(batches: Iterable[pa.RecordBatch], text: int = 1, most: int = TEXT_PE
         yield [c.to_pylist() for c in part.columns]
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
     """``df.mapInArrow``, with this package importable in the tasks.
 

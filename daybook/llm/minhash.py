@@ -31,8 +31,8 @@
 Defined results: texts without words have no shingles and are linked with
 nothing; a text with fewer words than a shingle is one shingle; NULL reads as
 empty; rows that repeat an id are rows of their own (all with the results of
-their text); a component's id is the smallest id of its rows, NULL if there
-is none.
+their text), rows without id link as any other; a component's id is the
+smallest id of its rows, NULL if there is none.
 """
 
 from __future__ import annotations
@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import checkpointed, chunks, col, in_buckets, kept, map_arrow, map_texts
+from daybook.llm.common import checkpointed, chunks, col, in_buckets, kept, map_arrow, map_texts, unused
 
 U = np.uint64
 SALTS = 32
@@ -152,17 +152,23 @@ def signed(sets: list[np.ndarray], bands: int, rows: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
-    """``doc_id, n_shingles, node, keys`` per row; ``node`` names the set (NULL: no words)."""
+    """``doc_id, at, n_shingles, node, keys`` per row; ``node`` names the set (NULL: no words), ``at`` the row."""
 
-    def work(ids: list, texts: list) -> list:
+    def work(ids: list, texts: list, at: list) -> list:
         sets = shingle_sets(texts, width)
         node = [
             int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "big", signed=True) if len(s) else None
             for s in sets
         ]
-        return [ids, [len(s) for s in sets], node, list(signed(sets, bands, rows))]
+        return [ids, at, [len(s) for s in sets], node, list(signed(sets, bands, rows))]
 
-    return map_texts(docs, work, "doc_id long, n_shingles long, node long, keys array<long>")
+    fields = "doc_id long, at long, n_shingles long, node long, keys array<long>"
+    return map_texts(docs.select("doc_id", "text", "at"), work, fields)
+
+
+def named(key: str, text: str) -> Column:
+    """A hash of id and text that finds a row again, also one without id; equal rows have one name."""
+    return F.xxhash64(col(key).cast("long"), col(text).cast("string"))
 
 
 def verify(pairs: DataFrame, texts: DataFrame, width: int, differences: bool = False) -> DataFrame:
@@ -358,7 +364,14 @@ def near_duplicates(
     Rows are linked when ``100 * |A & B| >= percent * |A | B|`` on their
     shingle sets; ``kept`` marks the smallest id of a component.
     """
-    docs = docs.select(col(key).cast("long").alias("doc_id"), col(text).cast("string").alias("text"))
+    return grouped(docs, key, text, width, percent, bands, rows).drop("at", "root")
+
+
+def grouped(docs: DataFrame, key: str, text: str, width: int, percent: int, bands: int, rows: int) -> DataFrame:
+    """``near_duplicates`` with the row's name ``at`` and the component's name ``root`` (NULL: no words)."""
+    docs = docs.select(
+        col(key).cast("long").alias("doc_id"), col(text).cast("string").alias("text"), named(key, text).alias("at")
+    )
     signs = kept(signatures(docs, width, bands, rows))
     some = signs.where("node is not null")
     # One row per distinct set; the row with the smallest id lends its text.
@@ -372,7 +385,7 @@ def near_duplicates(
     pairs = checkpointed(pairs.distinct())
 
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    lenders = wanted.join(some.select("node", "doc_id"), "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    lenders = wanted.join(some.select("node", "at"), "node").groupBy("node").agg(F.min("at").alias("at"))
     texts = class_texts(docs, lenders, width)
 
     links = checkpointed(verify(pairs, texts, width).where(linked(percent)).select("a", "b"))
@@ -384,12 +397,14 @@ def near_duplicates(
     rooted = classes.select("node", "least_id").join(found, "node", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    told = rooted.join(least, "root").select("node", "component_id")
+    told = rooted.join(least, "root").select("node", "root", "component_id")
     return (
-        signs.select("doc_id", "n_shingles", "node")
+        signs.select("doc_id", "at", "n_shingles", "node")
         .join(told, "node", "left")
         .select(
             "doc_id",
+            "at",
+            "root",
             "n_shingles",
             F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         )
@@ -400,7 +415,7 @@ def near_duplicates(
 def class_texts(docs: DataFrame, lenders: DataFrame, width: int) -> DataFrame:
     """``node, text``: one text for each wanted class, written once.
 
-    Rows are found by id; the set's own name tells apart rows that repeat an id.
+    Rows are found by their name, so that one without id lends its text too; the set's own name makes sure.
     """
 
     def work(node: list, texts: list) -> list:
@@ -411,24 +426,37 @@ def class_texts(docs: DataFrame, lenders: DataFrame, width: int) -> DataFrame:
         use = [n == m for n, m in zip(node, names)]
         return [[n for n, u in zip(node, use) if u], [t for t, u in zip(texts, use) if u]]
 
-    lenders = checkpointed(lenders.where("doc_id is not null"))
-    of = in_buckets(docs, lenders, "doc_id").join(lenders, "doc_id").select("node", "text")
+    lenders = checkpointed(lenders)
+    of = in_buckets(docs.select("at", "text"), lenders, "at").dropDuplicates(["at"]).join(lenders, "at").select("node", "text")
     return kept(map_texts(of, work, "node long, text string")).dropDuplicates(["node"])
 
 
-def without_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` with one row of each group of near duplicates (the smallest id); columns stay.
+def without_near_duplicates(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    width: int = 5,
+    percent: int = 80,
+    bands: int = 30,
+    rows: int = 5,
+) -> DataFrame:
+    """``docs`` with one row of each group of near duplicates; columns stay.
 
-    Rows without words and rows without id are kept. Rows that repeat both id
+    It is the row with the smallest id (rows without id come last; rows that
+    repeat an id with other words: any one, the same in every run). Rows
+    without words are linked with nothing and stay. Rows that repeat both id
     and text are one row afterwards.
     """
-    told = kept(near_duplicates(docs, key, text, **options))
-    rows = told.where("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
-    ids = rows.select(F.col("doc_id").alias("_keep_id"), F.col("rows").alias("_keep_rows"))
-    held = docs.join(ids, col(key).cast("long") == F.col("_keep_id"))
+    told = kept(grouped(docs, key, text, width, percent, bands, rows).select("doc_id", "at", "root"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "at"))
+    chosen = told.where("root is not null").groupBy("root").agg(first.alias("f")).select(F.col("f.at").alias("at"))
+    # A group's rows that are not its chosen one go; what is left are single rows and repeated ones.
+    left = told.where("root is null").select("at").union(chosen).distinct()
+    times = told.groupBy("at").agg(F.count(F.lit(1)).alias("times")).join(left, "at", "left_semi")
+    at, n = unused(docs, "_at"), unused(docs, "_times")
+    held = docs.withColumn(at, named(key, text)).join(times.select(F.col("at").alias(at), F.col("times").alias(n)), at)
     names = [col(c) for c in docs.columns]
-    kept_rows = held.where("_keep_rows = 1").select(*names)
-    if not rows.where("rows > 1").isEmpty():
-        repeated = held.where("_keep_rows > 1").select(*names).dropDuplicates([key, text])
-        kept_rows = kept_rows.unionByName(repeated)
-    return kept_rows.unionByName(docs.where(col(key).isNull()))
+    single = held.where(F.col(n) == 1).select(*names)
+    if times.where("times > 1").isEmpty():
+        return single
+    return single.unionByName(held.where(F.col(n) > 1).dropDuplicates([at]).select(*names))

@@ -119,3 +119,33 @@ def test_filter_keeps_one_of_each_group(spark):
     twice = spark.createDataFrame([(1, "a b c d e f g", "s"), (1, "a b c d e f g", "s"), (2, "a b c d e f g", "t"), (None, "z", "u")], "doc_id long, text string, source string")
     assert sorted(map(tuple, minhash.without_near_duplicates(twice).collect()), key=repr) == [(1, "a b c d e f g", "s"), (None, "z", "u")]
     assert minhash.without_near_duplicates(twice.where("false")).collect() == []
+
+
+def chain():
+    """Three texts of which the middle one alone links the outer two (width 5)."""
+    words = [f"w{i}" for i in range(60)]
+    near = lambda *at: " ".join("x" if i in at else w for i, w in enumerate(words))
+    return near(3), near(), near(56)
+
+
+def test_a_row_without_id_links_its_neighbours(spark):
+    left, middle, right = chain()
+    assert [k for *_, k in brute([(5, left), (8, right)], 5)] == [True, True]
+    for rows in ([(5, left), (None, middle), (8, right)], [(5, left), (None, left + " y")], [(None, left), (None, middle)]):
+        got = minhash.near_duplicates(frame(spark, rows, "doc_id long, text string"))
+        assert sorted((tuple(r) for r in got.collect()), key=repr) == brute(rows, 5)
+        single = minhash.without_near_duplicates(frame(spark, rows, "doc_id long, text string"))
+        least = min((r for r in rows), key=lambda r: (r[0] is None, r[0] or 0))
+        assert [r.doc_id for r in single.collect()] == [least[0]]
+
+
+def test_filter_with_repeated_ids(spark):
+    a, near, _ = chain()
+    rows = [(0, a), (1, near), (1, "quite another text of seven words"), (2, None), (2, None), (None, "far away from all these")]
+    df = spark.createDataFrame([(i, t, "s", 1.5) for i, t in rows], "doc_id long, text string, _at string, _times double")
+    left = minhash.without_near_duplicates(df)
+    assert left.columns == df.columns
+    want = [rows[0], rows[2], rows[3], rows[5]]
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=repr) == sorted(want, key=repr)
+    both = spark.createDataFrame([(1, a), (1, near)], "doc_id long, text string")
+    assert minhash.without_near_duplicates(both).count() == 1
