@@ -125,12 +125,13 @@ def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
 def map_rows(docs: DataFrame, text: str, run: Callable) -> DataFrame:
     """``docs`` through ``run`` over Arrow batches whose first column is the text; columns and order stay.
 
-    Columns travel under plain names, so that any name is allowed.
+    Columns travel under plain names, so that any name is allowed. Batches are cut by their texts' bytes (``slices``),
+    so that a worker's memory does not grow with the length of the rows that Spark puts into one batch.
     """
     names = docs.columns
     order = [text, *[c for c in names if c != text]]
     plain = docs.select(*[col(c).alias(f"c{i}") for i, c in enumerate(order)])
-    out = map_arrow(plain, run, plain.schema)
+    out = map_arrow(plain, lambda batches: run(slices(batches, 0)), plain.schema)
     return out.select(*[F.col(f"c{order.index(c)}").alias(c) for c in names])
 
 
