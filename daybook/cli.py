@@ -5,6 +5,9 @@
     python -m daybook.cli check
     python -m daybook.cli probe s3a://bucket/a/*.parquet s3a://bucket/b/
     python -m daybook.cli ls s3a://bucket/b/
+    python -m daybook.cli daily --root DATA --year 2021 --months 1-12 --states s3a://bucket/states
+    python -m daybook.cli copy s3a://public/comments s3a://bucket/comments --where yyyy=2024
+    python -m daybook.cli index DATA --ts tpep_pickup_datetime --out s3a://bucket/index
 
 On a cluster leave ``--master`` out and pass it to ``spark-submit``. Extra
 settings (object-store credentials provider, endpoint, ...) go in
@@ -72,15 +75,15 @@ def cmd_daily(spark, args) -> int:
     from daybook.sinks.report import overview_report
     from daybook.sources.files import TRIP_SCHEMA, month_paths, read_months
 
+    if args.states:
+        return _daily_from_states(spark, args)
     paths = args.paths or month_paths(args.root, args.year, _months(args.months or "1-6"))
     loaded = read_months(spark, paths, schema=TRIP_SCHEMA if args.declared_schema else None)
     for path, why in loaded.skipped:
         print(f"skipped {path}: {why}")
     for path, column in loaded.filled:
         print(f"no column {column} in {path}: NULL")
-    cols = TripColumns(
-        ts=args.ts, distance=args.distance, tax=args.tax, fare=args.fare, tip=args.tip, passengers=args.passengers
-    )
+    cols = _columns(args)
     if args.auto_size:
         _auto_size(spark, args, loaded.read)
     if args.explore:
@@ -108,6 +111,88 @@ def cmd_daily(spark, args) -> int:
     return 0
 
 
+def _columns(args) -> TripColumns:
+    return TripColumns(
+        ts=args.ts, distance=args.distance, tax=args.tax, fare=args.fare, tip=args.tip, passengers=args.passengers
+    )
+
+
+def _daily_from_states(spark, args) -> int:
+    """The daily run from stored month states: reads the months that are new or have changed."""
+    from daybook.operators.daily import DAY_KEYS, daily_overview, newest_days
+    from daybook.operators.states import MonthStates
+    from daybook.plans.daily_job import timed
+    from daybook.sinks.csv import write_small_csv
+    from daybook.sinks.report import daily_report, overview_report
+    from daybook.sources.files import TRIP_SCHEMA, month_paths
+
+    months = _months(args.months or "1-6")
+    inputs = {f"{args.year}-{m:02d}": [p] for m, p in zip(months, month_paths(args.root, args.year, months))}
+    store = MonthStates(spark, args.states, _columns(args))
+
+    def step():
+        told = store.refresh(inputs, schema=TRIP_SCHEMA if args.declared_schema else None)
+        daily = store.summary(args.year, ordered=False).checkpoint()  # at most 366 rows
+        if args.out:
+            from pyspark.sql import functions as F
+
+            write_small_csv(daily, args.out, [F.col(k).desc() for k in DAY_KEYS], max_rows=None)
+        return told, daily
+
+    res = timed(step)
+    if not res.ok:
+        print(f"failed: {res.error}")
+        return 1
+    told, daily = res.value
+    for path, why in told.skipped:
+        print(f"skipped {path}: {why}")
+    print(f"Months read: {', '.join(told.read) or 'none'}; from the store: {len(told.kept)}")
+    newest_days(daily, args.show).show(args.show, truncate=False)
+    for line in overview_report(daily_overview(daily)).first():
+        if line is not None:
+            print(line)
+    for row in daily_report(daily, 5).collect():
+        print(row.text)
+        print("-" * 40)
+    print(f"Execution time: {res.seconds:.2f} seconds")
+    if args.out:
+        print(f"Saved to {args.out}")
+    return 0
+
+
+def cmd_copy(spark, args) -> int:
+    from daybook.plans.daily_job import timed
+    from daybook.sources.copies import copy_new
+
+    where = {k: int(v) if v.isdigit() else v for k, v in _conf(args.where).items()}
+    res = timed(lambda: copy_new(spark, args.source, args.target, args.partition_by.split(","), where))
+    if not res.ok:
+        print(f"failed: {res.error}")
+        return 1
+    done = res.value
+    for part in done.partitions:
+        print(f"copied {part}")
+    print(f"{len(done.partitions)} partitions, {done.files} of {done.files_total} files, {done.rows:,} rows")
+    print(f"Execution time: {res.seconds:.2f} seconds")
+    return 0
+
+
+def cmd_index(spark, args) -> int:
+    from pyspark.sql import functions as F
+
+    from daybook.sources.index import index_files
+
+    index = index_files(spark, args.roots, args.ts)
+    n = index.agg(
+        F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+        F.count(F.when(F.col("status") != "ok", 1)).alias("bad"), F.count(F.when(F.col("low").isNull(), 1)).alias("open"),
+    ).first()
+    if args.out:
+        index.write.mode("overwrite").parquet(args.out)
+    print(f"{n.files} files, {n.rows:,} rows, {n.bad} unreadable, {n.open} without bounds of {args.ts}")
+    return 0 if n.files > n.bad else 1
+
+
 def _explore(spark, loaded, ts: str) -> None:
     """The notebook's first look: input size, schema, raw rows, rows with date parts."""
     from functools import reduce
@@ -221,6 +306,7 @@ def main(argv: list[str] | None = None) -> int:
     d.add_argument("--declared-schema", action="store_true")
     d.add_argument("--show", type=int, default=20)
     d.add_argument("--explore", action="store_true", help="print input size, schema and sample rows first")
+    d.add_argument("--states", help="folder of stored month states: only new and changed months are read")
 
     a = sub.add_parser("activity")
     a.add_argument("--input", required=True)
@@ -242,11 +328,24 @@ def main(argv: list[str] | None = None) -> int:
     ls.add_argument("path")
     ls.add_argument("--first", type=int, default=10)
 
+    cp = sub.add_parser("copy")
+    cp.add_argument("source")
+    cp.add_argument("target")
+    cp.add_argument("--partition-by", default="yyyy,mm")
+    cp.add_argument("--where", action="append", default=[], help="partition value, e.g. yyyy=2024")
+
+    ix = sub.add_parser("index")
+    ix.add_argument("roots", nargs="+")
+    ix.add_argument("--ts", default=defaults.ts)
+    ix.add_argument("--out")
+
     args = ap.parse_args(argv)
     if args.cmd == "daily" and not (args.root or args.paths):
         ap.error("daily needs --root or --paths")
     if args.cmd == "daily" and args.paths and (args.root or args.months):
         ap.error("--paths names the files itself: leave out --root and --months")
+    if args.cmd == "daily" and args.states and (args.paths or args.exact or args.explore):
+        ap.error("--states works on the months of --root, without --exact and --explore")
     if (args.input_gb is None) != (args.total_cores is None) and not args.auto_size:
         ap.error("--input-gb and --total-cores go together")
     if args.input_gb is not None and args.total_cores is None:
@@ -257,7 +356,10 @@ def main(argv: list[str] | None = None) -> int:
     conf.update(_conf(args.conf))  # explicit settings win
     spark = session.build(f"daybook-{args.cmd}", conf, master=args.master)
     try:
-        commands = {"daily": cmd_daily, "activity": cmd_activity, "check": cmd_check, "probe": cmd_probe, "ls": cmd_ls}
+        commands = {
+            "daily": cmd_daily, "activity": cmd_activity, "check": cmd_check, "probe": cmd_probe, "ls": cmd_ls,
+            "copy": cmd_copy, "index": cmd_index,
+        }
         return commands[args.cmd](spark, args)
     finally:
         spark.stop()

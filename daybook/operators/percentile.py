@@ -10,14 +10,16 @@ a third of the table. Here:
 2. a second pass counts the rows below the band and, inside it, the rows of
    each value; the result holds a few values per group, pre-aggregated
    before its shuffle on (group, value), and is checkpointed;
-3. a cumulative count over these, in two levels (sums per range of values,
-   then inside a range), finds the value at the wanted rank, so no task needs
-   a whole group here either.
+3. a cumulative count over these finds the value at the wanted rank: in one
+   window per group while every group has counted few values (``window_values``
+   at most, known from the counts), beyond it in two levels (sums per range of
+   values, then inside a range), so no task needs a whole group here either.
+   Both give the same answer.
 
 The band comes from a sketch but the answer does not: the counted rows tell
 whether the wanted rank lies inside the band. For a group where it does not,
-the band is widened to all its values and steps 2 and 3 run again for such
-groups alone: two reads of the input, three at most.
+the band is widened to all its values and step 2 runs again for such groups
+alone: two reads of the input, three at most.
 
 Groups are matched NULL-safely: a NULL key is a group like any other.
 """
@@ -33,6 +35,7 @@ from daybook.session import ensure_checkpoint_dir
 
 BROADCAST_ROWS = 200_000
 SALTS = 32
+WINDOW_VALUES = 200_000  # counted values of a group that one window sorts
 MARGIN = 2  # half width of the band, in errors of the sketch
 
 
@@ -84,21 +87,39 @@ def _with_bands(rows: DataFrame, bands: DataFrame, keys: list[str], limit: int)
     return join_null_safe(salted, copies, [*keys, "_salt"]).drop("_salt")
 
 
-def _at_rank(rows: DataFrame, bands: DataFrame, keys: list[str], limit: int) -> DataFrame:
-    """``keys, _v``: the value at rank ``_r``; NULL where the rank lies outside the band."""
+def _counted(rows: DataFrame, bands: DataFrame, keys: list[str], limit: int) -> DataFrame:
+    """``keys, _v, _c``: rows of each value inside the band, and of all values below it as one row (``_v`` NULL)."""
     v = F.col("_v")
     inside = _with_bands(rows, bands.select(*keys, "_lo", "_hi"), keys, limit)
     inside = inside.where(F.col("_hi").isNull() | (v <= F.col("_hi")))
-    # One row for all values below the band (NULL, sorted first), one per value inside. NULL ends: all values.
-    counts = inside.groupBy(*keys, F.when(F.col("_lo").isNull() | (v >= F.col("_lo")), v).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    ranged = counts.repartitionByRange(*keys, "_v").withColumn("_part", F.spark_partition_id()).checkpoint()
-    sums = ranged.groupBy(*keys, "_part").agg(F.sum("_c").alias("_s"))
-    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(*keys, "_part", F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias("_o"))
-    so_far = Window.partitionBy(*keys, "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    running = join_null_safe(ranged, offsets, [*keys, "_part"]).withColumn(
-        "_at", F.col("_o") + F.sum("_c").over(so_far)
+    # NULL ends: all values.
+    value = F.when(F.col("_lo").isNull() | (v >= F.col("_lo")), v).alias("_v")
+    return inside.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c")).checkpoint()
+
+
+def _told(counts: DataFrame, bands: DataFrame, keys: list[str]) -> DataFrame:
+    """Each group's band with the number of its counted values, and whether the wanted rank lies outside the band."""
+    sums = counts.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_values"),
+        F.sum("_c").alias("_upto"),
+        F.sum(F.when(F.col("_v").isNull(), F.col("_c")).otherwise(0)).alias("_below"),
     )
+    none = F.coalesce("_upto", F.lit(0)) < F.col("_r")
+    return join_null_safe(bands, sums, keys, "left").withColumn("_missed", none | (F.coalesce("_below", F.lit(0)) >= F.col("_r")))
+
+
+def _at_rank(counts: DataFrame, bands: DataFrame, keys: list[str], one_window: bool) -> DataFrame:
+    """``keys, _v``: the value at rank ``_r`` of each group's counted values."""
+    if one_window:
+        so_far = Window.partitionBy(*keys).orderBy(F.col("_v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+        running = counts.withColumn("_at", F.sum("_c").over(so_far))
+    else:
+        ranged = counts.repartitionByRange(*keys, "_v").withColumn("_part", F.spark_partition_id()).checkpoint()
+        sums = ranged.groupBy(*keys, "_part").agg(F.sum("_c").alias("_s"))
+        earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = sums.select(*keys, "_part", F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias("_o"))
+        so_far = Window.partitionBy(*keys, "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+        running = join_null_safe(ranged, offsets, [*keys, "_part"]).withColumn("_at", F.col("_o") + F.sum("_c").over(so_far))
     reached = join_null_safe(running, bands.select(*keys, "_r"), keys).where(F.col("_at") >= F.col("_r"))
     return reached.groupBy(*keys).agg(F.min(F.struct("_at", "_v")).alias("_f")).select(*keys, F.col("_f._v").alias("_v"))
 
@@ -112,6 +133,7 @@ def exact_percentile(
     accuracy: int = 10_000,
     broadcast_rows: int = BROADCAST_ROWS,
     bands: DataFrame | None = None,
+    window_values: int = WINDOW_VALUES,
 ) -> DataFrame:
     """One row per group holding a non-NULL value: ``keys`` + ``alias``.
 
@@ -126,13 +148,16 @@ def exact_percentile(
     if bands is None:
         bands = rows.groupBy(*keys).agg(*band("_v", p, accuracy)).checkpoint()
     bands = bands.where(F.col("_n") > 0).select(*keys, "_lo", "_hi", rank_target(p, F.col("_n")).alias("_r"))
-    found = _at_rank(rows, bands, keys, broadcast_rows).checkpoint()
-
-    # A band without the wanted rank (nothing reached it, or only the rows below it): take all values.
-    told = join_null_safe(bands, found, keys, "left")
-    missed = told.where(F.col("_v").isNull()).drop("_v").checkpoint()
-    if not missed.isEmpty():
-        open_band = {"_lo": F.lit(None).cast(rows.schema["_v"].dataType), "_hi": F.lit(None).cast(rows.schema["_v"].dataType)}
-        wide = missed.withColumns(open_band)
-        found = found.where(F.col("_v").isNotNull()).unionByName(_at_rank(rows, wide, keys, broadcast_rows))
+    counts = _counted(rows, bands, keys, broadcast_rows)
+    facts = F.max("_values").alias("most"), F.count(F.when(F.col("_missed"), 1)).alias("missed")
+    told = _told(counts, bands, keys)
+    most, missed = told.agg(*facts).first()
+    if missed:
+        open_end = F.lit(None).cast(rows.schema["_v"].dataType)
+        wide = told.where("_missed").select(*bands.columns).withColumns({"_lo": open_end, "_hi": open_end}).checkpoint()
+        again = _counted(rows, wide, keys, broadcast_rows)
+        held = join_null_safe(counts, told.select(*keys, "_missed"), keys).where(~F.col("_missed")).drop("_missed")
+        counts = held.unionByName(again)
+        most = max(most or 0, again.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0)
+    found = _at_rank(counts, bands, keys, (most or 0) <= window_values)
     return found.where(F.col("_v").isNotNull()).select(*keys, F.col("_v").alias(alias))

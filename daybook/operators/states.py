@@ -35,7 +35,7 @@ from daybook.functions.numeric import nan_to_null
 from daybook.functions.time import date_parts
 from daybook.operators.daily import DAY_KEYS, SUMMARY_COLUMNS, TripColumns, newest_first, select_period
 from daybook.sources.errors import OK
-from daybook.sources.files import read_months
+from daybook.sources.files import Loaded, NothingRead, read_months
 from daybook.sources.footers import opens
 from daybook.sources.listing import list_files
 from daybook.sources.manifest import Manifest
@@ -195,13 +195,19 @@ class MonthStates:
         join = lambda paths: "\n".join([made, *(f"{p} {of.get(p, '-')}" for p in paths)])
         return {m: hashlib.sha256(join(paths).encode()).hexdigest() for m, paths in inputs.items()}
 
+    def _load(self, paths: Sequence[str], schema: T.StructType | None) -> Loaded | NothingRead:
+        try:
+            return read_months(self.spark, paths, schema=schema)
+        except NothingRead as exc:
+            return exc
+
     def refresh(self, inputs: Mapping[str, Sequence[str]], schema: T.StructType | None = None) -> Refreshed:
         """Bring the store to exactly the months of ``inputs`` (month -> its paths); reads only what is new or changed.
 
         New states are written to a folder of their own and become visible
         with the next version of the manifest. Paths that can't be read are
         left out as in ``read_months`` and named in the result; their month is
-        read again next time.
+        read again next time. Raises where no month holds anything.
         """
         marks = self.marks(inputs)
         held = {r.month: r for r in self.manifest.rows().collect()}  # one row per month
@@ -211,15 +217,19 @@ class MonthStates:
         rows = [tuple(held[m]) for m in kept]
         if read:
             with ThreadPoolExecutor(max_workers=8) as pool:  # listings are round trips to storage
-                loads = list(pool.map(lambda m: read_months(self.spark, inputs[m], schema=schema), read))
+                loads = list(pool.map(lambda m: self._load(inputs[m], schema), read))
             skipped = [x for loaded in loads for x in loaded.skipped]
             whole = [not loaded.skipped for loaded in loads]
-            parts = [loaded.df.withColumn("_month", F.lit(m)) for m, loaded in zip(read, loads)]
-            new = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+            parts = [x.df.withColumn("_month", F.lit(m)) for m, x in zip(read, loads) if not isinstance(x, NothingRead)]
+            if not parts and not kept:
+                raise NothingRead(skipped)
             folder = f"{self.root}/states/{uuid.uuid4().hex}"
-            day_states(new, self.cols, keys=["_month"], k=self.k).write.partitionBy("_month").parquet(folder)
-            states = self.spark.read.schema(f"{STATE}, _month string").parquet(folder)
-            counts = {r._month: r.n for r in states.groupBy("_month").agg(F.sum("n").alias("n")).collect()}
+            counts = {}
+            if parts:
+                new = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+                day_states(new, self.cols, keys=["_month"], k=self.k).write.partitionBy("_month").parquet(folder)
+                states = self.spark.read.schema(f"{STATE}, _month string").parquet(folder)
+                counts = {r._month: r.n for r in states.groupBy("_month").agg(F.sum("n").alias("n")).collect()}
             rows += [
                 (m, marks[m] if ok else "", folder if m in counts else None, counts.get(m, 0)) for m, ok in zip(read, whole)
             ]

@@ -127,6 +127,14 @@ class Loaded:
     filled: list[tuple[str, str]] = field(default_factory=list)  # (path, declared column it lacks)
 
 
+class NothingRead(FileNotFoundError):
+    """No path could be read; ``skipped`` names them with their labels."""
+
+    def __init__(self, skipped: list[tuple[str, str]]) -> None:
+        super().__init__(f"none of {len(skipped)} paths could be read: {skipped}")
+        self.skipped = skipped
+
+
 def read_months(
     spark: SparkSession,
     paths: Sequence[str],
@@ -221,7 +229,7 @@ def read_months(
             whole = len(fs) == len(files) and key[1] is not None and not is_glob(p)
             groups.setdefault(key, []).extend([p] if whole else fs)
     if not groups:
-        raise FileNotFoundError(f"none of {len(paths)} paths could be read: {skipped}")
+        raise NothingRead(skipped)
     if schema is not None:
         nowhere = [c for c in schema.fieldNames() if sum(c == name for _, name in filled) == n_files]
         if nowhere:

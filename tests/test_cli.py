@@ -104,3 +104,31 @@ def test_cli_ls(tmp_path):
     p = run("ls", str(tmp_path))
     assert p.returncode == 0 and "12 files" in p.stdout and "f09" in p.stdout and "f10" not in p.stdout and "and 2 more" in p.stdout
     assert run("ls", str(tmp_path / "none")).returncode == 1
+
+
+def test_cli_states_copy_and_index(spark, tmp_path):
+    import datetime as dt
+
+    root = tmp_path / "trips"
+    ddl = "tpep_pickup_datetime timestamp, trip_distance double, mta_tax double, fare_amount double, tip_amount double, passenger_count double"
+    for m in (1, 2, 3):
+        rows = [(dt.datetime(2021, m, 1 + i % 28, i % 24), float(i), 0.5, 10.0 + i, 1.0, 2.0) for i in range(56)]
+        spark.createDataFrame(rows, ddl).coalesce(1).write.parquet(f"{root}/yyyy=2021/yellow_tripdata_2021-{m:02d}.parquet")
+    out, states = str(tmp_path / "daily.csv"), str(tmp_path / "states")
+    p = run("daily", "--root", str(root), "--year", "2021", "--months", "1-2", "--states", states, "--out", out)
+    assert p.returncode == 0, p.stderr[-2000:]
+    assert "Months read: 2021-01, 2021-02; from the store: 0" in p.stdout and "Days with data: 56" in p.stdout
+    p = run("daily", "--root", str(root), "--year", "2021", "--months", "1-4", "--states", states, "--out", out)
+    assert "Months read: 2021-03, 2021-04; from the store: 2" in p.stdout and "2021-04.parquet: not_found" in p.stdout
+    assert p.returncode == 0 and "Days with data: 84" in p.stdout
+    assert len(glob.glob(f"{out}/part-*.csv")) == 1
+
+    p = run("index", str(root), "--out", str(tmp_path / "index"))
+    assert p.returncode == 0 and "3 files, 168 rows, 0 unreadable, 0 without bounds" in p.stdout, p.stdout
+    assert spark.read.parquet(str(tmp_path / "index")).count() == 3
+    spark.range(10).selectExpr("id", "2024 AS yyyy", "id % 2 + 1 AS mm").write.partitionBy("yyyy", "mm").parquet(str(tmp_path / "src"))
+    dst = str(tmp_path / "dst")
+    p = run("copy", str(tmp_path / "src"), dst, "--where", "mm=1")
+    assert p.returncode == 0 and "copied yyyy=2024/mm=1\n" in p.stdout and "1 partitions" in p.stdout
+    p = run("copy", str(tmp_path / "src"), dst)
+    assert "copied yyyy=2024/mm=2\n1 partitions" in p.stdout

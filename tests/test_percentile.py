@@ -33,7 +33,7 @@ def test_small_groups(spark, p):
 
 
 @pytest.mark.parametrize("p", [0.05, 0.5, 0.95])
-@pytest.mark.parametrize("options", [{"accuracy": 100}, {"accuracy": 100, "broadcast_rows": 0}, {"accuracy": 5}, {}])
+@pytest.mark.parametrize("options", [{"accuracy": 100}, {"accuracy": 100, "broadcast_rows": 0}, {"accuracy": 5, "window_values": 0}, {}])
 def test_hot_group(spark, p, options):
     # One key holds most rows; coarse sketches, and bands joined by a salted shuffle.
     rnd = random.Random(11)
@@ -85,7 +85,7 @@ def test_given_bands_with_empty_group(spark):
     assert got == {k: brute([v for kk, v in rows if kk == k], 0.9) for k in range(3)}
 
 
-@pytest.mark.parametrize("options", [{}, {"accuracy": 10}, {"broadcast_rows": 0}, {"accuracy": 10, "broadcast_rows": 0}])
+@pytest.mark.parametrize("options", [{}, {"accuracy": 10}, {"broadcast_rows": 0, "window_values": 0}, {"accuracy": 10, "broadcast_rows": 0}])
 def test_null_keys_are_a_group(spark, options):
     rnd = random.Random(13)
     keys = [(1, "a"), (1, None), (None, "a"), (None, None)]
@@ -101,8 +101,9 @@ def test_a_band_that_misses_is_widened(spark):
     df = spark.createDataFrame(rows, "k int, v double")
     for lo, hi in ((0.0, 1.0), (998.0, 999.0), (2000.0, 3000.0), (500.2, 500.3)):
         bands = df.groupBy("k").agg(F.count("v").alias("_n"), F.lit(lo).alias("_lo"), F.lit(hi).alias("_hi")).checkpoint()
-        got = {r.k: r.q for r in exact_percentile(df, ["k"], "v", 0.5, "q", bands=bands).collect()}
-        assert got == {0: 499.0, None: 499.0, 7: 5.0}, (lo, hi)
+        for most in (0, 10_000):
+            got = {r.k: r.q for r in exact_percentile(df, ["k"], "v", 0.5, "q", bands=bands, window_values=most).collect()}
+            assert got == {0: 499.0, None: 499.0, 7: 5.0}, (lo, hi)
 
 
 def test_nan_sorts_last_and_whole_table(spark):

@@ -138,6 +138,10 @@ def test_unreadable_paths_are_named_and_tried_again(spark, tmp_path, month_files
     inputs = {"2021-01": [*month_files(1), missing]}
     store = MonthStates(spark, str(tmp_path / "store"))
     assert store.refresh(inputs).skipped == [(missing, "not_found")]
+    gone = store.refresh({**inputs, "2021-03": [str(tmp_path / "none")]})
+    assert gone.skipped[-1] == (str(tmp_path / "none"), "not_found") and store.summary().where("dt_month = 1").count() == 28
+    with pytest.raises(FileNotFoundError):
+        MonthStates(spark, str(tmp_path / "other")).refresh({"2021-03": [str(tmp_path / "none")]})
     spark.createDataFrame(trips(2), DDL).write.parquet(missing)
     assert store.refresh(inputs).read == ["2021-01"]
     assert store.summary().where("dt_month = 2").count() > 0
