@@ -15,8 +15,11 @@ Work layout: vectors equal in every component are one entry that carries its
 ``top + 1`` smallest ids (no answer needs more), so a vector that a third of
 the rows share is one entry. Entries lie in blocks of about ``BLOCK`` by their
 first centroid, queries in packs of about ``PACK`` by the first centroid they
-visit (with the list of second ones); blocks meet packs in a join on that
-centroid, so the size of no task depends on how full a cell is.
+visit (with the list of second ones). A pack goes to every block of its
+centroid: both are joined on centroid and block number, so a key is one block
+and a full cell is many keys. The codebooks grow with the square root of the
+number of entries (``size_of_codebooks``), and the sample they are fitted on
+with them, up to ``MOST_SAMPLE`` vectors.
 
 Defined results: vectors that are NULL, empty, zero, hold NULL or non-finite
 components, or differ in length from the most frequent length (ties: the
@@ -39,6 +42,13 @@ from pyspark.sql import functions as F
 from daybook.llm.common import checkpointed, col, kept, map_arrow
 
 BLOCK, PACK = 512, 256
+LEAST_K, MOST_K = 32, 512  # centroids of a half; k * k cells are counted on the driver (2 MB at most)
+MOST_SAMPLE = 40_000
+
+
+def size_of_codebooks(n: int) -> int:
+    """Centroids per half for ``n`` entries: a cell holds about 32 on average until MOST_K is reached."""
+    return max(LEAST_K, min(MOST_K, round((n / 32) ** 0.5)))
 
 
 def half_distances(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
@@ -169,15 +179,16 @@ def nearest(
     key: str = "vec_id",
     vector: str = "embedding",
     top: int = 10,
-    k: int = 32,
-    sample: int = 10_000,
+    k: int | None = None,
+    sample: int | None = None,
     target_recall: float = 0.98,
 ) -> DataFrame:
     """The ``top`` nearest rows of ``vectors`` found for each row of ``queries``, itself excluded.
 
     Columns ``query_id, rank, vec_id, score`` (Euclidean distance in double
-    precision). ``sample`` bounds the rows that the codebooks are fitted on;
-    every row is indexed.
+    precision). ``k`` (default: by the number of entries) is the size of each
+    half's codebook, ``sample`` (default: 10,000 or 64 a centroid, MOST_SAMPLE
+    at most) bounds the rows that both are fitted on; every row is indexed.
     """
     spark = vectors.sparkSession
     usable = usable_vectors(vectors, key, vector)
@@ -188,6 +199,8 @@ def nearest(
     if not n:
         return spark.createDataFrame([], result)
 
+    k = k or size_of_codebooks(n)
+    sample = sample or min(MOST_SAMPLE, max(10_000, 64 * k))
     part = min(1.0, 1.1 * sample / n)
     drawn = entries.where(F.pmod(F.xxhash64("vid"), F.lit(1_000_000)) < int(part * 1_000_000))
     rows = drawn.select("vec").limit(sample).collect() or entries.select("vec").limit(sample).collect()
@@ -225,19 +238,15 @@ def nearest(
 
     def packed(df: DataFrame, by: str, pieces, names: list[str], out: str) -> DataFrame:
         number = F.pmod(F.xxhash64(by), pieces).alias("piece")
-        return (
-            df.select("i", number, F.struct(*names).alias("s"))
-            .groupBy("i", "piece")
-            .agg(F.collect_list("s").alias(out))
-            .drop("piece")
-        )
-
-    pieces = F.element_at(
-        F.array(*[F.lit(int(max(1, -(-int(c) // BLOCK)))) for c in counts.sum(1)]), F.col("i") + 1
-    )
-    blocks = packed(placed, "vid", pieces, ["j", "vec", "ids"], "entries")
+        return df.select("i", number, F.struct(*names).alias("s")).groupBy("i", "piece").agg(F.collect_list("s").alias(out))
+
+    # Blocks of each first centroid, known from the counted cells.
+    n_blocks = [int(max(1, -(-int(c) // BLOCK))) for c in counts.sum(1)]
+    pieces = F.element_at(F.array(*[F.lit(c) for c in n_blocks]), F.col("i") + 1)
+    blocks = packed(placed, "vid", pieces, ["j", "vec", "ids"], "entries").withColumnRenamed("piece", "block")
     probes = map_arrow(asked, probe, "i int, qid long, vec array<double>, js array<int>")
     packs = packed(probes, "qid", F.lit(max(1, -(-n_asked // PACK))), ["qid", "vec", "js"], "asked")
+    packs = packs.withColumn("block", F.explode(F.sequence(F.lit(0), (pieces - 1).cast("int"))))
 
     def rerank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -269,7 +278,7 @@ def nearest(
                 [pa.array(c, type=t) for c, t in zip(out, kinds)], names=["qid", "d", "ids"]
             )
 
-    met = blocks.join(packs, "i").select("entries", "asked")
+    met = blocks.join(packs.drop("piece"), ["i", "block"]).select("entries", "asked")
     partial = map_arrow(met, rerank, "qid long, d array<double>, ids array<long>")
     near = F.flatten(F.collect_list(F.arrays_zip("d", "ids")))
     found = partial.groupBy("qid").agg(F.slice(F.array_sort(near), 1, top + 1).alias("near"))
