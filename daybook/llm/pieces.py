@@ -11,7 +11,12 @@ alone: the same row gives the same pieces in any partition or batch.
 No piece continues past a space, so the lattice falls apart into units (spaces
 and the word after them). Units are numbered per chunk of texts; the lattices
 of the distinct ones are built together in numpy, and the backward pass walks
-all occurrences at once, one step for all.
+all occurrences at once, one step for all. A unit of more than ``LONG``
+characters (a text without spaces) would be as many steps with one unit each:
+it is walked on its own, node by node, in both passes.
+
+A node's shares are whole numbers of 2**32 and so are the random numbers: where
+a unit stands among others changes no rounding and no draw.
 
 Characters without a piece are spelled in byte pieces, also a literal ``▁``, so
 decoding gives back every text exactly.
@@ -23,7 +28,9 @@ without key is seeded as key 0; equal rows get equal pieces.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from functools import lru_cache
+from math import exp, log
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +43,8 @@ SPACE, LITERAL = 0x2581, 0x110000  # the sign that stands for a space; a literal
 UNIT = re.compile(" *[^ ]+| +")
 STEP = U(0x9E3779B97F4A7C15)
 TEXT_AT_ONCE = 1_500_000
+LONG = 400  # characters
+SHARE_BITS = 32
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -99,10 +108,34 @@ class Lattices:
         self.start, end, self.piece, weight, depth = (x[order] for x in (start, end, piece, weight, depth))
         total = np.full(len(code) + len(units), -np.inf)
         total[self.base] = 0.0
-        deepest = int(size.max(initial=0))
-        order = np.argsort(depth.astype(np.int16) if deepest < 1 << 15 else depth, kind="stable")
+        self.long = size > LONG
+        deepest = int(size[~self.long].max(initial=0))
+        self.forward(total, end, weight, depth, deepest)
+
+        share = np.exp(total[self.start] + weight - total[end])
+        share = np.minimum((share * 2.0**SHARE_BITS).astype(np.int64), 1 << SHARE_BITS)
+        n_edges = np.bincount(end, minlength=len(total))
+        self.last = np.cumsum(n_edges) - 1  # last incoming edge of each node
+        sums = np.cumsum(share)
+        first = self.last - n_edges + 1
+        before = np.where(first > 0, sums[np.maximum(first - 1, 0)], 0)
+        upto = np.minimum(sums - before[end], 1 << SHARE_BITS)
+        upto[self.last[n_edges > 0]] = 1 << SHARE_BITS  # whatever rounding left over
+        self.limit = (end.astype(np.int64) << (SHARE_BITS + 1)) + upto
+
+    def forward(self, total: np.ndarray, end: np.ndarray, weight: np.ndarray, depth: np.ndarray, deepest: int) -> None:
+        """Fills in ``total``, the logarithm of the weight of all paths to each node."""
+        walked = np.zeros(len(total), dtype=bool)
+        for k in np.flatnonzero(self.long).tolist():
+            walked[self.base[k] : self.end[k] + 1] = True
+            a, b = np.searchsorted(end, [self.base[k] + 1, self.end[k] + 1])
+            total[self.base[k] : self.end[k] + 1] = _walk_forward(
+                (self.start[a:b] - self.base[k]).tolist(), (end[a:b] - self.base[k]).tolist(), weight[a:b].tolist()
+            )
+        depth = np.where(walked[end], 0, depth)
+        order = np.argsort(depth.astype(np.int16), kind="stable")
         cuts = np.searchsorted(depth[order], np.arange(1, deepest + 2))
-        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):  # forward: all units' nodes of one depth
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):  # all units' nodes of one depth
             edges = order[a:b]
             e = end[edges]
             group = np.flatnonzero(np.append(True, e[1:] != e[:-1]))
@@ -111,26 +144,21 @@ class Lattices:
             sums = np.add.reduceat(np.exp(value - np.repeat(top, np.diff(np.append(group, b - a)))), group)
             total[e[group]] = top + np.log(sums)
 
-        share = np.exp(total[self.start] + weight - total[end])
-        group = np.flatnonzero(np.append(True, end[1:] != end[:-1])) if len(end) else np.zeros(0, np.int64)
-        sums = np.cumsum(share)
-        before = np.repeat(sums[group] - share[group], np.diff(np.append(group, len(end))))
-        self.last = np.cumsum(np.bincount(end, minlength=len(total))) - 1  # last incoming edge of each node
-        self.limit = end + np.minimum(sums - before, 1.0)
-        if len(group):
-            self.limit[np.append(group[1:], len(end)) - 1] = end[group] + 1.0
-
     def draw(self, unit: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pieces of each occurrence in order, and their number per occurrence."""
         node, stop = self.end[unit].copy(), self.base[unit]
-        open_, step = np.arange(len(unit)), 0
         places, found, steps = [], [], []
         count = np.zeros(len(unit), dtype=np.int64)
+        for i in np.flatnonzero(self.long[unit]).tolist():
+            drawn = self._walk_back(int(unit[i]), seed[i])
+            places.append(np.full(len(drawn), i, dtype=np.int32))
+            found.append(np.array(drawn, dtype=np.int32))
+            steps.append(np.arange(len(drawn), dtype=np.int32))
+            count[i] = len(drawn)
+        open_, step = np.flatnonzero(~self.long[unit]), 0
         while len(open_):
-            u = (mixed(seed[open_] + np.array([step], dtype=U) * STEP) >> U(11)).astype(np.float64) * 2.0**-53
-            e = np.searchsorted(self.limit, node[open_] + u, side="right")
-            # Rounding of node + u can only reach the next node's edges: stay with the last of one's own.
-            e = np.minimum(e, self.last[node[open_]])
+            u = (mixed(seed[open_] + np.array([step], dtype=U) * STEP) >> U(64 - SHARE_BITS)).astype(np.int64)
+            e = np.searchsorted(self.limit, (node[open_] << (SHARE_BITS + 1)) + u, side="right")
             places.append(open_.astype(np.int32))
             found.append(self.piece[e])
             steps.append(np.full(len(open_), step, dtype=np.int32))
@@ -144,6 +172,33 @@ class Lattices:
             out[np.cumsum(count)[place] - 1 - step_of] = np.concatenate(found)  # drawn from the end
         return out, count
 
+    def _walk_back(self, unit: int, seed: np.uint64) -> list[int]:
+        """Pieces of one occurrence of a long unit, drawn from its end."""
+        base, end = int(self.base[unit]), int(self.end[unit])
+        low = int(self.last[base]) + 1  # a unit's first node has no incoming edge
+        high = int(self.last[end]) + 1
+        limit, start, piece = (x[low:high].tolist() for x in (self.limit, self.start, self.piece))
+        u = (mixed(seed + np.arange(end - base, dtype=U) * STEP) >> U(64 - SHARE_BITS)).tolist()
+        node, drawn = end, []
+        while node > base:
+            e = bisect_right(limit, (node << (SHARE_BITS + 1)) + u[len(drawn)])
+            drawn.append(piece[e])
+            node = start[e]
+        return drawn
+
+
+def _walk_forward(start: list[int], end: list[int], weight: list[float]) -> list[float]:
+    """``total`` of one unit's nodes from its edges in the order of their ends."""
+    total, i, n = [0.0], 0, len(end)
+    while i < n:
+        node, values = end[i], []
+        while i < n and end[i] == node:
+            values.append(total[start[i]] + weight[i])
+            i += 1
+        top = max(values)
+        total.append(top + log(sum(exp(v - top) for v in values)))
+    return total
+
 
 class Pieces:
     """The pieces of a SentencePiece model, for sampling and decoding."""
