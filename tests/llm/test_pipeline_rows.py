@@ -1,0 +1,71 @@
+"""The stages of the pipeline on rows with NULL and repeated ids, NULL texts and columns of clashing names."""
+
+from collections import Counter
+
+import pytest
+
+import corpus_pipeline
+from daybook.llm import secrets, toxicity
+from tests.llm.test_minhash import chain
+
+KEY = "sk_live_" + "4eC39HqLyjWDarjtT1zdp7dc"
+
+
+@pytest.fixture(scope="module")
+def docs(spark, sf0001):
+    a, near, _ = chain()
+    item = spark.read.parquet(f"{sf0001}/benchmark.parquet").first().text
+    rows = [
+        (1, a), (1, near), (2, near), (None, a + " end"), (None, None), (7, None), (7, None), (8, ""), (9, "one"),
+        (10, f"before {item} after"), (None, f"{item}"), (11, f'token = "{KEY}" in the text'), (11, "another text with the id of a secret one"),
+        (12, "the same row twice over here"), (12, "the same row twice over here"),
+    ]
+    rows = [(i, t, "en", "s", len(t) if t is not None else None) for i, t in rows]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for name in ("_at", "_times", "row", "node", "at", "a.b", "c0", "score", "held_out"):
+        df = df.selectExpr("*", f"'x' AS `{name}`")
+    return df
+
+
+def told(df):
+    return Counter((r.doc_id, r.text) for r in df.select("doc_id", "text").collect())
+
+
+def test_each_stage_on_odd_rows(spark, docs, sf0001):
+    stages = dict(corpus_pipeline.STAGES)
+    model = toxicity.train(docs, spark.read.parquet(f"{sf0001}/labels.parquet"))
+    clean = stages["toxicity"](spark, docs, sf0001)
+    assert clean.columns == docs.columns
+    scores = toxicity.score(docs, model).collect()
+    assert clean.count() == sum(1 - r.predicted for r in scores)
+
+    a, near, _ = chain()
+    single = stages["near_dedup"](spark, docs, sf0001)
+    assert single.columns == docs.columns
+    before, after = told(docs), told(single)
+    assert set(after) <= set(before) and max(after.values()) == 1
+    assert sum((i, t) in after for i, t in ((1, a), (1, near), (2, near), (None, a + " end"))) == 1
+    group = {(1, a), (1, near), (2, near), (None, a + " end")}
+    assert set(before) - set(after) <= group | {(10, t) for i, t in before if i == 10} | {(None, t) for i, t in before if i is None}
+
+    clear = stages["decontamination"](spark, docs, sf0001)
+    assert clear.columns == docs.columns
+    gone = told(docs) - told(clear)
+    assert {i for i, _ in gone} == {10, None} and sum(gone.values()) == 2 and told(clear)[(7, None)] == 2
+
+    masked = stages["secrets"](spark, docs, sf0001)
+    assert masked.columns == docs.columns and masked.count() == docs.count()
+    want = Counter((i, t if t is None else secrets.redacted(t, secrets.secret_spans(t))) for (i, t), n in told(docs).items() for _ in range(n))
+    assert told(masked) == want and not any(KEY in (t or "") for _, t in want)
+
+    final = stages["sentencepiece"](spark, docs, sf0001).collect()
+    assert len(final) == docs.count() and all(r.lossless for r in final)
+    assert Counter(r.doc_id for r in final) == Counter(i for (i, _), n in told(docs).items() for _ in range(n))
+
+
+def test_stages_on_an_empty_table_with_such_columns(spark, docs, sf0001):
+    none = docs.where("false")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, none, sf0001)
+        assert out.columns == docs.columns and out.collect() == [], name
+    assert corpus_pipeline.STAGES[-1][1](spark, none, sf0001).collect() == []
