@@ -30,7 +30,6 @@ import json
 import os
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -46,8 +45,9 @@ SPAN = 16  # bytes of the rolling hash
 CUT_BITS = 9  # a cut about every 512 bytes
 LEAST, MOST = 64, 4096  # bytes of a chunk; LEAST > SPAN, so that no hash reaches into the text before
 BLOCK = 1 << 22  # bytes hashed at once
-CACHE_CHUNKS = 8_000_000  # code points of chunks remembered by a worker, at least (a cache, not a cap on results)
-IDS_PER_SLICE = 2_000_000  # ids decoded at once
+TEXT_AT_ONCE = 4_000_000  # bytes of text handled at once
+CACHE_CHUNKS = 4_000_000  # code points of chunks remembered by a worker, at least (a cache, not a cap on results)
+IDS_PER_SLICE = 1_000_000  # ids decoded at once
 
 # Places where a pre-token ends in any context: before what does not go on with the letters, digits or
 # characters other than white space that stand before it.
@@ -102,11 +102,11 @@ def _forced(joined: bytes, start: int, end: int) -> list[int]:
 
 
 class Vocabulary:
-    """The tokens' bytes of a byte-level BPE tokenizer file."""
+    """The tokens' bytes of a byte-level BPE tokenizer file, in one row of bytes."""
 
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as f:
-            self.spec = spec = json.load(f)
+            spec = json.load(f)
         pre = spec["pre_tokenizer"]
         level = pre["type"] == "ByteLevel" and pre["use_regex"] and not pre["add_prefix_space"]
         plain = not any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in spec["added_tokens"])
@@ -114,11 +114,38 @@ class Vocabulary:
             raise ValueError("a byte-level BPE tokenizer without a normalizer is needed")
         byte = {c: b for b, c in enumerate(byte_symbols())}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.plain = {bytes(byte[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in self.special}
-        self.bytes = {i: t for t, i in self.plain.items()} | {i: t.encode() for t, i in self.special.items()}
-
-    def decode(self, ids: list[int] | None) -> str:
-        return b"".join(map(self.bytes.get, ids or (), repeat(b""))).decode("utf-8", "replace")
+        tokens = {i: bytes(byte[c] for c in t) for t, i in spec["model"]["vocab"].items() if t not in self.special}
+        tokens |= {i: t.encode() for t, i in self.special.items()}
+        row = [tokens.get(i, b"") for i in range(max(tokens) + 2)]  # the last number stands for ids without a token
+        self.sizes = np.array([len(t) for t in row], dtype=np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.data = np.frombuffer(b"".join(row), dtype=np.uint8)
+
+    def ranks(self) -> dict[bytes, int]:
+        """Token -> id, without the special ones: a merge's rank is its token's id."""
+        raw, special = self.data.tobytes(), set(self.special.values())
+        ends = zip(self.starts.tolist(), self.sizes.tolist())
+        return {raw[a : a + n]: i for i, (a, n) in enumerate(ends) if n and i not in special}
+
+    def decode(self, lists: pa.ListArray) -> pa.Array:
+        """The texts of lists of ids: the tokens' bytes gathered for all lists at once."""
+        counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        ids = pc.fill_null(lists.flatten(), -1).to_numpy(zero_copy_only=False)
+        none = len(self.sizes) - 1
+        ids = np.where((ids >= 0) & (ids < none), ids, none)
+        size = self.sizes[ids]
+        ends = np.cumsum(size)
+        at = np.repeat(self.starts[ids] - (ends - size), size)
+        at += np.arange(len(at))
+        data = self.data[at]
+        offsets = np.append(0, ends)[np.append(0, np.cumsum(counts))]
+        texts = pa.StringArray.from_buffers(len(counts), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data))
+        try:
+            texts.validate(full=True)
+            return texts
+        except pa.ArrowInvalid:  # some bytes are no UTF-8
+            raw = data.tobytes()
+            return pa.array([raw[a:b].decode("utf-8", "replace") for a, b in zip(offsets, offsets[1:])], pa.string())
 
 
 class Chunk:
@@ -138,15 +165,13 @@ class Codec:
         import tiktoken
         from tokenizers import Tokenizer
 
-        words = Vocabulary(path)
+        self.words = words = Vocabulary(path)
         self.library = Tokenizer.from_file(path)
         self.library.no_padding()
         self.library.no_truncation()
-        # The same merges by rank, for short stretches of text: a token's id is its merge's rank.
-        self.short = tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=words.plain, special_tokens={}).encode_ordinary
-        self.sizes = np.zeros(max(words.bytes) + 1, dtype=np.int64)
-        for i, t in words.bytes.items():
-            self.sizes[i] = len(t)
+        # The same merges by rank, for short stretches of text.
+        self.short = tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=words.ranks(), special_tokens={}).encode_ordinary
+        self.sizes = words.sizes
         self.special = words.special
         names = sorted(self.special, key=len, reverse=True)
         self.marks = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
@@ -233,15 +258,26 @@ def encode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "te
 
     ``tokenizer`` is the path of a byte-level BPE ``.json`` file that every executor can open.
     """
+    return _coded(docs, tokenizer, key, text, False)
+
+
+def encode_and_decode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``encode``, with the text that the ids are decoded to: ``doc_id, ids, text``. One worker does both."""
+    return _coded(docs, tokenizer, key, text, True)
+
+
+def _coded(docs: DataFrame, tokenizer: str, key: str, text: str, both: bool) -> DataFrame:
     narrow = docs.select(col(key).cast("long").alias("doc_id"), col(text).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, 1):
-            ids, counts = codec(tokenizer).encode([t or "" for t in part.column(1).to_pylist()])
+        for part in slices(batches, 1, TEXT_AT_ONCE):
+            c = codec(tokenizer)
+            ids, counts = c.encode([t or "" for t in part.column(1).to_pylist()])
             lists = pa.ListArray.from_arrays(pa.array(counts, pa.int32()), pa.array(ids, pa.int32()))
-            yield pa.RecordBatch.from_arrays([part.column(0), lists], names=["doc_id", "ids"])
+            columns = [part.column(0), lists, c.words.decode(lists)] if both else [part.column(0), lists]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "text"][: len(columns)])
 
-    return map_arrow(narrow, run, "doc_id long, ids array<int>")
+    return map_arrow(narrow, run, "doc_id long, ids array<int>" + ", text string" * both)
 
 
 def decode(rows: DataFrame, tokenizer: str, ids: str = "ids", text: str = "text") -> DataFrame:
@@ -252,8 +288,7 @@ def decode(rows: DataFrame, tokenizer: str, ids: str = "ids", text: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 0, IDS_PER_SLICE, pc.list_value_length):
-            texts = [vocabulary(tokenizer).decode(r) for r in part.column(0).to_pylist()]
-            columns = [pa.array(texts, pa.string()), *part.columns[1:]]
+            columns = [vocabulary(tokenizer).decode(part.column(0)), *part.columns[1:]]
             yield pa.RecordBatch.from_arrays(columns, names=part.schema.names)
 
     out = map_arrow(plain, run, shown.schema)
@@ -262,12 +297,11 @@ def decode(rows: DataFrame, tokenizer: str, ids: str = "ids", text: str = "text"
 
 def round_trip(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_tokens``, the digest of its ids and that of the text decoded from them."""
-    ids = encode(docs, tokenizer, key, text).select(
+    rows = encode_and_decode(docs, tokenizer, key, text)
+    joined = F.concat_ws(",", F.col("ids").cast("array<string>"))
+    return rows.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
-        "ids",
-    )
-    return decode(ids, tokenizer).select(
-        "doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256")
+        F.sha2(joined.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
     )
