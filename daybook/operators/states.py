@@ -201,13 +201,15 @@ class MonthStates:
         except NothingRead as exc:
             return exc
 
-    def refresh(self, inputs: Mapping[str, Sequence[str]], schema: T.StructType | None = None) -> Refreshed:
+    def refresh(
+        self, inputs: Mapping[str, Sequence[str]], schema: T.StructType | None = None, required: bool = True
+    ) -> Refreshed:
         """Bring the store to exactly the months of ``inputs`` (month -> its paths); reads only what is new or changed.
 
         New states are written to a folder of their own and become visible
         with the next version of the manifest. Paths that can't be read are
         left out as in ``read_months`` and named in the result; their month is
-        read again next time. Raises where no month holds anything.
+        read again next time. Raises where no month holds anything, unless nothing is ``required``.
         """
         marks = self.marks(inputs)
         held = {r.month: r for r in self.manifest.rows().collect()}  # one row per month
@@ -221,7 +223,7 @@ class MonthStates:
             skipped = [x for loaded in loads for x in loaded.skipped]
             whole = [not loaded.skipped for loaded in loads]
             parts = [x.df.withColumn("_month", F.lit(m)) for m, x in zip(read, loads) if not isinstance(x, NothingRead)]
-            if not parts and not kept:
+            if not parts and not kept and required:
                 raise NothingRead(skipped)
             folder = f"{self.root}/states/{uuid.uuid4().hex}"
             counts = {}

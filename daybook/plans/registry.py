@@ -20,6 +20,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daybook.functions.time import epoch_seconds, with_date_parts, year_equals, year_range
 from daybook.operators.activity import (
@@ -252,6 +253,11 @@ def daily_comments(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
+def comment_days(spark: SparkSession, sf_dir: str) -> T.StructType:
+    """The schema of ``daily_comments``."""
+    return comments(spark, sf_dir).schema.add("mm", T.IntegerType()).add("dd", T.IntegerType())
+
+
 def q_daily_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Mergeable states per (day, salt), then per day; a day of at most k fares is exact.
     return sketched_summary(table(spark, sf_dir, "lineitem"), LINEITEM_TRIPS, year=KEPT_YEAR, mean_digits=MEAN_DIGITS)
@@ -277,15 +283,16 @@ def q_stored_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = monthly_trips(spark, sf_dir)
     months = {f"{KEPT_YEAR}-{m:02d}": [f"{root}/yyyy={KEPT_YEAR}/mm={m:02d}"] for m in range(1, 13)}
     store = MonthStates(spark, scratch(spark, "months"), LINEITEM_TRIPS)
-    store.refresh({m: p for m, p in months.items() if not m.endswith("-12")})
-    second = store.refresh(months)
+    store.refresh({m: p for m, p in months.items() if not m.endswith("-12")}, required=False)
+    second = store.refresh(months, required=False)
     return store.summary(mean_digits=MEAN_DIGITS).withColumn("months_read", F.lit(len(second.read)))
 
 
 def q_indexed_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Monthly files chosen by the bounds in their footers before the scan is planned.
     index = index_files(spark, [monthly_trips(spark, sf_dir)], "l_shipdate")
-    period = read_period(spark, index, "l_shipdate", KEPT_YEAR, FIRST_MONTHS)
+    schema = table(spark, sf_dir, "lineitem").schema
+    period = read_period(spark, index, "l_shipdate", KEPT_YEAR, FIRST_MONTHS, schema)
     months = month_counts(period.df, "l_shipdate", KEPT_YEAR, FIRST_MONTHS)
     return months.withColumns({"files_read": F.lit(period.files_read), "files_total": F.lit(period.files_total)})
 
@@ -317,22 +324,24 @@ def q_copied_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     src, dst = daily_comments(spark, sf_dir), scratch(spark, "copy")
     copy_new(spark, src, dst, ("mm", "dd"))
     again = copy_new(spark, src, dst, ("mm", "dd"))
-    counts = read_copy(spark, dst).groupBy("mm", "dd").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
+    copied = read_copy(spark, dst, schema=comment_days(spark, sf_dir))
+    counts = copied.groupBy("mm", "dd").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
     return counts.withColumn("copied_again", F.lit(again.files))
 
 
 def q_staged_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The days of a month staged twice: a rerun rewrites its partitions and doubles nothing.
-    src, dst = daily_comments(spark, sf_dir), scratch(spark, "staged")
-    for m in [r.mm for r in spark.read.parquet(src).select("mm").distinct().collect()]:  # at most twelve
+    src, dst, schema = daily_comments(spark, sf_dir), scratch(spark, "staged"), comment_days(spark, sf_dir)
+    spark.createDataFrame([], schema).write.partitionBy("mm", "dd").parquet(dst)
+    for m in [r.mm for r in spark.read.schema(schema).parquet(src).select("mm").distinct().collect()]:  # at most twelve
         for _ in range(2):
             stage(spark, src, dst, {"mm": m}, ("mm", "dd"))
-    return spark.read.parquet(dst).groupBy("mm", "dd").agg(F.count(F.lit(1)).alias("n"))
+    return spark.read.schema(schema).parquet(dst).groupBy("mm", "dd").agg(F.count(F.lit(1)).alias("n"))
 
 
 def q_partitioned_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The partition columns are filters on directories; they stay columns.
-    one = read_partitioned(spark, daily_comments(spark, sf_dir), {"mm": 1, "dd": 5})
+    one = read_partitioned(spark, daily_comments(spark, sf_dir), {"mm": 1, "dd": 5}, schema=comment_days(spark, sf_dir))
     return one.select("event_id", "user_id", "event_type", "created_utc", "mm", "dd")
 
 

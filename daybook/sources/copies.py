@@ -18,6 +18,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daybook.sources.errors import OK
 from daybook.sources.footers import opens
@@ -111,18 +112,26 @@ def copy_new(
     return Copied(parts, told.count(), sum(want.values()), total)
 
 
-def read_copy(spark: SparkSession, dst_root: str, where: Mapping[str, object] | None = None) -> DataFrame:
-    """The published rows of a copy, with the partition columns; raises ``FileNotFoundError`` where none is published."""
+def read_copy(
+    spark: SparkSession, dst_root: str, where: Mapping[str, object] | None = None, schema: T.StructType | None = None
+) -> DataFrame:
+    """The published rows of a copy, with the partition columns.
+
+    Where none is published the result is empty with the ``schema`` given, else ``FileNotFoundError`` is raised.
+    """
     runs: dict[str, list[str]] = {}
     published = manifest(spark, dst_root).rows().where("rows > 0").select("part", "run").distinct()
     for r in published.orderBy("part").collect():  # one row per partition
         runs.setdefault(r.run, []).append(r.part)
+    if not runs and schema is not None:
+        return spark.createDataFrame([], schema)
     if not runs:
         raise FileNotFoundError(f"nothing published in {dst_root}")
     parts = []
     for run, directories in runs.items():
         base = f"{dst_root.rstrip('/')}/run={run}"
-        parts.append(spark.read.option("basePath", base).parquet(*[f"{base}/{d}" for d in directories]))
+        reader = spark.read.schema(schema) if schema is not None else spark.read
+        parts.append(reader.option("basePath", base).parquet(*[f"{base}/{d}" for d in directories]))
     df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     for k, v in (where or {}).items():
         df = df.where(F.col(k) == F.lit(v))

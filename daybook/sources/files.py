@@ -313,15 +313,19 @@ def read_partitioned(
     spark: SparkSession,
     root: str,
     where: Mapping[str, object] | None = None,
+    schema: T.StructType | None = None,
     **options: object,
 ) -> DataFrame:
     """Read a hive-partitioned tree (``yyyy=2024/mm=01/...``) from its root.
 
     Reading the root keeps the partition columns; equality filters on them
     become ``PartitionFilters`` so only the matching directories are listed
-    and read.
+    and read. A ``schema`` (partition columns included) lets an empty tree be read.
     """
-    df = read_parquet(spark, root, **options)
+    if schema is not None:
+        df = spark.read.options(**check_options(options)).schema(schema).parquet(root)
+    else:
+        df = read_parquet(spark, root, **options)
     for k, v in (where or {}).items():
         df = df.where(F.col(k) == F.lit(v))
     return df

@@ -114,13 +114,16 @@ def read_period(
 
     Files whose footers do not tell their bounds are read; unreadable ones
     are not (the index names them). Files are grouped by footer, as in
-    ``read_months``. Raises ``FileNotFoundError`` where no file is left.
+    ``read_months``. Where no file is left the result is empty with the
+    ``schema`` given, else ``FileNotFoundError`` is raised.
     """
     low, high = date_bounds(spark, year, months)
     total = index.count()
     groups: dict[tuple[str, str | None], list[str]] = {}
     for r in overlapping(index, low, high).select("root", "path", "signature").orderBy("path").collect():
         groups.setdefault((r.signature, None if r.root == r.path else r.root), []).append(r.path)
+    if not groups and schema is not None:
+        return Period(spark.createDataFrame([], schema), 0, total)
     if not groups:
         raise FileNotFoundError(f"none of {total} files holds rows of {year} {months or ''}".rstrip())
     df = combined(spark, groups, schema, {})
