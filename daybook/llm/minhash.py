@@ -23,7 +23,10 @@
    other pair needs common differences, and a prefix filter, rarest elements
    first, meets only pairs that share one of their rarest ones: near copies of
    one text with edits of their own share none, however many they are. Such
-   pairs are verified on the full sets; new links join the components.
+   pairs are decided exactly by their differences, which come from the full sets;
+   new links join the components. (Form letters that are too far apart for a
+   link but share some of few field values do share rare elements: there the
+   filter lets a fixed share of the family's pairs through, as numbers, not texts.)
 
 ``bands = 30, rows = 5`` misses a pair of similarity 0.8 with probability
 (1 - 0.8**5)**30 = 7e-6, and closer pairs far less often.
@@ -199,6 +202,14 @@ def verify(pairs: DataFrame, texts: DataFrame, width: int, differences: bool = F
     return map_arrow(full, run, fields)
 
 
+def with_family(members: DataFrame, facts: DataFrame, how: str = "inner") -> DataFrame:
+    """``members`` with the ``facts`` (one row) of their ``family``; a hot family's members meet it in SALTS parts."""
+    salted = members.withColumn("part", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
+    copies = facts.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    # Merged, not broadcast: the copies compress so well that their size is misjudged.
+    return salted.join(copies.hint("merge"), ["family", "part"], how).drop("part")
+
+
 def linked(percent: int) -> Column:
     """``100 * |A & B| >= percent * |A | B|`` from ``na``, ``nb`` and ``apart``."""
     total = F.col("na") + F.col("nb")
@@ -218,7 +229,7 @@ def to_consensus(members: DataFrame) -> DataFrame:
     sizes = size.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     most = often.withColumn("part", part).join(sizes, ["family", "part"]).where("2 * f > size")
     turned = most.groupBy("family").agg(F.collect_list("e").alias("turned"))
-    both = members.join(turned, "family", "left")
+    both = with_family(members, turned, "left")
     difference = F.when(F.col("turned").isNull(), F.col("difference")).otherwise(
         F.concat(F.array_except("difference", "turned"), F.array_except("turned", "difference"))
     )
@@ -231,7 +242,7 @@ def slack(percent: int) -> Column:
 
 
 def unmet_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``a, b`` of one family's members in different components that may be linked.
+    """Pairs ``family, a, b`` of one family's members in different components that may be linked.
 
     ``members``: ``family, node, root, n, apart, difference`` and of the family ``center_root``
     (component of the member of least slack). A link allows a difference of at
@@ -250,7 +261,7 @@ def unmet_pairs(members: DataFrame, percent: int) -> DataFrame:
         F.max("n").alias("most_n"), F.min(F.when(~inside, a)).alias("least_outside"),
         F.min("root").alias("lo"), F.max("root").alias("hi"),
     )
-    members = members.join(family.where("lo != hi"), "family")
+    members = with_family(members, family.where("lo != hi"))
     t = F.floor(far * (n + F.least(F.col("most_n"), F.floor(n * 100 / percent))) / near)
     least_small = F.greatest(
         F.lit(1), F.ceil(a - t / 2), F.when(inside, F.ceil((a + F.col("least_outside") - t) / 2)).otherwise(F.lit(1))
@@ -288,7 +299,20 @@ def unmet_pairs(members: DataFrame, percent: int) -> DataFrame:
         & order
         & (near * (F.col("y.apart") - F.col("x.apart")) <= far * (F.col("x.n") + F.col("y.n"))),
     )
-    return met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    return met.select(F.col("x.family").alias("family"), F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+
+
+def told_apart(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """``a, b, na, nb, apart`` of pairs of one family, exactly, from the members' differences to their consensus.
+
+    ``x ^ y`` equals ``Dx ^ Dy``: no text is fetched for a pair.
+    """
+    side = lambda c: members.select(
+        "family", F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("difference").alias(f"d{c}")
+    )
+    both = pairs.join(side("a"), ["family", "a"]).join(side("b"), ["family", "b"])
+    common = F.size(F.array_intersect("da", "db"))
+    return both.select("a", "b", "na", "nb", (F.size("da") + F.size("db") - 2 * common).cast("long").alias("apart"))
 
 
 def further_links(pairs: DataFrame, found: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame | None:
@@ -298,7 +322,7 @@ def further_links(pairs: DataFrame, found: DataFrame, texts: DataFrame, width: i
     family = of.select("family", F.col("a").alias("node")).union(of.select("family", "b")).distinct()
     family = family.join(found, "node", "left").select("family", "node", F.coalesce("root", "node").alias("root"))
     several = family.groupBy("family").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
-    family = checkpointed(family.join(several.select("family"), "family"))
+    family = checkpointed(with_family(family, several.select("family")))
     if family.isEmpty():
         return None
 
@@ -312,7 +336,7 @@ def further_links(pairs: DataFrame, found: DataFrame, texts: DataFrame, width: i
     members = kept(members)
     centers = members.groupBy("family").agg(F.min(F.struct("slack", "node")).alias("c"))
     centers = centers.select("family", F.col("c.node").alias("center"), F.col("c.slack").alias("least"))
-    sure = members.join(centers, "family").where((F.col("slack") + F.col("least") <= 0) & (F.col("node") != F.col("center")))
+    sure = with_family(members, centers).where((F.col("slack") + F.col("least") <= 0) & (F.col("node") != F.col("center")))
     sure = checkpointed(sure.select(F.col("node").alias("a"), F.col("center").alias("b")))
 
     joined = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).where("a != b").union(sure))
@@ -320,8 +344,8 @@ def further_links(pairs: DataFrame, found: DataFrame, texts: DataFrame, width: i
     open_ = members.join(rooted, "node", "left").withColumn("root", F.coalesce("root", "node"))
     center_roots = centers.join(rooted.withColumnRenamed("node", "center"), "center", "left")
     center_roots = center_roots.select("family", F.coalesce("root", "center").alias("center_root"))
-    more = checkpointed(unmet_pairs(open_.join(center_roots, "family"), percent))
-    met = verify(more, texts, width).where(linked(percent)).select("a", "b")
+    more = checkpointed(unmet_pairs(with_family(open_, center_roots), percent))
+    met = told_apart(more, members).where(linked(percent)).select("a", "b")
     return checkpointed(sure.union(met))
 
 
