@@ -46,6 +46,7 @@ from daybook.session import ensure_checkpoint_dir
 from daybook.sinks.csv import write_csv, write_small_csv
 from daybook.sinks.ordered import positions, write_sorted_csv
 from daybook.sinks.report import daily_report, overview_report, sample_rows
+from daybook.sinks.tree import write_tree
 from daybook.sources.copies import copy_new, read_copy
 from daybook.sources.files import read_months, read_parquet, read_partitioned, stage
 from daybook.sources.index import index_files, read_period
@@ -237,20 +238,15 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 def monthly_trips(spark: SparkSession, sf_dir: str) -> str:
     """All trips as a tree ``yyyy=/mm=`` with one file per month, as trip data comes; returns its root."""
-    root = scratch(spark, "trips")
-    li = table(spark, sf_dir, "lineitem")
     # Two-digit directory names, as text.
     parts = {"yyyy": F.date_format("l_shipdate", "yyyy"), "mm": F.date_format("l_shipdate", "MM")}
-    li.withColumns(parts).repartition(8, "yyyy", "mm").write.partitionBy("yyyy", "mm").parquet(root)
-    return root
+    return write_tree(table(spark, sf_dir, "lineitem"), scratch(spark, "trips"), parts)
 
 
 def daily_comments(spark: SparkSession, sf_dir: str) -> str:
     """All comments as a tree ``mm=/dd=``; returns its root."""
-    root = scratch(spark, "comments")
     parts = {"mm": F.date_format("ts", "MM"), "dd": F.date_format("ts", "dd")}
-    comments(spark, sf_dir).withColumns(parts).repartition(8, "mm", "dd").write.partitionBy("mm", "dd").parquet(root)
-    return root
+    return write_tree(comments(spark, sf_dir), scratch(spark, "comments"), parts)
 
 
 def comment_days(spark: SparkSession, sf_dir: str) -> T.StructType:
