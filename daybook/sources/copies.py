@@ -107,6 +107,10 @@ def copy_new(
     differ = [p for p, n in want.items() if got.get(p, 0) != n]
     if differ:
         raise RuntimeError(f"{len(differ)} partitions differ from their source, first {differ[0]}: nothing published")
+    # Counted without the files' names: rows that were ascribed to no listed file would be missed above.
+    counted, scanned = sum(want.values()), df.count()
+    if counted != scanned:
+        raise RuntimeError(f"{counted} rows counted by file, {scanned} in all: nothing published")
     stay = held.where(~F.col("part").isin(parts))
     book.publish(stay.unionByName(told.withColumn("run", F.lit(run))).checkpoint())
     return Copied(parts, told.count(), sum(want.values()), total)

@@ -74,6 +74,17 @@ def test_a_copy_that_differs_or_dies_is_not_seen(spark, tree, tmp_path, monkeypa
     assert len(copy_new(spark, tree, dst).partitions) == 3 and ids(read_copy(spark, dst)) == list(range(120))
 
 
+def test_counts_that_miss_the_same_rows_on_both_sides(spark, tree, tmp_path, monkeypatch):
+    from daybook.sources import copies
+
+    dst, counts = str(tmp_path / "dst"), copies._counts
+    monkeypatch.setattr(copies, "_counts", lambda df: counts(df.limit(20)))
+    with pytest.raises(RuntimeError, match="20 rows counted by file, 30 in all: nothing published"):
+        copy_new(spark, tree, dst, where={"mm": 1})  # one partition: both limits fall on it
+    with pytest.raises(FileNotFoundError):
+        read_copy(spark, dst)
+
+
 def test_partitions_without_rows(spark, tmp_path):
     src, dst = str(tmp_path / "s"), str(tmp_path / "d")
     spark.range(3).selectExpr("id").write.parquet(f"{src}/yyyy=2024/mm=01")
